@@ -14,17 +14,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from meterline.operators import closed_form as CF
 from meterline.operators import clean as C
+from meterline.operators import models as M
+from meterline.operators.evaluate import best_model, leaderboard, regression_metrics
 from meterline.operators.funnel import funnel_counts, funnel_labels
 from meterline.operators.sample import ordered_sample
-from meterline.operators.split import split_counts, with_split_flag
+from meterline.operators.report import axis_bound, error_histogram, prediction_sample, with_absolute_error
+from meterline.operators.split import hash_split, split_counts, with_split_flag
 from meterline.operators.validate import select_required
 from meterline.plans.common import rounded, ts_text
 from meterline.schemas import CLEAN_COLUMNS, FEATURE_COLUMNS, RAW_COLUMNS, RAW_TRIP_SCHEMA
 from meterline.session import scratch_path
 from meterline.sources.fixtures import read_raw_trips
 from meterline.sources.readers import read_clean_parquet, read_raw_csv
-from meterline.sources.sinks import write_parquet
+from meterline.sources.sinks import load_pipeline_model, save_pipeline_model, write_parquet
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -143,6 +147,182 @@ def parquet_roundtrip(spark, sf_dir):
     return rounded(read_clean_parquet(spark, path).select(*CLEAN_COLUMNS))
 
 
+# ------------------------------------------------------ closed-form models
+
+# Regularisation and the features of the small closed-form fits.
+REG_PARAM = 0.1
+ONE_FEATURE = "trip_distance_km"
+TWO_FEATURES = ("trip_distance_km", "passenger_count")
+STUMP_FEATURES = ["km_floor", "passenger_count", "pickup_hour"]
+
+
+def _train_test(spark, sf_dir):
+    frame = M.model_input(_clean(spark, sf_dir))
+    return hash_split(frame)
+
+
+def scaler_stats_q(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    return rounded(CF.scaler_stats(train, FEATURE_COLUMNS))
+
+
+def _scaled(spark, sf_dir, with_mean):
+    train, _ = _train_test(spark, sf_dir)
+    out = CF.standardize(train, FEATURE_COLUMNS, with_mean=with_mean)
+    return rounded(out.select("key", *[f"{f}_scaled" for f in FEATURE_COLUMNS]))
+
+
+def scaled_features(spark, sf_dir):
+    return _scaled(spark, sf_dir, with_mean=False)
+
+
+def scaled_centered_features(spark, sf_dir):
+    return _scaled(spark, sf_dir, with_mean=True)
+
+
+def ols_1f(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    return rounded(CF.ols_1f(train, ONE_FEATURE))
+
+
+def ridge_1f(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    return rounded(CF.ridge_1f(train, ONE_FEATURE, reg=REG_PARAM))
+
+
+def ridge_2f(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    return rounded(CF.ridge_2f(train, *TWO_FEATURES, reg=REG_PARAM))
+
+
+def tree_stump_q(spark, sf_dir):
+    train, _ = _train_test(spark, sf_dir)
+    train = train.withColumn("km_floor", F.floor("trip_distance_km").cast("int"))
+    return rounded(CF.tree_stump(train, STUMP_FEATURES))
+
+
+def ridge_1f_predictions(spark, sf_dir):
+    """Test rows scored by the one-feature ridge fitted on the train rows."""
+    train, test = _train_test(spark, sf_dir)
+    coefs = CF.ridge_1f(train, ONE_FEATURE, reg=REG_PARAM).withColumnRenamed("slope", "w")
+    return CF.linear_predictions(test, coefs, [ONE_FEATURE], ["w"])
+
+
+def regression_metrics_q(spark, sf_dir):
+    return rounded(regression_metrics(ridge_1f_predictions(spark, sf_dir)))
+
+
+def absolute_error(spark, sf_dir):
+    pred = with_absolute_error(ridge_1f_predictions(spark, sf_dir))
+    return rounded(pred.select("key", "label", "prediction", "absolute_error"))
+
+
+def error_histogram_q(spark, sf_dir):
+    return rounded(error_histogram(ridge_1f_predictions(spark, sf_dir)))
+
+
+def axis_bound_q(spark, sf_dir):
+    return rounded(axis_bound(ridge_1f_predictions(spark, sf_dir)))
+
+
+def prediction_sample_q(spark, sf_dir):
+    return rounded(prediction_sample(ridge_1f_predictions(spark, sf_dir)))
+
+
+# Names of the closed-form models in the leaderboard.
+CLOSED_FORM_MODELS = ["OLS distance", "Ridge distance", "Ridge distance+passengers"]
+
+
+def closed_form_evaluation(spark, sf_dir) -> DataFrame:
+    """(model, rmse, mae, r2, position) for three closed-form fits, scored in one pass over the test rows."""
+    train, test = _train_test(spark, sf_dir)
+    a = CF.ols_1f(train, ONE_FEATURE).select(F.struct("slope", "intercept").alias("s")).scalar()
+    b = CF.ridge_1f(train, ONE_FEATURE, reg=REG_PARAM).select(F.struct("slope", "intercept").alias("s")).scalar()
+    c = CF.ridge_2f(train, *TWO_FEATURES, reg=REG_PARAM).select(F.struct("w1", "w2", "intercept").alias("s")).scalar()
+    x, x2 = F.col(TWO_FEATURES[0]), F.col(TWO_FEATURES[1])
+    preds = test.select(
+        "label",
+        (a["intercept"] + a["slope"] * x).alias("p0"),
+        (b["intercept"] + b["slope"] * x).alias("p1"),
+        (c["intercept"] + c["w1"] * x + c["w2"] * x2).alias("p2"),
+    )
+    aggs = []
+    for i in range(3):
+        err = F.col("label") - F.col(f"p{i}")
+        mse = F.avg(err * err)
+        aggs += [F.sqrt(mse).alias(f"rmse{i}"), F.avg(F.abs(err)).alias(f"mae{i}"), (1 - mse / F.var_pop("label")).alias(f"r2{i}")]
+    wide = preds.agg(*aggs)
+    rows = [
+        F.struct(F.lit(name).alias("model"), F.col(f"rmse{i}").alias("rmse"), F.col(f"mae{i}").alias("mae"), F.col(f"r2{i}").alias("r2"), F.lit(i).alias("position"))
+        for i, name in enumerate(CLOSED_FORM_MODELS)
+    ]
+    return wide.select(F.inline(F.array(*rows)))
+
+
+def leaderboard_q(spark, sf_dir):
+    return rounded(leaderboard(closed_form_evaluation(spark, sf_dir)))
+
+
+def best_model_q(spark, sf_dir):
+    return rounded(best_model(closed_form_evaluation(spark, sf_dir)))
+
+
+# ---------------------------------------------------- pyspark.ml models
+
+
+def _fit(spark, sf_dir, profile, name):
+    train, test = _train_test(spark, sf_dir)
+    spec = next(s for s in M.model_specs(profile) if s.name == name)
+    return M.train_one(spec, 0, train, test, isolate=False)
+
+
+def _prediction_rows(result) -> DataFrame:
+    return rounded(result.predictions.select("key", "label", "prediction"))
+
+
+def linear_full(spark, sf_dir):
+    return _prediction_rows(_fit(spark, sf_dir, "fast", M.LINEAR))
+
+
+def dt_predictions(spark, sf_dir):
+    return _prediction_rows(_fit(spark, sf_dir, "fast", M.TREE))
+
+
+def rf_predictions(spark, sf_dir):
+    return _prediction_rows(_fit(spark, sf_dir, "fast", M.FOREST))
+
+
+def gbt_predictions(spark, sf_dir):
+    return _prediction_rows(_fit(spark, sf_dir, "full", M.BOOSTED))
+
+
+def _evaluation(spark, sf_dir, profile):
+    train, test = _train_test(spark, sf_dir)
+    results = M.train_all(M.model_specs(profile), train, test)
+    return rounded(M.results_table(spark, results).drop("position"))
+
+
+def evaluation_fast(spark, sf_dir):
+    return _evaluation(spark, sf_dir, "fast")
+
+
+def evaluation_full(spark, sf_dir):
+    return _evaluation(spark, sf_dir, "full")
+
+
+def feature_importance_dt(spark, sf_dir):
+    result = _fit(spark, sf_dir, "fast", M.TREE)
+    return rounded(M.feature_importances(spark, result))
+
+
+def model_reload_predictions(spark, sf_dir):
+    """Fit, save the pipeline to the shared folder, load it back, score."""
+    result = _fit(spark, sf_dir, "fast", M.TREE)
+    path = save_pipeline_model(result.model, scratch_path(spark, "model"))
+    _, test = _train_test(spark, sf_dir)
+    return rounded(load_pipeline_model(path).transform(test).select("key", "label", "prediction"))
+
+
 QUERIES: dict[str, Query] = {
     "trips_clean": trips_clean,
     "raw_projection": raw_projection,
@@ -163,4 +343,26 @@ QUERIES: dict[str, Query] = {
     "model_frame": model_frame,
     "csv_roundtrip": csv_roundtrip,
     "parquet_roundtrip": parquet_roundtrip,
+    "scaler_stats": scaler_stats_q,
+    "scaled_features": scaled_features,
+    "scaled_centered_features": scaled_centered_features,
+    "ols_1f": ols_1f,
+    "ridge_1f": ridge_1f,
+    "ridge_2f": ridge_2f,
+    "tree_stump": tree_stump_q,
+    "regression_metrics": regression_metrics_q,
+    "absolute_error": absolute_error,
+    "error_histogram": error_histogram_q,
+    "axis_bound": axis_bound_q,
+    "prediction_sample": prediction_sample_q,
+    "leaderboard": leaderboard_q,
+    "best_model": best_model_q,
+    "linear_full": linear_full,
+    "dt_predictions": dt_predictions,
+    "rf_predictions": rf_predictions,
+    "gbt_predictions": gbt_predictions,
+    "evaluation_fast": evaluation_fast,
+    "evaluation_full": evaluation_full,
+    "feature_importance_dt": feature_importance_dt,
+    "model_reload_predictions": model_reload_predictions,
 }

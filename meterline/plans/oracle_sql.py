@@ -237,3 +237,172 @@ Q["parquet_roundtrip"] = Q["trips_clean"]
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
+
+
+# ------------------------------------------------------------- models
+
+FEATURE_LIST = [f.strip() for f in FEATURES.split(",")]
+
+SPLIT = f"""
+frame AS (SELECT key, fare_amount AS label, {FEATURES} FROM clean),
+train AS (SELECT * FROM frame WHERE {SPLIT_BUCKET} < 80),
+test AS (SELECT * FROM frame WHERE {SPLIT_BUCKET} >= 80)"""
+
+MODEL_BASE = with_ctes(RAW_TRIPS, PARSED, CLEAN, SPLIT)
+
+Q["scaler_stats"] = MODEL_BASE + " " + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{f}' AS feature, {r6(f'avg(CAST({f} AS DOUBLE))')} AS mean,"
+    f" {r6(f'stddev_samp(CAST({f} AS DOUBLE))')} AS std FROM train"
+    for i, f in enumerate(FEATURE_LIST)
+)
+
+
+def _scaled_sql(with_mean: bool) -> str:
+    stats = ", ".join(
+        f"avg(CAST({f} AS DOUBLE)) AS m_{f}, stddev_samp(CAST({f} AS DOUBLE)) AS s_{f}" for f in FEATURE_LIST
+    )
+    cols = []
+    for f in FEATURE_LIST:
+        x = f"CAST(train.{f} AS DOUBLE)"
+        if with_mean:
+            x = f"({x} - st.m_{f})"
+        cols.append(f"{r6(f'CASE WHEN st.s_{f} <> 0 THEN {x} / st.s_{f} ELSE 0.0 END')} AS {f}_scaled")
+    return MODEL_BASE + f", st AS (SELECT {stats} FROM train) SELECT train.key, {', '.join(cols)} FROM train, st"
+
+
+Q["scaled_features"] = _scaled_sql(False)
+Q["scaled_centered_features"] = _scaled_sql(True)
+
+Q["ols_1f"] = MODEL_BASE + (
+    f" SELECT {r6('regr_slope(label, trip_distance_km)')} AS slope,"
+    f" {r6('regr_intercept(label, trip_distance_km)')} AS intercept FROM train"
+)
+
+RIDGE_1F = """
+ridge1 AS (
+  SELECT w, my - w * mx AS intercept FROM (
+    SELECT regr_slope(label, trip_distance_km) / (1 + CAST(0.1 AS DOUBLE) / stddev_pop(label)) AS w,
+           avg(label) AS my, avg(trip_distance_km) AS mx
+    FROM train)
+)"""
+
+Q["ridge_1f"] = MODEL_BASE + "," + RIDGE_1F + f" SELECT {r6('w')} AS slope, {r6('intercept')} AS intercept FROM ridge1"
+
+RIDGE_2F = """
+m2 AS (
+  SELECT stddev_pop(label) AS sy, stddev_pop(trip_distance_km) AS s1, stddev_pop(passenger_count) AS s2,
+         corr(trip_distance_km, passenger_count) AS c, corr(label, trip_distance_km) AS r1,
+         corr(label, passenger_count) AS r2, avg(label) AS my, avg(trip_distance_km) AS m1,
+         avg(passenger_count) AS m2, 1 + CAST(0.1 AS DOUBLE) / stddev_pop(label) AS k
+  FROM train
+),
+ridge2 AS (
+  SELECT w1, w2, my - w1 * m1 - w2 * m2 AS intercept FROM (
+    SELECT (k * r1 - c * r2) / (k * k - c * c) * sy / s1 AS w1,
+           (k * r2 - c * r1) / (k * k - c * c) * sy / s2 AS w2, my, m1, m2
+    FROM m2)
+)"""
+
+Q["ridge_2f"] = MODEL_BASE + "," + RIDGE_2F + (
+    f" SELECT {r6('w1')} AS w1, {r6('w2')} AS w2, {r6('intercept')} AS intercept FROM ridge2"
+)
+
+STUMP = """
+long AS (
+  SELECT label AS y, 0 AS position, 'km_floor' AS feature, CAST(CAST(floor(trip_distance_km) AS INTEGER) AS DOUBLE) AS x FROM train
+  UNION ALL SELECT label, 1, 'passenger_count', CAST(passenger_count AS DOUBLE) FROM train
+  UNION ALL SELECT label, 2, 'pickup_hour', CAST(pickup_hour AS DOUBLE) FROM train
+),
+pv AS (SELECT position, feature, x, count(*) AS n, sum(y) AS s, sum(y * y) AS ss FROM long GROUP BY position, feature, x),
+cum AS (
+  SELECT position, feature, x,
+         lead(x) OVER (PARTITION BY position ORDER BY x) AS next_x,
+         CAST(sum(n) OVER w AS BIGINT) AS ln, sum(s) OVER w AS ls, sum(ss) OVER w AS lss,
+         CAST(sum(n) OVER (PARTITION BY position) AS BIGINT) AS tn,
+         sum(s) OVER (PARTITION BY position) AS ts, sum(ss) OVER (PARTITION BY position) AS tss
+  FROM pv
+  WINDOW w AS (PARTITION BY position ORDER BY x ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+),
+cands AS (
+  SELECT position, feature, (x + next_x) / 2 AS threshold, ln AS left_n, tn - ln AS right_n,
+         ls / ln AS left_mean, (ts - ls) / (tn - ln) AS right_mean,
+         (tss / tn - (ts / tn) * (ts / tn))
+           - ln / tn * (lss / ln - (ls / ln) * (ls / ln))
+           - (tn - ln) / tn * ((tss - lss) / (tn - ln) - ((ts - ls) / (tn - ln)) * ((ts - ls) / (tn - ln))) AS gain
+  FROM cum WHERE next_x IS NOT NULL
+)"""
+
+Q["tree_stump"] = MODEL_BASE + "," + STUMP + (
+    f" SELECT feature, {r6('threshold')} AS threshold, left_n, right_n, {r6('left_mean')} AS left_mean,"
+    f" {r6('right_mean')} AS right_mean, {r6('gain')} AS gain"
+    " FROM cands WHERE gain > 0 ORDER BY gain DESC, position, threshold LIMIT 1"
+)
+
+PRED = MODEL_BASE + "," + RIDGE_1F + """,
+pred AS (SELECT test.*, ridge1.intercept + ridge1.w * test.trip_distance_km AS prediction FROM test, ridge1)"""
+
+Q["regression_metrics"] = PRED + (
+    f" SELECT {r6('sqrt(avg((label - prediction) * (label - prediction)))')} AS rmse,"
+    f" {r6('avg(abs(label - prediction))')} AS mae,"
+    f" {r6('1 - avg((label - prediction) * (label - prediction)) / var_pop(label)')} AS r2 FROM pred"
+)
+
+Q["absolute_error"] = PRED + (
+    f" SELECT key, {r6('label')} AS label, {r6('prediction')} AS prediction,"
+    f" {r6('abs(label - prediction)')} AS absolute_error FROM pred"
+)
+
+Q["error_histogram"] = PRED + """,
+errs AS (SELECT abs(label - prediction) AS e FROM pred),
+rng AS (SELECT min(e) AS lo, max(e) AS hi FROM errs),
+binned AS (
+  SELECT CAST(CASE WHEN hi > lo THEN least(floor((e - lo) / (hi - lo) * 30), 29) ELSE 0 END AS INTEGER) AS bin
+  FROM errs, rng
+)""" + (
+    f" SELECT bin, {r6('lo + bin * ((hi - lo) / 30)')} AS bin_lo, {r6('lo + (bin + 1) * ((hi - lo) / 30)')} AS bin_hi,"
+    " count(*) AS n FROM binned, rng GROUP BY bin, lo, hi"
+)
+
+Q["axis_bound"] = PRED + f" SELECT {r6('greatest(max(label), max(prediction))')} AS axis_max FROM pred"
+
+Q["prediction_sample"] = PRED + (
+    f" SELECT key, {r6('label')} AS label, {r6('prediction')} AS prediction, {r6('trip_distance_km')} AS trip_distance_km,"
+    " passenger_count, pickup_hour, pickup_dayofweek, pickup_month, pickup_year"
+    " FROM pred ORDER BY md5(key), key LIMIT 1000"
+)
+
+CLOSED_EVAL = MODEL_BASE + "," + RIDGE_1F + "," + RIDGE_2F + """,
+ols AS (SELECT regr_slope(label, trip_distance_km) AS slope, regr_intercept(label, trip_distance_km) AS intercept FROM train),
+preds AS (
+  SELECT label,
+         ols.intercept + ols.slope * trip_distance_km AS p0,
+         ridge1.intercept + ridge1.w * trip_distance_km AS p1,
+         ridge2.intercept + ridge2.w1 * trip_distance_km + ridge2.w2 * passenger_count AS p2
+  FROM test, ols, ridge1, ridge2
+),
+wide AS (
+  SELECT sqrt(avg((label - p0) * (label - p0))) AS rmse0, avg(abs(label - p0)) AS mae0,
+         1 - avg((label - p0) * (label - p0)) / var_pop(label) AS r20,
+         sqrt(avg((label - p1) * (label - p1))) AS rmse1, avg(abs(label - p1)) AS mae1,
+         1 - avg((label - p1) * (label - p1)) / var_pop(label) AS r21,
+         sqrt(avg((label - p2) * (label - p2))) AS rmse2, avg(abs(label - p2)) AS mae2,
+         1 - avg((label - p2) * (label - p2)) / var_pop(label) AS r22
+  FROM preds
+),
+evaluation AS (
+  SELECT 'OLS distance' AS model, rmse0 AS rmse, mae0 AS mae, r20 AS r2, 0 AS position FROM wide
+  UNION ALL SELECT 'Ridge distance', rmse1, mae1, r21, 1 FROM wide
+  UNION ALL SELECT 'Ridge distance+passengers', rmse2, mae2, r22, 2 FROM wide
+)"""
+
+Q["leaderboard"] = CLOSED_EVAL + (
+    f" SELECT model, {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('r2')} AS r2,"
+    " CAST(rank() OVER (ORDER BY rmse ASC, position) AS INTEGER) AS rank_rmse,"
+    " CAST(rank() OVER (ORDER BY mae ASC, position) AS INTEGER) AS rank_mae,"
+    " CAST(rank() OVER (ORDER BY r2 DESC, position) AS INTEGER) AS rank_r2 FROM evaluation"
+)
+
+Q["best_model"] = CLOSED_EVAL + (
+    f" SELECT model, {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('r2')} AS r2"
+    " FROM evaluation WHERE rmse IS NOT NULL ORDER BY rmse, position LIMIT 1"
+)
