@@ -158,13 +158,13 @@ def with_stage_flags(raw: DataFrame) -> DataFrame:
     """Parsed raw rows plus nested stage flags, for one-pass counting.
 
     ``is_complete`` ⊇ ``in_domain`` ⊇ ``in_range`` ⊇ ``is_final``; the flags
-    are never null. The distance is only evaluated where it matters because
-    ``AND`` short-circuits in generated code.
+    are never null. ``trip_distance_km`` is computed once per row and
+    serves both the flag and the clean output.
     """
-    parsed = parsed_raw(raw)
+    parsed = with_distance(parsed_raw(raw))
     is_complete = F.coalesce(present(parsed, DROPNA_SUBSET), F.lit(False))
     in_domain = is_complete & F.coalesce(domain_predicate(), F.lit(False))
-    in_range = in_domain & F.coalesce(distance_predicate(trip_distance_expr()), F.lit(False))
+    in_range = in_domain & F.coalesce(distance_predicate(), F.lit(False))
     # After the earlier rules only ``key`` (and the raw text) can still be
     # null among the final columns; time parts of a valid timestamp exist.
     is_final = in_range & F.col("key").isNotNull() & F.col("pickup_datetime").isNotNull()
@@ -176,3 +176,8 @@ def with_stage_flags(raw: DataFrame) -> DataFrame:
             "is_final": is_final,
         }
     )
+
+
+def clean_from_flags(flagged: DataFrame) -> DataFrame:
+    """Rows of ``with_stage_flags`` that pass every stage, as ``CLEAN_COLUMNS``."""
+    return with_time_features(flagged.filter(F.col("is_final"))).select(*CLEAN_COLUMNS)

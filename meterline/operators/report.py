@@ -28,7 +28,9 @@ def error_histogram(predictions: DataFrame, bins: int = DEFAULT_BINS, label: str
     lo, hi = rng["lo"], rng["hi"]
     width = (hi - lo) / bins
     b = F.when(hi > lo, F.least(F.floor((F.col("e") - lo) / (hi - lo) * bins), F.lit(bins - 1))).otherwise(F.lit(0))
-    counted = errs.groupBy(b.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    # Project the bin first: a grouping key may not hold the subquery itself
+    # when the input (e.g. model scores) is not marked deterministic.
+    counted = errs.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
     return counted.select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_lo"),

@@ -97,7 +97,11 @@ PREDICTION_SAMPLE_COLUMNS = [
 ]
 
 FUNNEL_SCHEMA = T.StructType(
-    [T.StructField("stage", T.StringType(), False), T.StructField("rows", T.LongType(), False)]
+    [
+        T.StructField("step", T.IntegerType(), False),
+        T.StructField("stage", T.StringType(), False),
+        T.StructField("rows", T.LongType(), False),
+    ]
 )
 
 EVALUATION_SCHEMA = T.StructType(
