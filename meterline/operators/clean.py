@@ -27,6 +27,7 @@ from meterline.functions.timeparts import (
     strip_zone_suffix,
     time_feature_columns,
 )
+from meterline.operators.project import with_columns_once
 from meterline.operators.validate import select_required
 from meterline.schemas import CLEAN_COLUMNS, DROPNA_SUBSET, RAW_COLUMNS, TIME_COLUMNS
 
@@ -107,15 +108,33 @@ def distance_predicate(distance: Column | None = None) -> Column:
     return (d > DISTANCE_MIN_EXCLUSIVE_KM) & (d <= DISTANCE_MAX_KM)
 
 
+def final_complete_predicate() -> Column:
+    """The all-column null/NaN drop, as it reduces after the earlier stages.
+
+    By then the 7 parsed columns are present, the distance is a number in
+    (0, 100] (NaN fails ``<= 100``), and the time parts of a non-null
+    timestamp are non-null. So only ``key`` and the raw text can still be
+    missing. Writing ``na.drop`` over all 16 columns would make Catalyst
+    inline the timestamp parse into the filter once per derived column
+    (about 9 parses per row); this keeps it at one. A test checks that the
+    result equals the full drop.
+    """
+    return F.col("key").isNotNull() & F.col("pickup_datetime").isNotNull()
+
+
 def with_pickup_time(df: DataFrame) -> DataFrame:
-    """Add ``pickup_datetime_clean`` (suffix stripped) and ``pickup_timestamp``."""
-    return df.withColumns(
-        {"pickup_datetime_clean": strip_zone_suffix("pickup_datetime")}
-    ).withColumns({"pickup_timestamp": parse_pickup_timestamp("pickup_datetime_clean")})
+    """Add ``pickup_datetime_clean`` (suffix stripped) and ``pickup_timestamp``.
+
+    The parse is the costliest expression per row. It is evaluated once,
+    though the null check, the time features and the output all read it.
+    """
+    cleaned = with_columns_once(df, {"pickup_datetime_clean": strip_zone_suffix("pickup_datetime")})
+    return with_columns_once(cleaned, {"pickup_timestamp": parse_pickup_timestamp("pickup_datetime_clean")})
 
 
 def with_distance(df: DataFrame) -> DataFrame:
-    return df.withColumns({"trip_distance_km": trip_distance_expr()})
+    """Add ``trip_distance_km``, evaluated once per row (two bounds and the output read it)."""
+    return with_columns_once(df, {"trip_distance_km": trip_distance_expr()})
 
 
 def with_time_features(df: DataFrame, ts: str = "pickup_timestamp") -> DataFrame:
@@ -139,7 +158,7 @@ def clean_stages(raw: DataFrame) -> dict[str, DataFrame]:
     domain = complete.filter(domain_predicate())
     distance = with_distance(domain).filter(distance_predicate())
     featured = with_time_features(distance)
-    final = featured.na.drop(subset=FINAL_COMPLETE_COLUMNS)
+    final = featured.filter(final_complete_predicate())
     return {
         "raw": parsed,
         "after_dropna": complete,
@@ -165,9 +184,7 @@ def with_stage_flags(raw: DataFrame) -> DataFrame:
     is_complete = F.coalesce(present(parsed, DROPNA_SUBSET), F.lit(False))
     in_domain = is_complete & F.coalesce(domain_predicate(), F.lit(False))
     in_range = in_domain & F.coalesce(distance_predicate(), F.lit(False))
-    # After the earlier rules only ``key`` (and the raw text) can still be
-    # null among the final columns; time parts of a valid timestamp exist.
-    is_final = in_range & F.col("key").isNotNull() & F.col("pickup_datetime").isNotNull()
+    is_final = in_range & final_complete_predicate()
     return parsed.withColumns(
         {
             "is_complete": is_complete,

@@ -52,7 +52,9 @@ def raw_trips_from_events(events: DataFrame) -> DataFrame:
         .otherwise(lat0 + (_rem(e, 5) - 2) / 200),
         "passenger_count": (e % 8).cast("int"),
     }
-    return events.select(*[cols[c].alias(c) for c in RAW_COLUMNS])
+    # Emitted through a generator so that filters on the trip columns do not
+    # inline (and re-run) these expressions; see operators.project.
+    return events.select(F.inline(F.array(F.struct(*[cols[c].alias(c) for c in RAW_COLUMNS]))))
 
 
 def read_raw_trips(spark, sf_dir: str) -> DataFrame:

@@ -135,3 +135,18 @@ def test_flags_agree_with_filters(spark):
     assert got.is_final == stages["final"].count()
     assert sorted(r.key for r in C.clean_from_flags(flags).collect()) == sorted(r.key for r in C.clean_trips(df).collect())
     assert not math.isnan(C.clean_trips(df).first().fare_amount)
+
+
+def test_final_predicate_equals_full_dropna(spark):
+    from meterline.sources.fixtures import read_raw_trips
+
+    from .conftest import SF001
+
+    df = read_raw_trips(spark, SF001).union(spark.createDataFrame(rows({"key": None}), RAW_TRIP_SCHEMA))
+    stages = C.clean_stages(df)
+    featured = C.with_time_features(stages["after_distance_filter"])
+    full = featured.na.drop(subset=C.FINAL_COMPLETE_COLUMNS)
+    assert sorted(map(tuple, full.select(*CLEAN_COLUMNS).collect()), key=str) == sorted(
+        map(tuple, stages["final"].select(*CLEAN_COLUMNS).collect()), key=str
+    )
+    assert stages["final"].count() == 718 - 1
