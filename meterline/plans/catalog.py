@@ -323,6 +323,20 @@ def model_reload_predictions(spark, sf_dir):
     return rounded(load_pipeline_model(path).transform(test).select("key", "label", "prediction"))
 
 
+# --------------------------------------------------------------- streaming
+
+
+def stream_funnel(spark, sf_dir):
+    """Raw trips land as CSV files; the streaming ingest cleans them two
+    files per micro-batch; the running funnel must equal the batch funnel."""
+    from meterline.streaming import funnel_totals, run_clean_stream
+
+    base = scratch_path(spark, "stream")
+    _raw(spark, sf_dir).write.option("header", True).csv(f"{base}/in")
+    run_clean_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=2).awaitTermination()
+    return funnel_totals(spark, f"{base}/out")
+
+
 QUERIES: dict[str, Query] = {
     "trips_clean": trips_clean,
     "raw_projection": raw_projection,
@@ -365,4 +379,5 @@ QUERIES: dict[str, Query] = {
     "evaluation_full": evaluation_full,
     "feature_importance_dt": feature_importance_dt,
     "model_reload_predictions": model_reload_predictions,
+    "stream_funnel": stream_funnel,
 }

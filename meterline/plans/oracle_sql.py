@@ -232,6 +232,7 @@ Q["model_frame"] = (
 )
 
 Q["csv_roundtrip"] = Q["raw_projection"]
+Q["stream_funnel"] = Q["funnel_counts"]
 Q["parquet_roundtrip"] = Q["trips_clean"]
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.schemas import RAW_COLUMNS
+from meterline.sources.readers import spread_small_input
 
 
 def _rem(e: Column, m: int) -> Column:
@@ -59,5 +60,5 @@ def raw_trips_from_events(events: DataFrame) -> DataFrame:
 
 def read_raw_trips(spark, sf_dir: str) -> DataFrame:
     """Raw trips for a test-data directory (reads ``events.parquet``)."""
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return raw_trips_from_events(events)
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "ts", "value")
+    return raw_trips_from_events(spread_small_input(events, "event_id"))

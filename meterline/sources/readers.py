@@ -37,3 +37,17 @@ def read_result_csv(spark: SparkSession, path: str, schema: T.StructType) -> Dat
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's test tables, ``{sf_dir}/{name}.parquet``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread_small_input(df: DataFrame, by: str) -> DataFrame:
+    """Hash-repartition ``df`` on ``by`` when it has fewer partitions than
+    the cluster has cores (a single-row-group file is read by one task).
+
+    Large inputs already have many more splits than cores and pass through
+    unchanged, so this never adds a shuffle at scale. Hashing on a column
+    (not round-robin) keeps the layout deterministic when a task is retried.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target, by)
+    return df
