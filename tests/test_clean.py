@@ -150,3 +150,33 @@ def test_final_predicate_equals_full_dropna(spark):
         map(tuple, stages["final"].select(*CLEAN_COLUMNS).collect()), key=str
     )
     assert stages["final"].count() == 718 - 1
+
+
+TIME_CASES = [
+    "2009-06-15 17:26:21", "2009-02-30 10:00:00", "2012-02-29 00:00:00", "2011-02-29 00:00:00",
+    "2009-06-15 24:00:00", "2009-6-15 17:26:21", "2009-06-15T17:26:21", "2009-06-15 17:26:21 ",
+    " 2009-06-15 17:26:21", "2009-06-15 17:26:21.5", "2009-06-15", "2009-06-15 17:26", "0000-01-01 00:00:00",
+    "9999-12-31 23:59:59", "2009-06-15 17:26:60", "2009-13-01 00:00:00", "not a date", "", None,
+    "2010-03-14 02:30:00", "12009-06-15 17:26:21", "+2009-06-15 17:26:21", "2009/06/15 17:26:21",
+]
+
+
+def test_parse_accepts_exactly_the_pattern(spark):
+    from meterline.functions.timeparts import PICKUP_FORMAT, parse_pickup_timestamp
+
+    df = spark.createDataFrame([(c,) for c in TIME_CASES], "s string")
+    out = df.select(
+        F.date_format(F.try_to_timestamp("s", F.lit(PICKUP_FORMAT)), PICKUP_FORMAT).alias("a"),
+        F.date_format(parse_pickup_timestamp("s"), PICKUP_FORMAT).alias("b"),
+    ).collect()
+    assert [r.a for r in out] == [r.b for r in out]
+
+
+def test_dst_gap_keeps_wall_clock_hour(spark):
+    df = spark.createDataFrame(rows({"pickup_datetime": "2010-03-14 02:30:00 UTC"}), RAW_TRIP_SCHEMA)
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        r = C.clean_trips(df).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert (r.pickup_hour, r.pickup_dayofweek, r.pickup_month, r.pickup_year) == (2, 1, 3, 2010)
