@@ -170,6 +170,14 @@ def feature_importances(spark: SparkSession, result: ModelResult, features: list
     return spark.createDataFrame([(f, float(v)) for f, v in zip(features, values)], IMPORTANCE_SCHEMA)
 
 
+def ranked_importances(importances: DataFrame | None) -> DataFrame | None:
+    """Importances ordered largest first, with feature order breaking ties."""
+    if importances is None:
+        return None
+    pos = F.array_position(F.array(*[F.lit(f) for f in FEATURE_COLUMNS]), F.col("feature"))
+    return importances.orderBy(F.col("importance").desc(), pos)
+
+
 def prediction_frame(result: ModelResult) -> DataFrame:
     """Predictions without the ML vector columns."""
     return result.predictions.drop("raw_features", "features")

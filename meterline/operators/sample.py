@@ -47,3 +47,34 @@ def ordered_sample(df: DataFrame, n: int = 1000, key: str = "key", prefilter: bo
         bits = hash_bound_bits(df, n, key)
         out = out.filter(hash32(key) < F.pow(F.lit(2.0), bits))
     return out.orderBy(sample_order_key(key), F.col(key)).limit(n)
+
+
+def bound_bits_for_total(total: int, n: int, oversample: int = 4) -> int:
+    """Smallest b with ``total * 2^b / 2^32 >= oversample * n`` (md5 prefixes are uniform)."""
+    b = 0
+    while b < HASH_BITS and total * (1 << b) < oversample * n * (1 << HASH_BITS):
+        b += 1
+    return b
+
+
+def write_ordered_sample(df: DataFrame, n: int, total: int, sink, key: str = "key", oversample: int = 4) -> int:
+    """Write the exact ordered sample in one pass when the row count is known.
+
+    The jobs know ``total`` already (the funnel observation, the split
+    counts), so the hash bound is set arithmetically for about
+    ``oversample * n`` candidates. No bound aggregate runs. A candidate
+    count observed during the write verifies the bound. If fewer than
+    ``min(n, total)`` rows fell under it (a skewed or small input), the
+    bound widens and the write is redone, so the result is always exact.
+    ``sink(frame)`` performs the write. Returns the bits used.
+    """
+    from pyspark.sql import Observation
+
+    bits = bound_bits_for_total(total, n, oversample)
+    while True:
+        obs = Observation(f"sample_candidates_{bits}")
+        cand = df.filter(hash32(key) < F.lit(float(1 << bits))).observe(obs, F.count(F.lit(1)).alias("n"))
+        sink(cand.orderBy(sample_order_key(key), F.col(key)).limit(n))
+        if bits >= HASH_BITS or obs.get["n"] >= min(n, total):
+            return bits
+        bits = min(HASH_BITS, bits + 4)

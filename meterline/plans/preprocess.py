@@ -8,8 +8,9 @@ Plan:
    rows and write them to Parquet. The counts come back with the write,
    so no extra scan runs. Funnel rows are bounded (5), and each task
    sends one partial row.
-4. Sample n rows from the written Parquet: a pass that reads only ``key``
-   finds a hash bound, then a filtered top-k runs (see ``operators.sample``).
+4. Sample n rows from the written Parquet in one filtered top-k pass: the
+   clean count is known, so the hash bound is arithmetic, and an observed
+   candidate count verifies it (see ``operators.sample``).
 
 The reference scans its input seven times (five counts, two writes).
 Here the input is scanned once and the smaller clean table once more for
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.operators.clean import clean_from_flags, with_stage_flags
 from meterline.operators.funnel import funnel_counts, funnel_rows, observe_funnel
-from meterline.operators.sample import ordered_sample
+from meterline.operators.sample import write_ordered_sample
 from meterline.schemas import FUNNEL_SCHEMA
 from meterline.sources.readers import read_clean_parquet, read_raw_csv
 from meterline.sources.sinks import write_parquet, write_single_csv
@@ -92,7 +93,9 @@ def run_preprocess(
     write_single_csv(funnel.orderBy("step"), paths["data_summary"])
 
     clean = read_clean_parquet(spark, paths["clean_parquet"])
-    write_single_csv(ordered_sample(clean, sample_rows), paths["cleaned_sample"])
+    write_ordered_sample(
+        clean, sample_rows, counts["final"], lambda df: write_single_csv(df, paths["cleaned_sample"])
+    )
     return PreprocessResult(counts, paths)
 
 

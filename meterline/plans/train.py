@@ -35,7 +35,8 @@ from meterline.operators.report import axis_bound, error_histogram, prediction_s
 from meterline.operators.split import hash_split, random_split, split_counts
 from meterline.schemas import FEATURE_COLUMNS, PREDICTION_SAMPLE_COLUMNS
 from meterline.sources.readers import read_clean_parquet
-from meterline.sources.sinks import model_path, publish_tables, save_pipeline_model
+from meterline.operators.sample import write_ordered_sample
+from meterline.sources.sinks import model_path, publish_tables, save_pipeline_model, write_single_csv
 
 
 @dataclass
@@ -93,13 +94,22 @@ def run_train(
         tables = {
             "evaluation_result": evaluation.orderBy("position").drop("position"),
             "leaderboard": leaderboard(evaluation).orderBy("rank_rmse"),
-            "prediction_sample": prediction_sample(best_preds, sample_rows),
+            "prediction_sample": None,
             "error_histogram": error_histogram(best_preds, bins).orderBy("bin"),
             "axis_bound": axis_bound(best_preds),
-            "feature_importance": M.feature_importances(spark, best, features),
+            "feature_importance": M.ranked_importances(M.feature_importances(spark, best, features)),
             "split_counts": split_tbl,
         }
         paths = publish_tables(tables, output_base) if output_base else {}
+        if output_base:
+            # The test-row count is known, so the sample is one filtered top-k pass.
+            path = f"{output_base.rstrip('/')}/prediction_sample"
+            write_ordered_sample(
+                best_preds.select("key", *PREDICTION_SAMPLE_COLUMNS), sample_rows, split.get("test", 0),
+                lambda df: write_single_csv(df, path),
+            )
+            paths["prediction_sample"] = path
+        tables["prediction_sample"] = prediction_sample(best_preds, sample_rows)
         saved = None
         if save_best and output_base:
             saved = save_pipeline_model(best.model, model_path(f"{output_base.rstrip('/')}/best_model", best.name))
