@@ -135,8 +135,23 @@ def train_one(spec: ModelSpec, position: int, train: DataFrame, test: DataFrame,
         return ModelResult(spec.name, position, False, error=traceback.format_exc())
 
 
-def train_all(specs: list[ModelSpec], train: DataFrame, test: DataFrame, isolate: bool = True) -> list[ModelResult]:
-    return [train_one(s, i, train, test, isolate) for i, s in enumerate(specs)]
+def train_all(
+    specs: list[ModelSpec], train: DataFrame, test: DataFrame, isolate: bool = True, parallelism: int = 1
+) -> list[ModelResult]:
+    """Train every spec; results keep the spec order.
+
+    With ``parallelism > 1`` the fits are submitted from that many driver
+    threads, so their Spark jobs share the cluster, as ``pyspark.ml``'s
+    tuners do with their ``parallelism`` parameter. Each model is
+    independent, so the results equal a sequential run.
+    """
+    if parallelism <= 1 or len(specs) <= 1:
+        return [train_one(s, i, train, test, isolate) for i, s in enumerate(specs)]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(specs))) as pool:
+        futures = [pool.submit(train_one, s, i, train, test, isolate) for i, s in enumerate(specs)]
+        return [f.result() for f in futures]
 
 
 def successful(results: list[ModelResult]) -> list[ModelResult]:

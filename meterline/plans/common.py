@@ -24,5 +24,5 @@ def rounded(df: DataFrame, digits: int = ROUND_DIGITS) -> DataFrame:
 
 
 def ts_text(col: str, alias: str | None = None):
-    """Timestamp rendered as ``yyyy-MM-dd HH:mm:ss`` text (engine-neutral)."""
-    return F.date_format(F.col(col), "yyyy-MM-dd HH:mm:ss").alias(alias or col)
+    """A ``timestamp_ntz`` as ``yyyy-MM-dd HH:mm:ss`` text, free of the session zone."""
+    return F.substring(F.col(col).cast("timestamp_ntz").cast("string"), 1, 19).alias(alias or col)

@@ -10,6 +10,8 @@ Plan:
    the Parquet lineage, which is short.
 3. Fit every model of the profile (Spark ML's distributed solvers), score
    the test rows and compute RMSE, MAE and R² in one aggregate per model.
+   The fits are submitted concurrently (``parallelism``), so one model's
+   driver-side steps overlap another's executor work.
    A failing model is recorded and the others go on (as in the reference).
    If every model fails, the job raises.
 4. For the best model only: persist a narrow prediction frame, then build
@@ -68,6 +70,7 @@ def run_train(
     sample_rows: int = 1000,
     bins: int = 30,
     features: list[str] = FEATURE_COLUMNS,
+    parallelism: int = 4,
 ) -> tuple[TrainResult, dict[str, DataFrame | None]]:
     """Train the profile's models; return a summary and the result tables.
 
@@ -85,7 +88,7 @@ def run_train(
             split_tbl = spark.createDataFrame([("train", train.count()), ("test", test.count())], "split string, rows bigint")
         split = {r["split"]: int(r["rows"]) for r in split_tbl.collect()}
 
-        results = M.train_all(M.model_specs(profile, features), train, test)
+        results = M.train_all(M.model_specs(profile, features), train, test, parallelism=parallelism)
         ok = M.successful(results)
         best = M.best_result(results)
         evaluation = M.results_table(spark, results)
@@ -141,6 +144,7 @@ def main(argv=None) -> None:
     ap.add_argument("--split", default="hash", choices=["hash", "random"])
     ap.add_argument("--storage-level", default="MEMORY_AND_DISK")
     ap.add_argument("--save-best", action="store_true")
+    ap.add_argument("--parallelism", type=int, default=4, help="models fitted concurrently")
     args = ap.parse_args(argv)
     spark = get_session("meterline-train")
     summary, _ = run_train(
@@ -151,6 +155,7 @@ def main(argv=None) -> None:
         split_method=args.split,
         storage_level=getattr(StorageLevel, args.storage_level),
         save_best=args.save_best,
+        parallelism=args.parallelism,
     )
     print(json.dumps(summary.__dict__, default=str))
 

@@ -20,6 +20,16 @@ from meterline.schemas import RAW_COLUMNS
 from meterline.sources.readers import spread_small_input
 
 
+def ntz_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss`` text of a ``timestamp_ntz``, with no zone conversion.
+
+    ``date_format`` first converts its input to a zoned timestamp in the
+    session time zone, which moves wall-clock times that fall in a
+    daylight-saving gap. The NTZ-to-string cast does not.
+    """
+    return F.substring(ts.cast("string"), 1, 19)
+
+
 def _rem(e: Column, m: int) -> Column:
     return (e % m).cast("double")
 
@@ -33,7 +43,7 @@ def raw_trips_from_events(events: DataFrame) -> DataFrame:
     lat0 = F.lit(40.75) + (_rem(e * 104729, 1000) - 500) / 5000
 
     shifted = F.col("ts").cast("timestamp_ntz") - F.make_dt_interval((e % 2500).cast("int"))
-    pickup_text = F.concat(F.date_format(shifted, "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
+    pickup_text = F.concat(ntz_text(shifted), F.lit(" UTC"))
 
     cols = {
         "key": e.cast("string"),

@@ -148,3 +148,11 @@ def test_metrics_dict_on_constant_prediction(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0)], "label double, prediction double")
     m = metrics_dict(df)
     assert m == {"rmse": 1.0, "mae": 1.0, "r2": 0.0}
+
+
+def test_parallel_training_equals_sequential(frames):
+    train, test = frames
+    specs = M.model_specs("fast")
+    seq = M.train_all(specs, train, test)
+    par = M.train_all(M.model_specs("fast"), train, test, parallelism=3)
+    assert [(r.name, r.rmse, r.mae, r.r2) for r in seq] == [(r.name, r.rmse, r.mae, r.r2) for r in par]
