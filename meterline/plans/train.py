@@ -5,9 +5,11 @@ Plan:
 1. Read the clean table (Parquet, column-pruned to ``key`` + label + 10
    features) and split it by the stable hash of ``key``. This is a per-row
    filter: no sort and no shuffle.
-2. Persist train and test (``MEMORY_AND_DISK`` by default). Each model
-   reads them several times. A lost executor's blocks are recomputed from
-   the Parquet lineage, which is short.
+2. Persist train and test (``MEMORY_AND_DISK`` by default; ``DISK_ONLY``,
+   or ``NONE`` to re-read the column-pruned Parquet on every pass, when the
+   table outgrows the cluster's memory). Each model reads them several
+   times. A lost executor's blocks are recomputed from the Parquet
+   lineage, which is short.
 3. Fit every model of the profile (Spark ML's distributed solvers), score
    the test rows and compute RMSE, MAE and R² in one aggregate per model.
    The fits are submitted concurrently (``parallelism``), so one model's
@@ -65,7 +67,7 @@ def run_train(
     output_base: str | None,
     profile: str = "fast",
     split_method: str = "hash",
-    storage_level: StorageLevel = StorageLevel.MEMORY_AND_DISK,
+    storage_level: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
     save_best: bool = False,
     sample_rows: int = 1000,
     bins: int = 30,
@@ -78,8 +80,9 @@ def run_train(
     """
     frame = M.model_input(clean, features)
     train, test = split_frames(frame, split_method)
-    train = train.persist(storage_level)
-    test = test.persist(storage_level)
+    if storage_level is not None:
+        train = train.persist(storage_level)
+        test = test.persist(storage_level)
     best_preds = None
     try:
         if split_method == "hash":
@@ -93,7 +96,8 @@ def run_train(
         best = M.best_result(results)
         evaluation = M.results_table(spark, results)
 
-        best_preds = M.prediction_frame(best).select("key", *PREDICTION_SAMPLE_COLUMNS).persist(storage_level)
+        best_preds = M.prediction_frame(best).select("key", *PREDICTION_SAMPLE_COLUMNS)
+        best_preds = best_preds.persist(storage_level or StorageLevel.MEMORY_AND_DISK)
         tables = {
             "evaluation_result": evaluation.orderBy("position").drop("position"),
             "leaderboard": leaderboard(evaluation).orderBy("rank_rmse"),
@@ -142,7 +146,10 @@ def main(argv=None) -> None:
     ap.add_argument("--output", required=True, help="output base directory")
     ap.add_argument("--profile", default="fast", choices=sorted(M.PROFILES))
     ap.add_argument("--split", default="hash", choices=["hash", "random"])
-    ap.add_argument("--storage-level", default="MEMORY_AND_DISK")
+    ap.add_argument(
+        "--storage-level", default="MEMORY_AND_DISK",
+        help="persist level for train/test (e.g. DISK_ONLY), or NONE to re-read Parquet each pass",
+    )
     ap.add_argument("--save-best", action="store_true")
     ap.add_argument("--parallelism", type=int, default=4, help="models fitted concurrently")
     args = ap.parse_args(argv)
@@ -153,7 +160,7 @@ def main(argv=None) -> None:
         args.output,
         profile=args.profile,
         split_method=args.split,
-        storage_level=getattr(StorageLevel, args.storage_level),
+        storage_level=None if args.storage_level == "NONE" else getattr(StorageLevel, args.storage_level),
         save_best=args.save_best,
         parallelism=args.parallelism,
     )
