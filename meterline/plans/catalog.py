@@ -298,7 +298,7 @@ def gbt_predictions(spark, sf_dir):
 
 def _evaluation(spark, sf_dir, profile):
     train, test = _train_test(spark, sf_dir)
-    results = M.train_all(M.model_specs(profile), train, test)
+    results = M.train_all(M.model_specs(profile), train, test, parallelism=4)
     return rounded(M.results_table(spark, results).drop("position"))
 
 
