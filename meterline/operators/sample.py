@@ -10,8 +10,9 @@ of tasks, so the merge would take hundreds of millions of rows. This version
 first finds, in one aggregate pass that reads only ``key``, the smallest
 power-of-two bound ``2^b`` on the 32-bit hash prefix that at least n rows
 fall below. It then keeps only rows under that bound before the top-k, so
-the merge sees about 2n rows. The bound comes from a scalar subquery that
-Spark runs once inside the same plan, so no rows go through the driver.
+the merge sees about 2n rows. Only the integer b reaches the driver. When
+the row count is already known (as in the jobs), the bound is computed
+arithmetically and checked during the write (``write_ordered_sample``).
 The result is exact. If at least n rows hash below ``2^b``, every row of
 the true top n does too, because a smaller hash prefix means a smaller md5
 hex string.
@@ -27,14 +28,25 @@ from meterline.functions.hashing import hash32, sample_order_key
 HASH_BITS = 32
 
 
-def hash_bound_bits(df: DataFrame, n: int, key: str = "key"):
-    """Scalar column: smallest b with count(hash32(key) < 2^b) >= n (else 32)."""
+def hash_bound_bits(df: DataFrame, n: int, key: str = "key") -> int:
+    """Smallest b with count(hash32(key) < 2^b) >= n (else 32).
+
+    One aggregate pass reading only ``key``; each task sends one row of 33
+    counts. The answer is one small integer, used as a literal, so the
+    filtered top-k plan holds no subquery (a subquery in a filter is also
+    copied into the scan's data filters and would run twice).
+    """
+    return int(hash_bound_frame(df, n, key).first()["bits"])
+
+
+def hash_bound_frame(df: DataFrame, n: int, key: str = "key") -> DataFrame:
+    """One-row frame holding ``bits`` (see ``hash_bound_bits``)."""
     h = hash32(key)
     wide = df.agg(*[F.count_if(h < (1 << b)).alias(f"below_{b}") for b in range(HASH_BITS + 1)])
     first_enough = F.coalesce(
         *[F.when(F.col(f"below_{b}") >= n, F.lit(b)) for b in range(HASH_BITS + 1)], F.lit(HASH_BITS)
     )
-    return wide.select(first_enough).scalar()
+    return wide.select(first_enough.alias("bits"))
 
 
 def ordered_sample(df: DataFrame, n: int = 1000, key: str = "key", prefilter: bool = True) -> DataFrame:
@@ -45,7 +57,7 @@ def ordered_sample(df: DataFrame, n: int = 1000, key: str = "key", prefilter: bo
     out = df
     if prefilter:
         bits = hash_bound_bits(df, n, key)
-        out = out.filter(hash32(key) < F.pow(F.lit(2.0), bits))
+        out = out.filter(hash32(key) < F.lit(float(1 << bits)))
     return out.orderBy(sample_order_key(key), F.col(key)).limit(n)
 
 

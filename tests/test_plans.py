@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 from meterline.operators.clean import clean_from_flags, clean_trips, with_stage_flags
 from meterline.operators.funnel import funnel_counts
-from meterline.operators.sample import ordered_sample
+from meterline.operators.sample import hash_bound_frame, ordered_sample
 from meterline.sources.fixtures import read_raw_trips
 from meterline.sources.readers import read_raw_csv
 
@@ -53,9 +53,11 @@ def test_funnel_is_one_aggregate_with_a_single_row_exchange(spark, raw_csv):
 def test_sample_bound_reads_only_key(spark, tmp_path):
     path = str(tmp_path / "clean")
     clean_trips(read_raw_trips(spark, SF001)).write.parquet(path)
-    p = plan(ordered_sample(spark.read.parquet(path), 1000))
-    assert "ReadSchema: struct<key:string>" in p
-    assert "TakeOrderedAndProject" in p
+    clean = spark.read.parquet(path)
+    bound = plan(hash_bound_frame(clean, 1000))
+    assert "ReadSchema: struct<key:string>" in bound
+    p = plan(ordered_sample(clean, 1000))
+    assert "TakeOrderedAndProject" in p and "Subquery" not in p
 
 
 @pytest.mark.parametrize("name", sorted(E.oracle_sql()))
