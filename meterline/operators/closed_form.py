@@ -71,44 +71,78 @@ def standardize(df: DataFrame, features: list[str], with_mean: bool = False, wit
 # ------------------------------------------------------------ linear fits
 
 
+def linear_moments(y: str, xs: list[str]) -> list[Column]:
+    """Every aggregate the linear fits below need, in one list.
+
+    Each fit then reads its coefficients off one aggregate row, so several
+    fits over the same rows share one pass.
+    """
+    Y = F.col(y)
+    cols = [F.avg(Y).alias("m_y"), F.stddev_pop(Y).alias("s_y")]
+    for x in xs:
+        X = F.col(x)
+        cols += [
+            F.avg(X).alias(f"m_{x}"),
+            F.stddev_pop(X).alias(f"s_{x}"),
+            F.corr(Y, X).alias(f"r_{x}"),
+            F.regr_slope(Y, X).alias(f"b_{x}"),
+            F.regr_intercept(Y, X).alias(f"a_{x}"),
+        ]
+    for i, a in enumerate(xs):
+        for b in xs[i + 1 :]:
+            cols.append(F.corr(F.col(a), F.col(b)).alias(f"c_{a}__{b}"))
+    return cols
+
+
+def ols_terms(x: str) -> dict[str, Column]:
+    """Least-squares line on one feature."""
+    return {"slope": F.col(f"b_{x}"), "intercept": F.col(f"a_{x}")}
+
+
+def ridge1_terms(x: str, reg: float) -> dict[str, Column]:
+    """Standardised L2 regression on one feature: the OLS slope shrunk by 1 + λ/σy."""
+    slope = F.col(f"b_{x}") / (1 + F.lit(reg) / F.col("s_y"))
+    return {"slope": slope, "intercept": F.col("m_y") - slope * F.col(f"m_{x}")}
+
+
+def ridge2_terms(x1: str, x2: str, reg: float) -> dict[str, Column]:
+    """Standardised L2 regression on two features, solved in correlation space."""
+    k = 1 + F.lit(reg) / F.col("s_y")
+    c, r1, r2 = F.col(f"c_{x1}__{x2}"), F.col(f"r_{x1}"), F.col(f"r_{x2}")
+    det = k * k - c * c
+    w1 = (k * r1 - c * r2) / det * F.col("s_y") / F.col(f"s_{x1}")
+    w2 = (k * r2 - c * r1) / det * F.col("s_y") / F.col(f"s_{x2}")
+    return {"w1": w1, "w2": w2, "intercept": F.col("m_y") - w1 * F.col(f"m_{x1}") - w2 * F.col(f"m_{x2}")}
+
+
+def _fit(df: DataFrame, y: str, xs: list[str], terms: dict[str, Column]) -> DataFrame:
+    return df.agg(*linear_moments(y, xs)).select(*[c.alias(n) for n, c in terms.items()])
+
+
 def ols_1f(df: DataFrame, x: str, y: str = "label") -> DataFrame:
     """(slope, intercept) of the least-squares line."""
-    return df.agg(
-        F.regr_slope(F.col(y), F.col(x)).alias("slope"),
-        F.regr_intercept(F.col(y), F.col(x)).alias("intercept"),
-    )
+    return _fit(df, y, [x], ols_terms(x))
 
 
 def ridge_1f(df: DataFrame, x: str, y: str = "label", reg: float = 0.1) -> DataFrame:
     """(slope, intercept) of standardised L2 regression on one feature."""
-    k = 1 + F.lit(reg) / F.stddev_pop(F.col(y))
-    slope = F.regr_slope(F.col(y), F.col(x)) / k
-    return df.agg(slope.alias("slope"), F.avg(F.col(y)).alias("my"), F.avg(F.col(x)).alias("mx")).select(
-        "slope", (F.col("my") - F.col("slope") * F.col("mx")).alias("intercept")
-    )
+    return _fit(df, y, [x], ridge1_terms(x, reg))
 
 
 def ridge_2f(df: DataFrame, x1: str, x2: str, y: str = "label", reg: float = 0.1) -> DataFrame:
     """(w1, w2, intercept) of standardised L2 regression on two features."""
-    Y, A, B = F.col(y), F.col(x1), F.col(x2)
-    wide = df.agg(
-        F.stddev_pop(Y).alias("sy"),
-        F.stddev_pop(A).alias("s1"),
-        F.stddev_pop(B).alias("s2"),
-        F.corr(A, B).alias("c"),
-        F.corr(Y, A).alias("r1"),
-        F.corr(Y, B).alias("r2"),
-        F.avg(Y).alias("my"),
-        F.avg(A).alias("m1"),
-        F.avg(B).alias("m2"),
-    )
-    k = 1 + F.lit(reg) / F.col("sy")
-    det = k * k - F.col("c") * F.col("c")
-    w1 = (k * F.col("r1") - F.col("c") * F.col("r2")) / det * F.col("sy") / F.col("s1")
-    w2 = (k * F.col("r2") - F.col("c") * F.col("r1")) / det * F.col("sy") / F.col("s2")
-    return wide.select(w1.alias("w1"), w2.alias("w2"), "my", "m1", "m2").select(
-        "w1", "w2", (F.col("my") - F.col("w1") * F.col("m1") - F.col("w2") * F.col("m2")).alias("intercept")
-    )
+    return _fit(df, y, [x1, x2], ridge2_terms(x1, x2, reg))
+
+
+def linear_fits(df: DataFrame, x1: str, x2: str, y: str = "label", reg: float = 0.1) -> DataFrame:
+    """OLS and ridge on ``x1`` plus ridge on (``x1``, ``x2``), from one aggregate pass.
+
+    Columns: ``ols_*``, ``ridge1_*``, ``ridge2_*``.
+    """
+    terms = {}
+    for prefix, t in (("ols", ols_terms(x1)), ("ridge1", ridge1_terms(x1, reg)), ("ridge2", ridge2_terms(x1, x2, reg))):
+        terms.update({f"{prefix}_{k}": v for k, v in t.items()})
+    return _fit(df, y, [x1, x2], terms)
 
 
 def linear_predictions(df: DataFrame, coefs: DataFrame, features: list[str], weights: list[str]) -> DataFrame:

@@ -236,15 +236,14 @@ CLOSED_FORM_MODELS = ["OLS distance", "Ridge distance", "Ridge distance+passenge
 def closed_form_evaluation(spark, sf_dir) -> DataFrame:
     """(model, rmse, mae, r2, position) for three closed-form fits, scored in one pass over the test rows."""
     train, test = _train_test(spark, sf_dir)
-    a = CF.ols_1f(train, ONE_FEATURE).select(F.struct("slope", "intercept").alias("s")).scalar()
-    b = CF.ridge_1f(train, ONE_FEATURE, reg=REG_PARAM).select(F.struct("slope", "intercept").alias("s")).scalar()
-    c = CF.ridge_2f(train, *TWO_FEATURES, reg=REG_PARAM).select(F.struct("w1", "w2", "intercept").alias("s")).scalar()
+    # One aggregate pass over the train rows fits all three models.
+    f = CF.linear_fits(train, *TWO_FEATURES, reg=REG_PARAM).select(F.struct("*").alias("s")).scalar()
     x, x2 = F.col(TWO_FEATURES[0]), F.col(TWO_FEATURES[1])
     preds = test.select(
         "label",
-        (a["intercept"] + a["slope"] * x).alias("p0"),
-        (b["intercept"] + b["slope"] * x).alias("p1"),
-        (c["intercept"] + c["w1"] * x + c["w2"] * x2).alias("p2"),
+        (f["ols_intercept"] + f["ols_slope"] * x).alias("p0"),
+        (f["ridge1_intercept"] + f["ridge1_slope"] * x).alias("p1"),
+        (f["ridge2_intercept"] + f["ridge2_w1"] * x + f["ridge2_w2"] * x2).alias("p2"),
     )
     aggs = []
     for i in range(3):
