@@ -20,3 +20,15 @@ def regression_metric_columns(label: str = "label", prediction: str = "predictio
         F.avg(F.abs(err)).alias("mae"),
         (F.lit(1.0) - mse / F.var_pop(F.col(label))).alias("r2"),
     ]
+
+
+def error_range_columns(label: str = "label", prediction: str = "prediction") -> list[Column]:
+    """Extra aggregates for the same pass: the absolute-error range (histogram
+    bounds) and the largest label and prediction (plot axis bound)."""
+    err = F.abs(F.col(label) - F.col(prediction))
+    return [
+        F.min(err).alias("min_abs_error"),
+        F.max(err).alias("max_abs_error"),
+        F.max(F.col(label)).alias("max_label"),
+        F.max(F.col(prediction)).alias("max_prediction"),
+    ]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.functions.metrics import regression_metric_columns
+from meterline.functions.metrics import error_range_columns, regression_metric_columns
 from meterline.schemas import EVALUATION_SCHEMA
 
 
@@ -19,8 +19,11 @@ def regression_metrics(predictions: DataFrame, label: str = "label", prediction:
 
 
 def metrics_dict(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> dict[str, float]:
-    row = regression_metrics(predictions, label, prediction).first()
-    return {k: float(row[k]) if row[k] is not None else None for k in ("rmse", "mae", "r2")}
+    """RMSE, MAE, R² plus the error range and maxima, all from one pass."""
+    row = predictions.agg(
+        *regression_metric_columns(label, prediction), *error_range_columns(label, prediction)
+    ).first()
+    return {k: (float(v) if v is not None else None) for k, v in row.asDict().items()}
 
 
 def evaluation_table(spark: SparkSession, rows: list[tuple[str, float, float, float]]) -> DataFrame:

@@ -78,6 +78,8 @@ class ModelResult:
     mae: float | None = None
     r2: float | None = None
     error: str | None = field(default=None, repr=False)
+    # Error range and maxima from the same metrics pass (histogram bounds, axis bound).
+    extras: dict = field(default_factory=dict, repr=False)
 
 
 def _assembler(features: list[str], out: str) -> VectorAssembler:
@@ -128,7 +130,8 @@ def train_one(spec: ModelSpec, position: int, train: DataFrame, test: DataFrame,
         model = spec.pipeline.fit(train)
         predictions = model.transform(test)
         m = metrics_dict(predictions)
-        return ModelResult(spec.name, position, True, model, predictions, m["rmse"], m["mae"], m["r2"])
+        extras = {k: v for k, v in m.items() if k not in ("rmse", "mae", "r2")}
+        return ModelResult(spec.name, position, True, model, predictions, m["rmse"], m["mae"], m["r2"], extras=extras)
     except Exception:  # noqa: BLE001 - failure isolation is the feature
         if not isolate:
             raise

@@ -15,17 +15,29 @@ def with_absolute_error(predictions: DataFrame, label: str = "label", prediction
     return predictions.withColumn("absolute_error", F.abs(F.col(label) - F.col(prediction)))
 
 
-def error_histogram(predictions: DataFrame, bins: int = DEFAULT_BINS, label: str = "label", prediction: str = "prediction") -> DataFrame:
+def error_histogram(
+    predictions: DataFrame,
+    bins: int = DEFAULT_BINS,
+    label: str = "label",
+    prediction: str = "prediction",
+    bounds: tuple[float, float] | None = None,
+) -> DataFrame:
     """Equal-width histogram of |label - prediction| over all predictions.
 
-    Two passes: min/max (a scalar subquery), then a grouped count with at
-    most ``bins`` groups. Bins are half-open except the last, which holds
-    the maximum, as in a plotting histogram. Only non-empty bins appear.
+    The range comes from ``bounds`` when the caller already has it (the
+    training job gets it from the metrics pass), else from a min/max
+    scalar subquery. Then one grouped count runs, with at most ``bins``
+    groups (map-side combined). Bins are half-open except the last, which
+    holds the maximum, as in a plotting histogram. Only non-empty bins
+    appear.
     """
     err = F.abs(F.col(label) - F.col(prediction))
     errs = predictions.select(err.alias("e"))
-    rng = errs.select(F.struct(F.min("e").alias("lo"), F.max("e").alias("hi")).alias("r")).scalar()
-    lo, hi = rng["lo"], rng["hi"]
+    if bounds is not None:
+        lo, hi = F.lit(float(bounds[0])), F.lit(float(bounds[1]))
+    else:
+        rng = errs.select(F.struct(F.min("e").alias("lo"), F.max("e").alias("hi")).alias("r")).scalar()
+        lo, hi = rng["lo"], rng["hi"]
     width = (hi - lo) / bins
     b = F.when(hi > lo, F.least(F.floor((F.col("e") - lo) / (hi - lo) * bins), F.lit(bins - 1))).otherwise(F.lit(0))
     # Project the bin first: a grouping key may not hold the subquery itself

@@ -16,9 +16,10 @@ Plan:
    driver-side steps overlap another's executor work.
    A failing model is recorded and the others go on (as in the reference).
    If every model fails, the job raises.
-4. For the best model only: persist a narrow prediction frame, then build
-   the 1000-row sample, the error histogram over *all* test predictions
-   and the plot axis bound. For tree models, add the feature importances.
+4. For the best model only: the 1000-row sample and the error histogram
+   over *all* test predictions (one pass each). The histogram bounds and
+   the plot axis bound come from the metrics pass. For tree models, add
+   the feature importances.
 5. Publish each table as one CSV file (all are bounded: one row per model,
    10 importances, 30 bins, 1000 sample rows) and optionally save the best
    pipeline.
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.operators import models as M
 from meterline.operators.evaluate import leaderboard
-from meterline.operators.report import axis_bound, error_histogram, prediction_sample
+from meterline.operators.report import error_histogram, prediction_sample
 from meterline.operators.split import hash_split, random_split, split_counts
 from meterline.schemas import FEATURE_COLUMNS, PREDICTION_SAMPLE_COLUMNS
 from meterline.sources.readers import read_clean_parquet
@@ -83,27 +84,34 @@ def run_train(
     if storage_level is not None:
         train = train.persist(storage_level)
         test = test.persist(storage_level)
-    best_preds = None
     try:
         if split_method == "hash":
-            split_tbl = split_counts(frame)
+            split = {r["split"]: int(r["rows"]) for r in split_counts(frame).collect()}
         else:
-            split_tbl = spark.createDataFrame([("train", train.count()), ("test", test.count())], "split string, rows bigint")
-        split = {r["split"]: int(r["rows"]) for r in split_tbl.collect()}
+            split = {"train": train.count(), "test": test.count()}
+        # Two numbers on the driver; the published table is built from them
+        # instead of re-running the aggregate.
+        split_tbl = spark.createDataFrame(list(split.items()), "split string, rows bigint")
 
         results = M.train_all(M.model_specs(profile, features), train, test, parallelism=parallelism)
         ok = M.successful(results)
         best = M.best_result(results)
         evaluation = M.results_table(spark, results)
 
+        # Two passes read the best model's scores (histogram, sample); the
+        # scoring is a projection over the persisted test rows, so it is
+        # recomputed rather than cached.
         best_preds = M.prediction_frame(best).select("key", *PREDICTION_SAMPLE_COLUMNS)
-        best_preds = best_preds.persist(storage_level or StorageLevel.MEMORY_AND_DISK)
+        x = best.extras
+        axis = spark.createDataFrame([(max(x["max_label"], x["max_prediction"]),)], "axis_max double")
         tables = {
             "evaluation_result": evaluation.orderBy("position").drop("position"),
             "leaderboard": leaderboard(evaluation).orderBy("rank_rmse"),
             "prediction_sample": None,
-            "error_histogram": error_histogram(best_preds, bins).orderBy("bin"),
-            "axis_bound": axis_bound(best_preds),
+            "error_histogram": error_histogram(
+                best_preds, bins, bounds=(x["min_abs_error"], x["max_abs_error"])
+            ).orderBy("bin"),
+            "axis_bound": axis,
             "feature_importance": M.ranked_importances(M.feature_importances(spark, best, features)),
             "split_counts": split_tbl,
         }
@@ -132,8 +140,6 @@ def run_train(
     finally:
         # Returned tables stay valid after this: unpersisted frames are
         # recomputed from the Parquet lineage if read again.
-        if best_preds is not None:
-            best_preds.unpersist()
         train.unpersist()
         test.unpersist()
 

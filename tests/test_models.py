@@ -147,7 +147,8 @@ def test_tree_importances_and_reload(spark, frames, tmp_out):
 def test_metrics_dict_on_constant_prediction(spark):
     df = spark.createDataFrame([(1.0, 2.0), (3.0, 2.0)], "label double, prediction double")
     m = metrics_dict(df)
-    assert m == {"rmse": 1.0, "mae": 1.0, "r2": 0.0}
+    assert {k: m[k] for k in ("rmse", "mae", "r2")} == {"rmse": 1.0, "mae": 1.0, "r2": 0.0}
+    assert (m["min_abs_error"], m["max_abs_error"], m["max_label"], m["max_prediction"]) == (1.0, 1.0, 3.0, 2.0)
 
 
 def test_parallel_training_equals_sequential(frames):
@@ -156,3 +157,15 @@ def test_parallel_training_equals_sequential(frames):
     seq = M.train_all(specs, train, test)
     par = M.train_all(M.model_specs("fast"), train, test, parallelism=3)
     assert [(r.name, r.rmse, r.mae, r.r2) for r in seq] == [(r.name, r.rmse, r.mae, r.r2) for r in par]
+
+
+def test_metrics_pass_extras_match_report_tables(frames):
+    from meterline.operators.report import axis_bound, error_histogram
+
+    train, test = frames
+    res = M.train_one(M.model_specs("fast")[1], 0, train, test, isolate=False)
+    x = res.extras
+    assert max(x["max_label"], x["max_prediction"]) == axis_bound(res.predictions).first().axis_max
+    a = sorted(map(tuple, error_histogram(res.predictions).collect()))
+    b = sorted(map(tuple, error_histogram(res.predictions, bounds=(x["min_abs_error"], x["max_abs_error"])).collect()))
+    assert a == b
