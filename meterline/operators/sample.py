@@ -69,24 +69,30 @@ def bound_bits_for_total(total: int, n: int, oversample: int = 4) -> int:
     return b
 
 
-def write_ordered_sample(df: DataFrame, n: int, total: int, sink, key: str = "key", oversample: int = 4) -> int:
-    """Write the exact ordered sample in one pass when the row count is known.
+def write_ordered_sample(
+    df: DataFrame, n: int, total: int, path: str, key: str = "key", oversample: int = 4
+) -> int:
+    """Write the exact ordered sample to ``path`` (one CSV file) in one pass
+    when the row count is known.
 
     The jobs know ``total`` already (the funnel observation, the split
     counts), so the hash bound is set arithmetically for about
-    ``oversample * n`` candidates. No bound aggregate runs. A candidate
-    count observed during the write verifies the bound. If fewer than
-    ``min(n, total)`` rows fell under it (a skewed or small input), the
-    bound widens and the write is redone, so the result is always exact.
-    ``sink(frame)`` performs the write. Returns the bits used.
+    ``oversample * n`` candidates, and no bound aggregate runs. The written
+    result verifies the bound: a complete top-n holds ``min(n, total)`` rows.
+    The check reads back at most n rows. It counts what was written, so a
+    retried task cannot skew it, unlike a metric observed below the top-k's
+    exchange. If the bound was too tight (a skewed or small input), it
+    widens and the file is rewritten, so the result is always exact.
+    Returns the bits used.
     """
-    from pyspark.sql import Observation
+    from meterline.sources.sinks import write_single_csv
 
+    spark = df.sparkSession
+    want = min(n, total)
     bits = bound_bits_for_total(total, n, oversample)
     while True:
-        obs = Observation(f"sample_candidates_{bits}")
-        cand = df.filter(hash32(key) < F.lit(float(1 << bits))).observe(obs, F.count(F.lit(1)).alias("n"))
-        sink(cand.orderBy(sample_order_key(key), F.col(key)).limit(n))
-        if bits >= HASH_BITS or obs.get["n"] >= min(n, total):
+        cand = df.filter(hash32(key) < F.lit(float(1 << bits)))
+        write_single_csv(cand.orderBy(sample_order_key(key), F.col(key)).limit(n), path)
+        if bits >= HASH_BITS or spark.read.options(header=True, multiLine=True).csv(path).count() >= want:
             return bits
         bits = min(HASH_BITS, bits + 4)

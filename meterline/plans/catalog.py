@@ -326,13 +326,13 @@ def model_reload_predictions(spark, sf_dir):
 
 
 def stream_funnel(spark, sf_dir):
-    """Raw trips land as CSV files; the streaming ingest cleans them two
+    """Raw trips land as CSV files; the streaming ingest cleans them four
     files per micro-batch; the running funnel must equal the batch funnel."""
     from meterline.streaming import funnel_totals, run_clean_stream
 
     base = scratch_path(spark, "stream")
     _raw(spark, sf_dir).write.option("header", True).csv(f"{base}/in")
-    run_clean_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=2).awaitTermination()
+    run_clean_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ckpt", max_files_per_trigger=4).awaitTermination()
     return funnel_totals(spark, f"{base}/out")
 
 

@@ -9,8 +9,8 @@ Plan:
    so no extra scan runs. Funnel rows are bounded (5), and each task
    sends one partial row.
 4. Sample n rows from the written Parquet in one filtered top-k pass: the
-   clean count is known, so the hash bound is arithmetic, and an observed
-   candidate count verifies it (see ``operators.sample``).
+   clean count is known, so the hash bound is arithmetic, and the written
+   sample's row count verifies it (see ``operators.sample``).
 
 The reference scans its input seven times (five counts, two writes).
 Here the input is scanned once and the smaller clean table once more for
@@ -93,9 +93,7 @@ def run_preprocess(
     write_single_csv(funnel.orderBy("step"), paths["data_summary"])
 
     clean = read_clean_parquet(spark, paths["clean_parquet"])
-    write_ordered_sample(
-        clean, sample_rows, counts["final"], lambda df: write_single_csv(df, paths["cleaned_sample"])
-    )
+    write_ordered_sample(clean, sample_rows, counts["final"], paths["cleaned_sample"])
     return PreprocessResult(counts, paths)
 
 

@@ -41,7 +41,7 @@ from meterline.operators.split import hash_split, random_split, split_counts
 from meterline.schemas import FEATURE_COLUMNS, PREDICTION_SAMPLE_COLUMNS
 from meterline.sources.readers import read_clean_parquet
 from meterline.operators.sample import write_ordered_sample
-from meterline.sources.sinks import model_path, publish_tables, save_pipeline_model, write_single_csv
+from meterline.sources.sinks import model_path, publish_tables, save_pipeline_model
 
 
 @dataclass
@@ -119,10 +119,7 @@ def run_train(
         if output_base:
             # The test-row count is known, so the sample is one filtered top-k pass.
             path = f"{output_base.rstrip('/')}/prediction_sample"
-            write_ordered_sample(
-                best_preds.select("key", *PREDICTION_SAMPLE_COLUMNS), sample_rows, split.get("test", 0),
-                lambda df: write_single_csv(df, path),
-            )
+            write_ordered_sample(best_preds, sample_rows, split.get("test", 0), path)
             paths["prediction_sample"] = path
         tables["prediction_sample"] = prediction_sample(best_preds, sample_rows)
         saved = None
