@@ -77,3 +77,14 @@ def test_ordered_sample_with_duplicate_keys(spark):
     got = ordered_sample(skewed, 50).groupBy("key").count().collect()
     brute = skewed.orderBy(sample_order_key("key"), "key").limit(50).groupBy("key").count().collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, brute))
+
+
+def test_spread_only_touches_small_inputs(spark):
+    from meterline.sources.readers import spread_small_input
+
+    target = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread_small_input(one, "id").rdd.getNumPartitions() == target
+    many = spark.range(100).repartition(target + 3)
+    same = spread_small_input(many, "id")
+    assert same is many
