@@ -160,12 +160,22 @@ def linear_predictions(df: DataFrame, coefs: DataFrame, features: list[str], wei
 # ------------------------------------------------------------------ stump
 
 
-def stump_candidates(df: DataFrame, features: list[str], y: str = "label") -> DataFrame:
+# The cumulative window below holds all distinct values of one feature in
+# one task, so the count is checked first. Spark ML's stump is exact only
+# up to ``maxBins`` (32) distinct values anyway.
+MAX_STUMP_VALUES = 1024
+
+
+def stump_candidates(
+    df: DataFrame, features: list[str], y: str = "label", max_values: int = MAX_STUMP_VALUES
+) -> DataFrame:
     """Every midpoint split of every feature with its variance gain.
 
-    One pass aggregates (feature, value) -> count, sum, sum of squares. The
-    result holds at most (#features x #distinct values) rows, and the
-    cumulative window runs over that small table.
+    One pass aggregates (feature, value) -> count, sum, sum of squares
+    (combined map-side, so a value holding most rows costs one row per
+    task). A small aggregate then checks that no feature has more than
+    ``max_values`` distinct values. The cumulative window runs over that
+    bounded table.
     """
     long = df.select(
         F.col(y).cast("double").alias("y"),
@@ -176,6 +186,11 @@ def stump_candidates(df: DataFrame, features: list[str], y: str = "label") -> Da
     per_value = long.groupBy("position", "feature", "x").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("ss")
     )
+    widest = per_value.groupBy("position").count().agg(F.max("count").alias("m")).first()["m"] or 0
+    if widest > max_values:
+        raise ValueError(
+            f"a stump feature has {widest} distinct values (limit {max_values}); bin it first, e.g. with floor()"
+        )
     upto = Window.partitionBy("position").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("position")
     ordered = Window.partitionBy("position").orderBy("x")

@@ -169,3 +169,9 @@ def test_metrics_pass_extras_match_report_tables(frames):
     a = sorted(map(tuple, error_histogram(res.predictions).collect()))
     b = sorted(map(tuple, error_histogram(res.predictions, bounds=(x["min_abs_error"], x["max_abs_error"])).collect()))
     assert a == b
+
+
+def test_stump_refuses_unbounded_feature(frames):
+    train, _ = frames
+    with pytest.raises(ValueError):
+        CF.stump_candidates(train, ["trip_distance_km"], max_values=100)
