@@ -33,8 +33,20 @@ from meterline.sources.sinks import load_pipeline_model, save_pipeline_model, wr
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_RAW_FRAMES: dict[tuple[int, str], DataFrame] = {}
+
+
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_raw_trips(spark, sf_dir)
+    """Raw trips for ``sf_dir``, built once per session and directory.
+
+    A DataFrame is an immutable, lazy plan, so reusing it only skips
+    re-reading the Parquet footer and re-analysing the projection; every
+    query still scans the whole table when it runs.
+    """
+    k = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if k not in _RAW_FRAMES:
+        _RAW_FRAMES[k] = read_raw_trips(spark, sf_dir)
+    return _RAW_FRAMES[k]
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
