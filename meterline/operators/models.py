@@ -63,8 +63,20 @@ PROFILES = {
 
 @dataclass
 class ModelSpec:
+    """A model as the stages after feature assembly, plus the shared assembler.
+
+    ``pipeline`` is the whole thing (assembler first) for raw-column frames;
+    ``tail`` fits on frames that already carry the assembled ``features``
+    vector, which lets a job assemble once for all models.
+    """
+
     name: str
-    pipeline: Pipeline
+    assembler: VectorAssembler
+    tail: list
+
+    @property
+    def pipeline(self) -> Pipeline:
+        return Pipeline(stages=[self.assembler, *self.tail])
 
 
 @dataclass
@@ -88,30 +100,57 @@ def _assembler(features: list[str], out: str) -> VectorAssembler:
 
 def model_specs(profile: str = "fast", features: list[str] = FEATURE_COLUMNS, checkpoint_interval: int = 10) -> list[ModelSpec]:
     p = PROFILES[profile]
-    linear = Pipeline(
-        stages=[
-            _assembler(features, "raw_features"),
-            StandardScaler(inputCol="raw_features", outputCol="features", withStd=True, withMean=p.linear_center),
-            LinearRegression(featuresCol="features", labelCol=LABEL, maxIter=p.linear_max_iter, regParam=p.reg_param, elasticNetParam=0.0),
-        ]
-    )
-    specs = [ModelSpec(LINEAR, linear)]
-    tree = DecisionTreeRegressor(featuresCol="features", labelCol=LABEL, maxDepth=p.tree_depth, seed=SEED)
-    specs.append(ModelSpec(TREE, Pipeline(stages=[_assembler(features, "features"), tree])))
-    forest = RandomForestRegressor(
-        featuresCol="features", labelCol=LABEL, numTrees=p.forest_trees, maxDepth=p.forest_depth, seed=SEED,
-        checkpointInterval=checkpoint_interval,
-    )
-    specs.append(ModelSpec(FOREST, Pipeline(stages=[_assembler(features, "features"), forest])))
+    specs = [
+        ModelSpec(
+            LINEAR,
+            _assembler(features, "features"),
+            [
+                StandardScaler(inputCol="features", outputCol="scaled_features", withStd=True, withMean=p.linear_center),
+                LinearRegression(
+                    featuresCol="scaled_features", labelCol=LABEL, maxIter=p.linear_max_iter,
+                    regParam=p.reg_param, elasticNetParam=0.0,
+                ),
+            ],
+        ),
+        ModelSpec(
+            TREE,
+            _assembler(features, "features"),
+            [DecisionTreeRegressor(featuresCol="features", labelCol=LABEL, maxDepth=p.tree_depth, seed=SEED)],
+        ),
+        ModelSpec(
+            FOREST,
+            _assembler(features, "features"),
+            [
+                RandomForestRegressor(
+                    featuresCol="features", labelCol=LABEL, numTrees=p.forest_trees, maxDepth=p.forest_depth,
+                    seed=SEED, checkpointInterval=checkpoint_interval,
+                )
+            ],
+        ),
+    ]
     if p.boosted_iter:
-        boosted = GBTRegressor(
-            featuresCol="features", labelCol=LABEL, maxIter=p.boosted_iter, maxDepth=p.boosted_depth, seed=SEED,
-            checkpointInterval=checkpoint_interval,
+        specs.append(
+            ModelSpec(
+                BOOSTED,
+                _assembler(features, "features"),
+                [
+                    GBTRegressor(
+                        featuresCol="features", labelCol=LABEL, maxIter=p.boosted_iter, maxDepth=p.boosted_depth,
+                        seed=SEED, checkpointInterval=checkpoint_interval,
+                    )
+                ],
+            )
         )
-        specs.append(ModelSpec(BOOSTED, Pipeline(stages=[_assembler(features, "features"), boosted])))
     return specs
 
 
+def assembled(df: DataFrame, features: list[str] = FEATURE_COLUMNS, keep: list[str] | None = None) -> DataFrame:
+    """Add the ``features`` vector once; ``keep`` narrows the other columns
+    (a training cache needs only ``label`` and the vector)."""
+    out = _assembler(features, "features").transform(df)
+    return out.select(*keep, "features") if keep is not None else out
+
+
 def model_input(clean: DataFrame, features: list[str] = FEATURE_COLUMNS, keep: tuple[str, ...] = ("key",)) -> DataFrame:
     """Clean table -> ``key``, ``label`` and the ordered features."""
     df = clean.withColumnRenamed("fare_amount", LABEL)
@@ -120,15 +159,25 @@ def model_input(clean: DataFrame, features: list[str] = FEATURE_COLUMNS, keep: t
     return df.select(*kept, LABEL, *features)
 
 
-def train_one(spec: ModelSpec, position: int, train: DataFrame, test: DataFrame, isolate: bool = True) -> ModelResult:
+def train_one(
+    spec: ModelSpec, position: int, train: DataFrame, test: DataFrame, isolate: bool = True, pre_assembled: bool = False
+) -> ModelResult:
     """Fit on ``train``, score ``test``, and compute all three metrics in one pass.
 
-    With ``isolate`` a failure is recorded on the result (the other models
-    still run); without it the error propagates.
+    With ``pre_assembled`` both frames already carry ``features``. Only the
+    stages after assembly are fitted, and the assembler is put back in front,
+    so the returned ``PipelineModel`` still scores raw clean rows. With
+    ``isolate`` a failure is recorded on the result (the other models still
+    run); without it the error propagates.
     """
     try:
-        model = spec.pipeline.fit(train)
-        predictions = model.transform(test)
+        if pre_assembled:
+            fitted_tail = Pipeline(stages=spec.tail).fit(train)
+            model = PipelineModel(stages=[spec.assembler, *fitted_tail.stages])
+            predictions = fitted_tail.transform(test)
+        else:
+            model = spec.pipeline.fit(train)
+            predictions = model.transform(test)
         m = metrics_dict(predictions)
         extras = {k: v for k, v in m.items() if k not in ("rmse", "mae", "r2")}
         return ModelResult(spec.name, position, True, model, predictions, m["rmse"], m["mae"], m["r2"], extras=extras)
@@ -139,7 +188,12 @@ def train_one(spec: ModelSpec, position: int, train: DataFrame, test: DataFrame,
 
 
 def train_all(
-    specs: list[ModelSpec], train: DataFrame, test: DataFrame, isolate: bool = True, parallelism: int = 1
+    specs: list[ModelSpec],
+    train: DataFrame,
+    test: DataFrame,
+    isolate: bool = True,
+    parallelism: int = 1,
+    pre_assembled: bool = False,
 ) -> list[ModelResult]:
     """Train every spec; results keep the spec order.
 
@@ -149,11 +203,11 @@ def train_all(
     independent, so the results equal a sequential run.
     """
     if parallelism <= 1 or len(specs) <= 1:
-        return [train_one(s, i, train, test, isolate) for i, s in enumerate(specs)]
+        return [train_one(s, i, train, test, isolate, pre_assembled) for i, s in enumerate(specs)]
     from concurrent.futures import ThreadPoolExecutor
 
     with ThreadPoolExecutor(max_workers=min(parallelism, len(specs))) as pool:
-        futures = [pool.submit(train_one, s, i, train, test, isolate) for i, s in enumerate(specs)]
+        futures = [pool.submit(train_one, s, i, train, test, isolate, pre_assembled) for i, s in enumerate(specs)]
         return [f.result() for f in futures]
 
 
@@ -198,7 +252,7 @@ def ranked_importances(importances: DataFrame | None) -> DataFrame | None:
 
 def prediction_frame(result: ModelResult) -> DataFrame:
     """Predictions without the ML vector columns."""
-    return result.predictions.drop("raw_features", "features")
+    return result.predictions.drop("features", "scaled_features")
 
 
 def stable_layout(df: DataFrame, partitions: int, key: str = "key") -> DataFrame:

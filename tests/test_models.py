@@ -107,7 +107,7 @@ def test_one_pass_metrics_match_evaluator(frames):
 
 def test_failure_isolation_and_all_failed(spark, frames):
     train, test = frames
-    bad = M.ModelSpec("Broken", Pipeline(stages=[VectorAssembler(inputCols=["no_such_column"], outputCol="features"), DecisionTreeRegressor()]))
+    bad = M.ModelSpec("Broken", VectorAssembler(inputCols=["no_such_column"], outputCol="features"), [DecisionTreeRegressor()])
     good = M.model_specs("fast")[1]
     results = M.train_all([bad, good], train, test)
     assert [r.success for r in results] == [False, True]
@@ -175,3 +175,17 @@ def test_stump_refuses_unbounded_feature(frames):
     train, _ = frames
     with pytest.raises(ValueError):
         CF.stump_candidates(train, ["trip_distance_km"], max_values=100)
+
+
+def test_pre_assembled_training_equals_pipeline_training(frames, tmp_out):
+    train, test = frames
+    specs = M.model_specs("fast")
+    plain = M.train_all(specs, train, test)
+    tr_a = M.assembled(train, keep=["label"])
+    te_a = M.assembled(test)
+    fast = M.train_all(M.model_specs("fast"), tr_a, te_a, pre_assembled=True, parallelism=3)
+    assert [(r.rmse, r.mae, r.r2) for r in plain] == [(r.rmse, r.mae, r.r2) for r in fast]
+    # The returned model still starts from raw columns.
+    again = fast[0].model.transform(test).select("key", "prediction").orderBy("key").collect()
+    first = fast[0].predictions.select("key", "prediction").orderBy("key").collect()
+    assert again == first
