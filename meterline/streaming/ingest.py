@@ -85,3 +85,29 @@ def funnel_totals(spark: SparkSession, output_dir: str) -> DataFrame:
     batches = spark.read.parquet(f"{output_dir.rstrip('/')}/funnel_batches")
     wide = batches.agg(*[F.sum(s).cast("bigint").alias(s) for s in STAGES])
     return wide_to_funnel(wide)
+
+
+def main(argv=None) -> None:
+    import argparse
+    import json
+
+    from meterline.session import get_session
+
+    ap = argparse.ArgumentParser(description="clean raw trip CSV files as they arrive")
+    ap.add_argument("--input", required=True, help="directory that receives raw trip CSV files")
+    ap.add_argument("--output", required=True, help="output base (clean/, funnel_batches/)")
+    ap.add_argument("--checkpoint", required=True, help="streaming checkpoint location on shared storage")
+    ap.add_argument("--max-files-per-trigger", type=int, default=None)
+    ap.add_argument("--every", default=None, help="keep running with this trigger interval, e.g. '1 minute'")
+    args = ap.parse_args(argv)
+    spark = get_session("meterline-stream")
+    q = run_clean_stream(
+        spark, args.input, args.output, args.checkpoint, args.max_files_per_trigger,
+        available_now=args.every is None, processing_time=args.every,
+    )
+    q.awaitTermination()
+    print(json.dumps({r["stage"]: r["rows"] for r in funnel_totals(spark, args.output).collect()}))
+
+
+if __name__ == "__main__":
+    main()

@@ -24,3 +24,11 @@ def test_stream_matches_batch(spark, tmp_out):
     got = {r.stage: r.rows for r in funnel_totals(spark, out).collect()}
     assert got == want
     assert spark.read.parquet(f"{out}/clean").count() == want["final"]
+
+
+def test_stream_cli(spark, tmp_out, capsys):
+    from meterline.streaming.ingest import main
+
+    read_raw_trips(spark, SF001).write.option("header", True).csv(f"{tmp_out}/in")
+    main(["--input", f"{tmp_out}/in", "--output", f"{tmp_out}/out", "--checkpoint", f"{tmp_out}/ckpt", "--max-files-per-trigger", "3"])
+    assert '"final": 717' in capsys.readouterr().out
