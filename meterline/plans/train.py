@@ -90,10 +90,13 @@ def run_train(
         train = train.persist(storage_level)
         test = test.persist(storage_level)
     try:
-        if split_method == "hash":
-            split = {r["split"]: int(r["rows"]) for r in split_counts(frame).collect()}
+        if storage_level is not None or split_method != "hash":
+            # Counting the persisted frames fills both caches in the pass that
+            # had to happen anyway, and before the concurrent fits start (so
+            # they do not all compute the same uncached partitions at once).
+            split = {"train": train.count(), "test": test.count()}
         else:
-            split = {"train": train.count(), "test": test.count()}  # persisted: counting fills the cache
+            split = {r["split"]: int(r["rows"]) for r in split_counts(frame).collect()}
         # Two numbers on the driver; the published table is built from them
         # instead of re-running the aggregate.
         split_tbl = spark.createDataFrame(list(split.items()), "split string, rows bigint")

@@ -23,20 +23,26 @@ def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.coalesce(1).write.mode(mode).option("header", True).csv(path)
 
 
-def publish_tables(tables: Mapping[str, DataFrame | None], base: str) -> dict[str, str]:
+def publish_tables(tables: Mapping[str, DataFrame | None], base: str, parallelism: int = 4) -> dict[str, str]:
     """Write each present result table to ``{base}/{name}`` as one CSV file.
 
     Absent tables (``None``) are skipped, as the reference's collector skips
-    missing part files. Returns the names written with their paths.
+    missing part files. The tables are small and independent, so they are
+    written from concurrent driver threads. Returns the names written with
+    their paths.
     """
-    written = {}
-    for name, df in tables.items():
-        if df is None:
-            continue
-        path = f"{base.rstrip('/')}/{name}"
-        write_single_csv(df, path)
-        written[name] = path
-    return written
+    present = {name: df for name, df in tables.items() if df is not None}
+    paths = {name: f"{base.rstrip('/')}/{name}" for name in present}
+    if parallelism <= 1 or len(present) <= 1:
+        for name, df in present.items():
+            write_single_csv(df, paths[name])
+        return paths
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(present))) as pool:
+        for f in [pool.submit(write_single_csv, df, paths[name]) for name, df in present.items()]:
+            f.result()
+    return paths
 
 
 def model_path(base: str, model_name: str) -> str:
