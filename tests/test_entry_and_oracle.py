@@ -10,6 +10,7 @@ import __spark_entry__ as E
 
 from .conftest import SF001
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SLOW_ML = {"linear_full", "dt_predictions", "rf_predictions", "gbt_predictions", "evaluation_fast", "evaluation_full", "feature_importance_dt", "model_reload_predictions"}
 
@@ -53,5 +54,8 @@ def test_query_matches_duckdb(spark, con, name):
     dcols = [d[0] for d in res.description]
     drows = res.fetchall()
     assert sorted(df.columns) == sorted(dcols)
+    spark_types = {f.name: TYPES.get(f.dataType.simpleString()) for f in df.schema.fields}
+    duck_types = {n: str(t) for n, t in zip(dcols, [d[1] for d in res.description])}
+    assert spark_types == duck_types
     assert len(srows) == len(drows)
     assert _digest(df.columns, srows) == _digest(dcols, drows)
