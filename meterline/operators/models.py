@@ -206,8 +206,15 @@ def train_all(
         return [train_one(s, i, train, test, isolate, pre_assembled) for i, s in enumerate(specs)]
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark.util import inheritable_thread_target
+
     with ThreadPoolExecutor(max_workers=min(parallelism, len(specs))) as pool:
-        futures = [pool.submit(train_one, s, i, train, test, isolate, pre_assembled) for i, s in enumerate(specs)]
+        # Wrapped here, in the calling thread, so each fit's jobs inherit the
+        # caller's local properties (job group, scheduler pool).
+        futures = [
+            pool.submit(inheritable_thread_target(train_one), s, i, train, test, isolate, pre_assembled)
+            for i, s in enumerate(specs)
+        ]
         return [f.result() for f in futures]
 
 

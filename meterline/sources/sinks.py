@@ -39,8 +39,11 @@ def publish_tables(tables: Mapping[str, DataFrame | None], base: str, parallelis
         return paths
     from concurrent.futures import ThreadPoolExecutor
 
+    from pyspark.util import inheritable_thread_target
+
     with ThreadPoolExecutor(max_workers=min(parallelism, len(present))) as pool:
-        for f in [pool.submit(write_single_csv, df, paths[name]) for name, df in present.items()]:
+        futures = [pool.submit(inheritable_thread_target(write_single_csv), df, paths[name]) for name, df in present.items()]
+        for f in futures:
             f.result()
     return paths
 
