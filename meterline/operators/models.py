@@ -212,7 +212,7 @@ def train_all(
         # Wrapped here, in the calling thread, so each fit's jobs inherit the
         # caller's local properties (job group, scheduler pool).
         futures = [
-            pool.submit(inheritable_thread_target(train_one), s, i, train, test, isolate, pre_assembled)
+            pool.submit(inheritable_thread_target(train.sparkSession)(train_one), s, i, train, test, isolate, pre_assembled)
             for i, s in enumerate(specs)
         ]
         return [f.result() for f in futures]

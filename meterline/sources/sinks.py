@@ -42,7 +42,10 @@ def publish_tables(tables: Mapping[str, DataFrame | None], base: str, parallelis
     from pyspark.util import inheritable_thread_target
 
     with ThreadPoolExecutor(max_workers=min(parallelism, len(present))) as pool:
-        futures = [pool.submit(inheritable_thread_target(write_single_csv), df, paths[name]) for name, df in present.items()]
+        futures = [
+            pool.submit(inheritable_thread_target(df.sparkSession)(write_single_csv), df, paths[name])
+            for name, df in present.items()
+        ]
         for f in futures:
             f.result()
     return paths
