@@ -41,7 +41,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="preprocess + train in one run")
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
-    ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--format", default="csv", choices=["csv", "parquet", "events"])
     ap.add_argument("--profile", default="full")
     args = ap.parse_args(argv)
     spark = get_session("meterline-combined")

@@ -56,6 +56,11 @@ def read_raw(spark: SparkSession, input_path: str, input_format: str = "csv") ->
         return read_raw_csv(spark, input_path)
     if input_format == "parquet":
         return spark.read.parquet(input_path)
+    if input_format == "events":
+        # The test tables' ``events`` Parquet, turned into raw trips by Spark.
+        from meterline.sources.fixtures import raw_trips_from_events
+
+        return raw_trips_from_events(spark.read.parquet(input_path))
     raise ValueError(f"unknown input format {input_format!r}")
 
 
@@ -103,7 +108,7 @@ def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="raw trips -> clean Parquet + funnel + sample")
     ap.add_argument("--input", required=True, help="raw trip CSV (or Parquet) path, any Hadoop-FS URI")
     ap.add_argument("--output", required=True, help="output base directory")
-    ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--format", default="csv", choices=["csv", "parquet", "events"])
     ap.add_argument("--sample-rows", type=int, default=1000)
     ap.add_argument("--funnel-mode", default="observe", choices=["observe", "aggregate"])
     ap.add_argument("--max-partition-bytes", default=None, help="e.g. 512m for very large inputs")
