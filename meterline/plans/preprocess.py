@@ -2,7 +2,8 @@
 
 Plan:
 
-1. Scan the raw input once (CSV with an explicit schema, or Parquet).
+1. Scan the raw input once (CSV with an explicit schema, Parquet, or the
+   test tables' ``events``).
 2. Project the stage flags and the derived columns in one codegen stage.
 3. ``observe`` the funnel counts on that projection, filter the surviving
    rows and write them to Parquet. The counts come back with the write,
@@ -14,9 +15,9 @@ Plan:
 
 The reference scans its input seven times (five counts, two writes).
 Here the input is scanned once and the smaller clean table once more for
-the sample. No shuffle carries the full table: the only exchanges move one
-row per task (the funnel and the hash-bound count) and at most about 2n
-rows (the sample's top-k).
+the sample. No shuffle carries the full table. The only exchange is the
+sample's top-k, over the few thousand rows under the hash bound; the
+funnel counts travel as observed metrics.
 """
 
 from __future__ import annotations
