@@ -5,11 +5,13 @@ Plan:
 1. Read the clean table (Parquet, column-pruned to ``key`` + label + 10
    features) and split it by the stable hash of ``key``. This is a per-row
    filter: no sort and no shuffle.
-2. Persist train and test (``MEMORY_AND_DISK`` by default; ``DISK_ONLY``,
-   or ``NONE`` to re-read the column-pruned Parquet on every pass, when the
-   table outgrows the cluster's memory). Each model reads them several
-   times. A lost executor's blocks are recomputed from the Parquet
-   lineage, which is short.
+2. Assemble the feature vector once. Persist train as (label, vector) and
+   test as its rows plus the vector (``MEMORY_AND_DISK`` by default;
+   ``DISK_ONLY``, or ``NONE`` to re-read the column-pruned Parquet on
+   every pass, when the table outgrows the cluster's memory). Counting
+   both (the split counts) fills the caches before any fit starts. Each
+   model reads them several times. A lost executor's blocks are
+   recomputed from the Parquet lineage, which is short.
 3. Fit every model of the profile (Spark ML's distributed solvers), score
    the test rows and compute RMSE, MAE and R² in one aggregate per model.
    The fits are submitted concurrently (``parallelism``), so one model's
@@ -20,9 +22,9 @@ Plan:
    over *all* test predictions (one pass each). The histogram bounds and
    the plot axis bound come from the metrics pass. For tree models, add
    the feature importances.
-5. Publish each table as one CSV file (all are bounded: one row per model,
-   10 importances, 30 bins, 1000 sample rows) and optionally save the best
-   pipeline.
+5. Publish each table as one CSV file, concurrently (all are bounded: one
+   row per model, 10 importances, 30 bins, 1000 sample rows). Optionally
+   save the best pipeline; it starts from raw columns.
 """
 
 from __future__ import annotations
