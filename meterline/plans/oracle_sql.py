@@ -146,11 +146,13 @@ funnel AS (
 
 FUNNEL_ROWS = """
 SELECT CAST(step AS INTEGER) AS step, stage,
-       CAST(CASE stage WHEN 'raw' THEN raw WHEN 'after_dropna' THEN after_dropna
-            WHEN 'after_domain_filter' THEN after_domain_filter
-            WHEN 'after_distance_filter' THEN after_distance_filter
-            WHEN 'final' THEN final WHEN 'train' THEN train ELSE test END AS BIGINT) AS rows
-FROM funnel, wide"""
+       CAST(CASE stage WHEN 'raw' THEN (SELECT raw FROM wide)
+            WHEN 'after_dropna' THEN (SELECT after_dropna FROM wide)
+            WHEN 'after_domain_filter' THEN (SELECT after_domain_filter FROM wide)
+            WHEN 'after_distance_filter' THEN (SELECT after_distance_filter FROM wide)
+            WHEN 'final' THEN (SELECT final FROM wide) WHEN 'train' THEN (SELECT train FROM wide)
+            ELSE (SELECT test FROM wide) END AS BIGINT) AS rows
+FROM funnel"""
 
 Q: dict[str, str] = {}
 
@@ -265,10 +267,11 @@ def _scaled_sql(with_mean: bool) -> str:
     cols = []
     for f in FEATURE_LIST:
         x = f"CAST(train.{f} AS DOUBLE)"
+        sd = f"(SELECT s_{f} FROM st)"
         if with_mean:
-            x = f"({x} - st.m_{f})"
-        cols.append(f"{r6(f'CASE WHEN st.s_{f} <> 0 THEN {x} / st.s_{f} ELSE 0.0 END')} AS {f}_scaled")
-    return MODEL_BASE + f", st AS (SELECT {stats} FROM train) SELECT train.key, {', '.join(cols)} FROM train, st"
+            x = f"({x} - (SELECT m_{f} FROM st))"
+        cols.append(f"{r6(f'CASE WHEN {sd} <> 0 THEN {x} / {sd} ELSE 0.0 END')} AS {f}_scaled")
+    return MODEL_BASE + f", st AS (SELECT {stats} FROM train) SELECT train.key, {', '.join(cols)} FROM train"
 
 
 Q["scaled_features"] = _scaled_sql(False)
@@ -340,7 +343,10 @@ Q["tree_stump"] = MODEL_BASE + "," + STUMP + (
 )
 
 PRED = MODEL_BASE + "," + RIDGE_1F + """,
-pred AS (SELECT test.*, ridge1.intercept + ridge1.w * test.trip_distance_km AS prediction FROM test, ridge1)"""
+pred AS (
+  SELECT test.*, (SELECT intercept FROM ridge1) + (SELECT w FROM ridge1) * test.trip_distance_km AS prediction
+  FROM test
+)"""
 
 Q["regression_metrics"] = PRED + (
     f" SELECT {r6('sqrt(avg((label - prediction) * (label - prediction)))')} AS rmse,"
@@ -357,11 +363,15 @@ Q["error_histogram"] = PRED + """,
 errs AS (SELECT abs(label - prediction) AS e FROM pred),
 rng AS (SELECT min(e) AS lo, max(e) AS hi FROM errs),
 binned AS (
-  SELECT CAST(CASE WHEN hi > lo THEN least(floor((e - lo) / (hi - lo) * 30), 29) ELSE 0 END AS INTEGER) AS bin
-  FROM errs, rng
-)""" + (
+  SELECT CAST(CASE WHEN (SELECT hi FROM rng) > (SELECT lo FROM rng)
+              THEN least(floor((e - (SELECT lo FROM rng)) / ((SELECT hi FROM rng) - (SELECT lo FROM rng)) * 30), 29)
+              ELSE 0 END AS INTEGER) AS bin
+  FROM errs
+),
+counted AS (SELECT bin, count(*) AS n FROM binned GROUP BY bin),
+edges AS (SELECT bin, n, (SELECT lo FROM rng) AS lo, (SELECT hi FROM rng) AS hi FROM counted)""" + (
     f" SELECT bin, {r6('lo + bin * ((hi - lo) / 30)')} AS bin_lo, {r6('lo + (bin + 1) * ((hi - lo) / 30)')} AS bin_hi,"
-    " count(*) AS n FROM binned, rng GROUP BY bin, lo, hi"
+    " n FROM edges"
 )
 
 Q["axis_bound"] = PRED + f" SELECT {r6('greatest(max(label), max(prediction))')} AS axis_max FROM pred"
@@ -376,10 +386,11 @@ CLOSED_EVAL = MODEL_BASE + "," + RIDGE_1F + "," + RIDGE_2F + """,
 ols AS (SELECT regr_slope(label, trip_distance_km) AS slope, regr_intercept(label, trip_distance_km) AS intercept FROM train),
 preds AS (
   SELECT label,
-         ols.intercept + ols.slope * trip_distance_km AS p0,
-         ridge1.intercept + ridge1.w * trip_distance_km AS p1,
-         ridge2.intercept + ridge2.w1 * trip_distance_km + ridge2.w2 * passenger_count AS p2
-  FROM test, ols, ridge1, ridge2
+         (SELECT intercept FROM ols) + (SELECT slope FROM ols) * trip_distance_km AS p0,
+         (SELECT intercept FROM ridge1) + (SELECT w FROM ridge1) * trip_distance_km AS p1,
+         (SELECT intercept FROM ridge2) + (SELECT w1 FROM ridge2) * trip_distance_km
+           + (SELECT w2 FROM ridge2) * passenger_count AS p2
+  FROM test
 ),
 wide AS (
   SELECT sqrt(avg((label - p0) * (label - p0))) AS rmse0, avg(abs(label - p0)) AS mae0,
