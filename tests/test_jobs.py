@@ -78,3 +78,9 @@ def test_known_total_sample_falls_back_when_bound_too_tight(spark, tmp_out):
     got = [r.key for r in spark.read.option("header", True).csv(f"{tmp_out}/s").collect()]
     brute = [r.key for r in ordered_sample(clean, 100, prefilter=False).collect()]
     assert got == brute and bits > first
+
+
+def test_preprocess_cli_reads_events_directly(spark, tmp_out, capsys):
+    preprocess.main(["--input", f"{SF001}/events.parquet", "--format", "events", "--output", f"{tmp_out}/ev"])
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert [out["counts"][k] for k in ("raw", "after_dropna", "after_domain_filter", "after_distance_filter", "final")] == [1000, 995, 735, 717, 717]
