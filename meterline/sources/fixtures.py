@@ -71,4 +71,4 @@ def raw_trips_from_events(events: DataFrame) -> DataFrame:
 def read_raw_trips(spark, sf_dir: str) -> DataFrame:
     """Raw trips for a test-data directory (reads ``events.parquet``)."""
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").select("event_id", "ts", "value")
-    return raw_trips_from_events(spread_small_input(events, "event_id"))
+    return raw_trips_from_events(spread_small_input(events))

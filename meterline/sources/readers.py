@@ -39,15 +39,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread_small_input(df: DataFrame, by: str) -> DataFrame:
-    """Hash-repartition ``df`` on ``by`` when it has fewer partitions than
-    the cluster has cores (a single-row-group file is read by one task).
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when it has fewer
+    partitions than cores (a single-row-group file is read by one task).
 
     Large inputs already have many more splits than cores and pass through
-    unchanged, so this never adds a shuffle at scale. Hashing on a column
-    (not round-robin) keeps the layout deterministic when a task is retried.
+    unchanged, so this never adds a shuffle at scale. Round-robin balances
+    rows even when one value holds most of them. Spark sorts each partition
+    before distributing (``spark.sql.execution.sortBeforeRepartition``), so
+    a retried task gets the same rows.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
-        return df.repartition(target, by)
+        return df.repartition(target)
     return df

@@ -84,7 +84,8 @@ def test_spread_only_touches_small_inputs(spark):
 
     target = spark.sparkContext.defaultParallelism
     one = spark.range(100).coalesce(1)
-    assert spread_small_input(one, "id").rdd.getNumPartitions() == target
+    spread = spread_small_input(one)
+    assert spread.rdd.getNumPartitions() == target
+    assert sorted(r.id for r in spread.collect()) == list(range(100))
     many = spark.range(100).repartition(target + 3)
-    same = spread_small_input(many, "id")
-    assert same is many
+    assert spread_small_input(many) is many
