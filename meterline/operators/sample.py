@@ -12,7 +12,8 @@ power-of-two bound ``2^b`` on the 32-bit hash prefix that at least n rows
 fall below. It then keeps only rows under that bound before the top-k, so
 the merge sees about 2n rows. Only the integer b reaches the driver. When
 the row count is already known (as in the jobs), the bound is computed
-arithmetically and checked during the write (``write_ordered_sample``).
+arithmetically and checked against the written sample's row count
+(``write_ordered_sample``).
 The result is exact. If at least n rows hash below ``2^b``, every row of
 the true top n does too, because a smaller hash prefix means a smaller md5
 hex string.
