@@ -131,6 +131,18 @@ class Encoder:
             return b"".join(self.words[text[i:j]] for i, j in zip(cuts, cuts[1:]))
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def spans(self, text: str) -> tuple[list[int], list[bytes]]:
+        """Where each word of ``text`` starts (with the space before it) and its ids; only for layouts that cut at spaces."""
+        if self.layout == "folded" or not _SPACE_RUN.search(text):
+            parts = (text.replace("\n", " ") if self.layout == "folded" else text).split(" ")
+            starts, at = [0], len(parts[0])
+            for p in parts[1:]:
+                starts.append(at)
+                at += len(p) + 1
+            return starts, [self.words[parts[0]], *map(self.led.__getitem__, parts[1:])]
+        cuts = [0, *(m.start() for m in _SAFE_CUT.finditer(text)), len(text)]
+        return cuts[:-1], [self.words[text[i:j]] for i, j in zip(cuts, cuts[1:])]
+
     def count(self, text: str) -> int:
         return len(self.encode(text)) // 4
 
