@@ -77,8 +77,8 @@ def best_rule(rules: Column, path: Column) -> Column:
 def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
     """Distinct (src, dst) between different hosts; ``pages`` has ``host``."""
     found = F.explode(F.array_distinct(F.regexp_extract_all(column(html_col), F.lit(LINK), F.lit(1))))
-    linked = pages.filter("host <> ''").select(F.col("host").alias("src"), F.translate(found, UPPER, LOWER).alias("dst"))
-    return linked.filter("src <> dst").distinct()
+    linked = pages.filter("host <> ''").select(F.col("host").alias("src"), found.alias("dst"))
+    return linked.withColumn("dst", F.translate("dst", UPPER, LOWER)).filter("src <> dst").distinct()
 
 
 def propagate(hosts: DataFrame, edges: DataFrame, flow_percent: int = FLOW_PERCENT, rounds: int = ROUNDS) -> DataFrame:
@@ -153,11 +153,11 @@ def oracle_sql(rules: list[Rule], flow_percent: int = FLOW_PERCENT, rounds: int
     return f"""
 WITH rules(verdict, rule_host, rule_path, rule) AS (VALUES {values}),
 parts AS (
-  SELECT page_id, html, instr(url, '://') AS at, substr(url, instr(url, '://') + 3) AS rest FROM pages),
+  SELECT page_id, html, instr(url, '://') AS pos, substr(url, instr(url, '://') + 3) AS rest FROM pages),
 named AS MATERIALIZED (
   SELECT page_id, html,
-    CASE WHEN at > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') ELSE '' END AS host,
-    CASE WHEN at > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+    CASE WHEN pos > 0 THEN translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') ELSE '' END AS host,
+    CASE WHEN pos > 0 THEN regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
   FROM parts),
 edges AS MATERIALIZED (
   SELECT DISTINCT src, dst FROM (
