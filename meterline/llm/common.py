@@ -49,6 +49,16 @@ def fresh_name(df: DataFrame, base: str) -> str:
     return base
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``name``, evaluated once per row.
+
+    A plain projection is merged into what reads it, and a lambda would then
+    evaluate the whole expression again for each element of its array.
+    """
+    kept = [column(c) for c in df.columns if c != name]
+    return df.select(*kept, F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def column(name: str) -> Column:
     """A column by its exact name, whatever characters it holds."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import Stored, column, fresh_name
+from meterline.llm.common import Stored, column, fresh_name, once
 
 # A line ends a chunk if its rolling hash is divisible by this: the mean lines of a chunk.
 MEAN_LINES = 4
@@ -43,10 +43,12 @@ def chunk_text(lines: Column, chunk: Column) -> Column:
 
 def with_chunks(docs: DataFrame, text_col: str, lines: str, ends: str, chunks: str, mean_lines: int) -> DataFrame:
     """``docs`` with its ``lines``, chunk ``ends`` and ``chunks``: (no, first line from 1, n lines). A null text has none."""
-    cut = docs.withColumn(lines, F.split(column(text_col), "\n")).withColumn(ends, chunk_ends(line_hashes(column(lines)), mean_lines))
+    cut = once(docs, lines, F.split(column(text_col), "\n"))
+    cut = once(cut, ends, line_hashes(column(lines)))
+    cut = once(cut, ends, chunk_ends(column(ends), mean_lines))
     begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(column(ends), i - 1))
     spans = F.transform(column(ends), lambda e, i: F.struct(i.alias("no"), (begin(i) + 1).alias("first"), (e - begin(i)).alias("n")))
-    return cut.withColumn(chunks, spans)
+    return once(cut, chunks, spans)
 
 
 def eligible(lines: Column, chunk: Column, min_lines: int) -> Column:
@@ -71,7 +73,7 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     per_doc = Stored(hits.groupBy("doc_id", "text_md5").agg(F.collect_set("hit").alias("hits")), "chunk-hits")
     # The texts of repeated chunks only, once per document, for the comparison of bytes.
     keyed = per_doc.df.select(F.col("doc_id").alias("hit_id"), F.col("text_md5").alias("hit_md5"), "hits")
-    held = slim.join(keyed, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_md5") == F.col("hit_md5")))
+    held = slim.join(keyed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_md5") == F.col("hit_md5")))
     held = with_chunks(held, "text", "lines", "ends", "chunks", mean_lines)
     texts = held.select("doc_id", "text_md5", F.explode("hits").alias("hit"), "lines", "chunks").select("doc_id", "text_md5", "hit.no", "hit.is_first", chunk_text(F.col("lines"), F.get("chunks", F.col("hit.no"))).alias("chunk"))
     texts = Stored(texts.withColumn("digest", F.unhex(F.md5("chunk"))), "chunk-texts")
@@ -94,7 +96,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     removed = repeated_chunks(docs, id_col, text_col, mean_lines, min_lines)
     rid, rmd5, nos, md5 = (fresh_name(docs, n) for n in ("removed_id", "removed_md5", "removed_nos", "text_md5"))
     keyed = removed.select(F.col("doc_id").alias(rid), F.col("text_md5").alias(rmd5), F.col("nos").alias(nos))
-    joined = docs.withColumn(md5, F.md5(column(text_col))).join(keyed, column(id_col).eqNullSafe(column(rid)) & (column(md5) == column(rmd5)), "left")
+    joined = docs.withColumn(md5, F.md5(column(text_col))).join(keyed.hint("merge"), column(id_col).eqNullSafe(column(rid)) & (column(md5) == column(rmd5)), "left")
     lines, ends, chunks = (fresh_name(joined, n) for n in ("lines", "ends", "chunks"))
     cut = with_chunks(joined, text_col, lines, ends, chunks, mean_lines)
     gone = lambda c: F.array_contains(column(nos), c["no"])
