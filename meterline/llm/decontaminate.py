@@ -78,6 +78,13 @@ def simhash_windows(shingles: np.ndarray, starts: np.ndarray, m: int) -> np.ndar
     return np.packbits(2 * (ones[at + m] - ones[at]) > m, axis=1).view(">u8").ravel().astype(np.uint64)
 
 
+def found_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which ``values`` are in the sorted ``known``, by binary search: few values against many known ones."""
+    at = np.searchsorted(known, values)
+    at[at == len(known)] = 0
+    return known[at] == values
+
+
 def near_values(bits: int, radius: int) -> list[int]:
     """All masks of ``bits`` bits with up to ``radius`` bits set."""
     return [v for v in range(1 << bits) if v.bit_count() <= radius]
@@ -154,13 +161,13 @@ class BlockIndex:
                 continue
             table, known = self.sieve[k]
             hits = np.flatnonzero(table[shingles >> np.uint64(44)])
-            hits = hits[np.isin(shingles[hits], known)]
+            hits = hits[found_in(shingles[hits], known)]
             if not len(hits):
                 continue
             for g in groups:
                 if len(shingles) < g.m:
                     continue
-                own = hits[np.isin(shingles[hits], g.known)]
+                own = hits[found_in(shingles[hits], g.known)]
                 # At similarity s, two bags of m shingles share at least 2sm / (1 + s).
                 least = int(np.ceil(2 * self.min_similarity * g.m / (1 + self.min_similarity) - 1e-9))
                 if len(own) < least:
