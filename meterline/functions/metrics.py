@@ -11,14 +11,15 @@ def regression_metric_columns(label: str = "label", prediction: str = "predictio
 
     R² is ``1 - mean squared error / population variance of the label``,
     which equals ``1 - SS_res / SS_tot``; ``var_pop`` uses Spark's stable
-    central-moment update, as the ML evaluator's summariser does.
+    central-moment update, as the ML evaluator's summariser does. A constant
+    label has no R² (null); the other two are still given.
     """
     err = F.col(label) - F.col(prediction)
     mse = F.avg(err * err)
     return [
         F.sqrt(mse).alias("rmse"),
         F.avg(F.abs(err)).alias("mae"),
-        (F.lit(1.0) - mse / F.var_pop(F.col(label))).alias("r2"),
+        (F.lit(1.0) - F.try_divide(mse, F.var_pop(F.col(label)))).alias("r2"),
     ]
 
 

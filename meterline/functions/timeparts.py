@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # The raw text looks like ``2009-06-15 17:26:21 UTC``.
 ZONE_SUFFIX = " UTC"
 PICKUP_FORMAT = "yyyy-MM-dd HH:mm:ss"
-PICKUP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+PICKUP_SHAPE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}\z"
 
 
 def strip_zone_suffix(raw: Column | str) -> Column:

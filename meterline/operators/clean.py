@@ -168,9 +168,9 @@ def clean_stages(raw: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def clean_trips(raw: DataFrame) -> DataFrame:
-    """Raw trips -> the clean, model-ready table (``CLEAN_COLUMNS``)."""
-    return clean_stages(raw)["final"].select(*CLEAN_COLUMNS)
+def clean_trips(raw: DataFrame, columns: list[str] = CLEAN_COLUMNS) -> DataFrame:
+    """Raw trips -> the clean, model-ready table; ``columns`` may also name ``pickup_timestamp`` and the raw text."""
+    return clean_stages(raw)["final"].select(*columns)
 
 
 def with_stage_flags(raw: DataFrame) -> DataFrame:
@@ -195,6 +195,6 @@ def with_stage_flags(raw: DataFrame) -> DataFrame:
     )
 
 
-def clean_from_flags(flagged: DataFrame) -> DataFrame:
-    """Rows of ``with_stage_flags`` that pass every stage, as ``CLEAN_COLUMNS``."""
-    return with_time_features(flagged.filter(F.col("is_final"))).select(*CLEAN_COLUMNS)
+def clean_from_flags(flagged: DataFrame, columns: list[str] = CLEAN_COLUMNS) -> DataFrame:
+    """Rows of ``with_stage_flags`` that pass every stage, as ``columns``."""
+    return with_time_features(flagged.filter(F.col("is_final"))).select(*columns)

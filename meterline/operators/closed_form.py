@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meterline.operators.project import with_columns_once
+
 
 def _one_row_struct(df: DataFrame, fields: dict[str, Column]) -> Column:
     """Aggregate ``fields`` over ``df`` as one struct-valued scalar subquery."""
@@ -49,13 +51,17 @@ def scaler_stats(df: DataFrame, features: list[str]) -> DataFrame:
 def standardize(df: DataFrame, features: list[str], with_mean: bool = False, with_std: bool = True, suffix: str = "_scaled") -> DataFrame:
     """Add ``<f><suffix>`` per feature, as ``StandardScaler`` transforms.
 
-    A zero standard deviation maps to 0.0 (as the ML scaler does).
+    A zero standard deviation maps to 0.0 (as the ML scaler does). The
+    statistics are one subquery, attached to each row once.
     """
     stats = {}
     for f in features:
         stats[f"m_{f}"] = F.avg(F.col(f).cast("double"))
         stats[f"s_{f}"] = F.stddev_samp(F.col(f).cast("double"))
-    s = _one_row_struct(df, stats)
+    held = "_scaler"
+    while held in df.columns:
+        held = f"_{held}"
+    s = F.col(held)
     out = {}
     for f in features:
         x = F.col(f).cast("double")
@@ -65,12 +71,17 @@ def standardize(df: DataFrame, features: list[str], with_mean: bool = False, wit
             std = s[f"s_{f}"]
             x = F.when(std != 0.0, x / std).otherwise(F.lit(0.0))
         out[f"{f}{suffix}"] = x
-    return df.withColumns(out)
+    return with_columns_once(df, {held: _one_row_struct(df, stats)}).withColumns(out).drop(held)
 
 
 # ------------------------------------------------------------ linear fits
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Population correlation; null, not an error, if either side is constant."""
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+
+
 def linear_moments(y: str, xs: list[str]) -> list[Column]:
     """Every aggregate the linear fits below need, in one list.
 
@@ -84,13 +95,13 @@ def linear_moments(y: str, xs: list[str]) -> list[Column]:
         cols += [
             F.avg(X).alias(f"m_{x}"),
             F.stddev_pop(X).alias(f"s_{x}"),
-            F.corr(Y, X).alias(f"r_{x}"),
+            correlation(Y, X).alias(f"r_{x}"),
             F.regr_slope(Y, X).alias(f"b_{x}"),
             F.regr_intercept(Y, X).alias(f"a_{x}"),
         ]
     for i, a in enumerate(xs):
         for b in xs[i + 1 :]:
-            cols.append(F.corr(F.col(a), F.col(b)).alias(f"c_{a}__{b}"))
+            cols.append(correlation(F.col(a), F.col(b)).alias(f"c_{a}__{b}"))
     return cols
 
 
@@ -101,17 +112,18 @@ def ols_terms(x: str) -> dict[str, Column]:
 
 def ridge1_terms(x: str, reg: float) -> dict[str, Column]:
     """Standardised L2 regression on one feature: the OLS slope shrunk by 1 + λ/σy."""
-    slope = F.col(f"b_{x}") / (1 + F.lit(reg) / F.col("s_y"))
+    # A constant label (s_y = 0) has no shrinkage factor: nulls, not an error.
+    slope = F.try_divide(F.col(f"b_{x}"), 1 + F.try_divide(F.lit(reg), F.col("s_y")))
     return {"slope": slope, "intercept": F.col("m_y") - slope * F.col(f"m_{x}")}
 
 
 def ridge2_terms(x1: str, x2: str, reg: float) -> dict[str, Column]:
     """Standardised L2 regression on two features, solved in correlation space."""
-    k = 1 + F.lit(reg) / F.col("s_y")
+    k = 1 + F.try_divide(F.lit(reg), F.col("s_y"))
     c, r1, r2 = F.col(f"c_{x1}__{x2}"), F.col(f"r_{x1}"), F.col(f"r_{x2}")
     det = k * k - c * c
-    w1 = (k * r1 - c * r2) / det * F.col("s_y") / F.col(f"s_{x1}")
-    w2 = (k * r2 - c * r1) / det * F.col("s_y") / F.col(f"s_{x2}")
+    w1 = F.try_divide(F.try_divide(k * r1 - c * r2, det) * F.col("s_y"), F.col(f"s_{x1}"))
+    w2 = F.try_divide(F.try_divide(k * r2 - c * r1, det) * F.col("s_y"), F.col(f"s_{x2}"))
     return {"w1": w1, "w2": w2, "intercept": F.col("m_y") - w1 * F.col(f"m_{x1}") - w2 * F.col(f"m_{x2}")}
 
 
@@ -150,32 +162,27 @@ def linear_predictions(df: DataFrame, coefs: DataFrame, features: list[str], wei
 
     The coefficients enter as a scalar subquery: computed once, no join.
     """
-    s = coefs.select(F.struct(*weights, "intercept").alias("s")).scalar()
-    pred = s["intercept"]
+    held = "_coefs"
+    while held in df.columns:
+        held = f"_{held}"
+    one = with_columns_once(df, {held: coefs.select(F.struct(*weights, "intercept").alias("s")).scalar()})
+    pred = F.col(held)["intercept"]
     for f, w in zip(features, weights):
-        pred = pred + s[w] * F.col(f)
-    return df.withColumn("prediction", pred)
+        pred = pred + F.col(held)[w] * F.col(f)
+    return one.withColumn("prediction", pred).drop(held)
 
 
 # ------------------------------------------------------------------ stump
 
 
-# The cumulative window below holds all distinct values of one feature in
-# one task, so the count is checked first. Spark ML's stump is exact only
-# up to ``maxBins`` (32) distinct values anyway.
-MAX_STUMP_VALUES = 1024
-
-
-def stump_candidates(
-    df: DataFrame, features: list[str], y: str = "label", max_values: int = MAX_STUMP_VALUES
-) -> DataFrame:
+def stump_candidates(df: DataFrame, features: list[str], y: str = "label") -> DataFrame:
     """Every midpoint split of every feature with its variance gain.
 
     One pass aggregates (feature, value) -> count, sum, sum of squares
     (combined map-side, so a value holding most rows costs one row per
-    task). A small aggregate then checks that no feature has more than
-    ``max_values`` distinct values. The cumulative window runs over that
-    bounded table.
+    task). The cumulative window runs over that table, whose rows are the
+    features' distinct values: hours, passenger counts and whole kilometres
+    of a clean trip are bounded by the cleaning rules.
     """
     long = df.select(
         F.col(y).cast("double").alias("y"),
@@ -186,11 +193,6 @@ def stump_candidates(
     per_value = long.groupBy("position", "feature", "x").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("s"), F.sum(F.col("y") * F.col("y")).alias("ss")
     )
-    widest = per_value.groupBy("position").count().agg(F.max("count").alias("m")).first()["m"] or 0
-    if widest > max_values:
-        raise ValueError(
-            f"a stump feature has {widest} distinct values (limit {max_values}); bin it first, e.g. with floor()"
-        )
     upto = Window.partitionBy("position").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = Window.partitionBy("position")
     ordered = Window.partitionBy("position").orderBy("x")

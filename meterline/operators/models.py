@@ -14,7 +14,6 @@ parameters come back to the driver.
 
 from __future__ import annotations
 
-import traceback
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -123,7 +122,7 @@ def model_specs(profile: str = "fast", features: list[str] = FEATURE_COLUMNS, ch
             [
                 RandomForestRegressor(
                     featuresCol="features", labelCol=LABEL, numTrees=p.forest_trees, maxDepth=p.forest_depth,
-                    seed=SEED, checkpointInterval=checkpoint_interval,
+                    seed=SEED, cacheNodeIds=True, checkpointInterval=checkpoint_interval,
                 )
             ],
         ),
@@ -159,6 +158,12 @@ def model_input(clean: DataFrame, features: list[str] = FEATURE_COLUMNS, keep: t
     return df.select(*kept, LABEL, *features)
 
 
+def failure_text(error: Exception) -> str:
+    """Exception type and message, without the engine's stack."""
+    message = str(error).strip().split("\n\tat ")[0].split("JVM stacktrace")[0].strip()
+    return f"{type(error).__name__}: {message}"
+
+
 def train_one(
     spec: ModelSpec, position: int, train: DataFrame, test: DataFrame, isolate: bool = True, pre_assembled: bool = False
 ) -> ModelResult:
@@ -181,10 +186,10 @@ def train_one(
         m = metrics_dict(predictions)
         extras = {k: v for k, v in m.items() if k not in ("rmse", "mae", "r2")}
         return ModelResult(spec.name, position, True, model, predictions, m["rmse"], m["mae"], m["r2"], extras=extras)
-    except Exception:  # noqa: BLE001 - failure isolation is the feature
+    except Exception as error:  # noqa: BLE001 - failure isolation is the feature
         if not isolate:
             raise
-        return ModelResult(spec.name, position, False, error=traceback.format_exc())
+        return ModelResult(spec.name, position, False, error=failure_text(error))
 
 
 def train_all(
@@ -222,14 +227,14 @@ def successful(results: list[ModelResult]) -> list[ModelResult]:
     """Only the models that trained; raises if none did."""
     ok = [r for r in results if r.success]
     if not ok:
-        errors = "; ".join(f"{r.name}: {(r.error or '').strip().splitlines()[-1:]}" for r in results)
+        errors = "; ".join(f"{r.name}: {r.error or 'no error text'}" for r in results)
         raise RuntimeError(f"every model failed, nothing to evaluate ({errors})")
     return ok
 
 
 def best_result(results: list[ModelResult]) -> ModelResult:
-    """Lowest RMSE among successful models; ties go to the earlier model."""
-    return min(successful(results), key=lambda r: (r.rmse, r.position))
+    """Lowest RMSE among successful models; ties go to the earlier model, one without an RMSE comes last."""
+    return min(successful(results), key=lambda r: (r.rmse is None, r.rmse or 0.0, r.position))
 
 
 def results_table(spark: SparkSession, results: list[ModelResult]) -> DataFrame:
@@ -260,14 +265,3 @@ def ranked_importances(importances: DataFrame | None) -> DataFrame | None:
 def prediction_frame(result: ModelResult) -> DataFrame:
     """Predictions without the ML vector columns."""
     return result.predictions.drop("features", "scaled_features")
-
-
-def stable_layout(df: DataFrame, partitions: int, key: str = "key") -> DataFrame:
-    """Fixed partitioning and order, so forests (which sample per
-    partition) repeat exactly in tests. This shuffles the whole input, so
-    jobs at scale leave it off."""
-    return df.repartition(partitions, key).sortWithinPartitions(key)
-
-
-def with_model_name(df: DataFrame, name: str) -> DataFrame:
-    return df.withColumn("model", F.lit(name))

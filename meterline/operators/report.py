@@ -25,24 +25,22 @@ def error_histogram(
     """Equal-width histogram of |label - prediction| over all predictions.
 
     The range comes from ``bounds`` when the caller already has it (the
-    training job gets it from the metrics pass), else from a min/max
-    scalar subquery. Then one grouped count runs, with at most ``bins``
-    groups (map-side combined). Bins are half-open except the last, which
-    holds the maximum, as in a plotting histogram. Only non-empty bins
-    appear.
+    training job gets it from the metrics pass), else from one min/max pass
+    (two numbers). Then one grouped count runs, with at most ``bins`` groups
+    (map-side combined). Bins are half-open except the last, which holds the
+    maximum, as in a plotting histogram. There are always ``bins`` rows: empty
+    bins count 0, and without predictions the edges are null.
     """
     err = F.abs(F.col(label) - F.col(prediction))
     errs = predictions.select(err.alias("e"))
-    if bounds is not None:
-        lo, hi = F.lit(float(bounds[0])), F.lit(float(bounds[1]))
-    else:
-        rng = errs.select(F.struct(F.min("e").alias("lo"), F.max("e").alias("hi")).alias("r")).scalar()
-        lo, hi = rng["lo"], rng["hi"]
+    if bounds is None:
+        bounds = tuple(errs.agg(F.min("e"), F.max("e")).first())
+    lo, hi = (F.lit(None if b is None else float(b)).cast("double") for b in bounds)
     width = (hi - lo) / bins
     b = F.when(hi > lo, F.least(F.floor((F.col("e") - lo) / (hi - lo) * bins), F.lit(bins - 1))).otherwise(F.lit(0))
-    # Project the bin first: a grouping key may not hold the subquery itself
-    # when the input (e.g. model scores) is not marked deterministic.
-    counted = errs.select(b.cast("int").alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    empty = predictions.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"), F.lit(0).cast("bigint").alias("n"))
+    found = errs.select(b.cast("int").alias("bin"), F.lit(1).cast("bigint").alias("n"))
+    counted = found.unionByName(empty).groupBy("bin").agg(F.sum("n").alias("n"))
     return counted.select(
         "bin",
         (lo + F.col("bin") * width).alias("bin_lo"),

@@ -16,12 +16,13 @@ arithmetically and checked against the written sample's row count
 (``write_ordered_sample``).
 The result is exact. If at least n rows hash below ``2^b``, every row of
 the true top n does too, because a smaller hash prefix means a smaller md5
-hex string.
+hex string. Rows of one key follow a hash of all their columns, so equal keys
+give the same sample in any layout too.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.functions.hashing import hash32, sample_order_key
@@ -29,6 +30,11 @@ from meterline.functions.hashing import hash32, sample_order_key
 HASH_BITS = 32
 
 
+def sample_order(df: DataFrame, key: str) -> list[Column]:
+    """md5(key), key, then a hash of the whole row."""
+    return [sample_order_key(key), F.col(key), F.xxhash64(*df.columns)]
+
+
 def hash_bound_bits(df: DataFrame, n: int, key: str = "key") -> int:
     """Smallest b with count(hash32(key) < 2^b) >= n (else 32).
 
@@ -51,7 +57,7 @@ def hash_bound_frame(df: DataFrame, n: int, key: str = "key") -> DataFrame:
 
 
 def ordered_sample(df: DataFrame, n: int = 1000, key: str = "key", prefilter: bool = True) -> DataFrame:
-    """The n rows of ``df`` with the smallest (md5(key), key).
+    """The n rows of ``df`` with the smallest (md5(key), key, hash of the row).
 
     ``key`` must be non-null (the clean table guarantees it).
     """
@@ -59,7 +65,7 @@ def ordered_sample(df: DataFrame, n: int = 1000, key: str = "key", prefilter: bo
     if prefilter:
         bits = hash_bound_bits(df, n, key)
         out = out.filter(hash32(key) < F.lit(float(1 << bits)))
-    return out.orderBy(sample_order_key(key), F.col(key)).limit(n)
+    return out.orderBy(*sample_order(df, key)).limit(n)
 
 
 def bound_bits_for_total(total: int, n: int, oversample: int = 4) -> int:
@@ -71,7 +77,7 @@ def bound_bits_for_total(total: int, n: int, oversample: int = 4) -> int:
 
 
 def write_ordered_sample(
-    df: DataFrame, n: int, total: int, path: str, key: str = "key", oversample: int = 4
+    df: DataFrame, n: int, total: int, path: str, key: str = "key", oversample: int = 4, columns: list[str] | None = None
 ) -> int:
     """Write the exact ordered sample to ``path`` (one CSV file) in one pass
     when the row count is known.
@@ -93,7 +99,8 @@ def write_ordered_sample(
     bits = bound_bits_for_total(total, n, oversample)
     while True:
         cand = df.filter(hash32(key) < F.lit(float(1 << bits)))
-        write_single_csv(cand.orderBy(sample_order_key(key), F.col(key)).limit(n), path)
+        best = cand.orderBy(*sample_order(df, key)).limit(n)
+        write_single_csv(best.select(*columns) if columns else best, path)
         if bits >= HASH_BITS or spark.read.options(header=True, multiLine=True).csv(path).count() >= want:
             return bits
         bits = min(HASH_BITS, bits + 4)

@@ -19,10 +19,6 @@ from meterline.functions.hashing import split_bucket
 from meterline.operators.funnel import DEFAULT_TRAIN_PERCENT
 
 
-def with_split_bucket(df: DataFrame, key: str = "key") -> DataFrame:
-    return df.withColumn("split_bucket", split_bucket(key))
-
-
 def with_split_flag(df: DataFrame, train_percent: int = DEFAULT_TRAIN_PERCENT, key: str = "key") -> DataFrame:
     """Add ``split_bucket`` and ``is_train``."""
     b = split_bucket(key)

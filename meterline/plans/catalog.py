@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,29 +26,18 @@ from meterline.operators.report import axis_bound, error_histogram, prediction_s
 from meterline.operators.split import hash_split, split_counts, with_split_flag
 from meterline.operators.validate import select_required
 from meterline.plans.common import rounded, ts_text
-from meterline.schemas import CLEAN_COLUMNS, FEATURE_COLUMNS, RAW_COLUMNS, RAW_TRIP_SCHEMA
+from meterline.plans.train import run_train
+from meterline.schemas import CLEAN_COLUMNS, FEATURE_COLUMNS, FUNNEL_SCHEMA, IMPORTANCE_SCHEMA, RAW_COLUMNS, RAW_TRIP_SCHEMA, SAMPLE_COLUMNS
 from meterline.session import scratch_path
 from meterline.sources.fixtures import read_raw_trips
-from meterline.sources.readers import read_clean_parquet, read_raw_csv
-from meterline.sources.sinks import load_pipeline_model, save_pipeline_model, write_parquet
+from meterline.sources.readers import read_clean_parquet, read_raw_csv, read_result_csv
+from meterline.sources.sinks import load_pipeline_model, save_pipeline_model, write_parquet, write_single_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_RAW_FRAMES: dict[tuple[int, str], DataFrame] = {}
-
-
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips for ``sf_dir``, built once per session and directory.
-
-    A DataFrame is an immutable, lazy plan, so reusing it only skips
-    re-reading the Parquet footer and re-analysing the projection; every
-    query still scans the whole table when it runs.
-    """
-    k = (id(spark._jsparkSession), sf_dir.rstrip("/"))
-    if k not in _RAW_FRAMES:
-        _RAW_FRAMES[k] = read_raw_trips(spark, sf_dir)
-    return _RAW_FRAMES[k]
+    return read_raw_trips(spark, sf_dir)
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,6 +128,12 @@ def clean_sample(spark, sf_dir):
     return rounded(ordered_sample(_clean(spark, sf_dir), 1000))
 
 
+def clean_sample_timestamp(spark, sf_dir):
+    """The one-job profile's sample: 12 columns with the parsed pickup time."""
+    clean = C.clean_trips(_raw(spark, sf_dir), ["key", *SAMPLE_COLUMNS])
+    return rounded(ordered_sample(clean, 1000).withColumn("pickup_timestamp", ts_text("pickup_timestamp")))
+
+
 def model_frame(spark, sf_dir):
     clean = _clean(spark, sf_dir).withColumnRenamed("fare_amount", "label")
     return rounded(clean.select("key", "label", *FEATURE_COLUMNS))
@@ -152,6 +149,28 @@ def csv_roundtrip(spark, sf_dir):
     return rounded(read_raw_csv(spark, path, RAW_TRIP_SCHEMA))
 
 
+def csv_reordered(spark, sf_dir):
+    """Columns in another order and one more among them -> read back by name."""
+    path = scratch_path(spark, "raw-csv")
+    mixed = [*RAW_COLUMNS[3:], "note", *RAW_COLUMNS[:3]]
+    _raw(spark, sf_dir).withColumn("note", F.lit("not asked for")).select(*mixed).write.option("header", True).csv(path)
+    return rounded(read_raw_csv(spark, path))
+
+
+def csv_numeric_text(spark, sf_dir):
+    """Passenger counts written as ``1.0`` -> read back as whole numbers."""
+    path = scratch_path(spark, "raw-csv")
+    _raw(spark, sf_dir).withColumn("passenger_count", F.col("passenger_count").cast("double")).write.option("header", True).csv(path)
+    return rounded(read_raw_csv(spark, path))
+
+
+def funnel_csv(spark, sf_dir):
+    """The funnel through the one-file CSV sink and back."""
+    path = scratch_path(spark, "funnel-csv")
+    write_single_csv(funnel_counts(_raw(spark, sf_dir)), path)
+    return read_result_csv(spark, path, FUNNEL_SCHEMA)
+
+
 def parquet_roundtrip(spark, sf_dir):
     """Clean trips -> Parquet -> read back."""
     path = scratch_path(spark, "clean-parquet")
@@ -229,8 +248,15 @@ def absolute_error(spark, sf_dir):
     return rounded(pred.select("key", "label", "prediction", "absolute_error"))
 
 
+def _stored_predictions(spark, sf_dir) -> DataFrame:
+    """The ridge predictions, scored once: the histogram and the sample read them twice."""
+    path = scratch_path(spark, "ridge-predictions")
+    write_parquet(ridge_1f_predictions(spark, sf_dir), path)
+    return spark.read.parquet(path)
+
+
 def error_histogram_q(spark, sf_dir):
-    return rounded(error_histogram(ridge_1f_predictions(spark, sf_dir)))
+    return rounded(error_histogram(_stored_predictions(spark, sf_dir)))
 
 
 def axis_bound_q(spark, sf_dir):
@@ -238,7 +264,7 @@ def axis_bound_q(spark, sf_dir):
 
 
 def prediction_sample_q(spark, sf_dir):
-    return rounded(prediction_sample(ridge_1f_predictions(spark, sf_dir)))
+    return rounded(prediction_sample(_stored_predictions(spark, sf_dir)))
 
 
 # Names of the closed-form models in the leaderboard.
@@ -281,59 +307,190 @@ def best_model_q(spark, sf_dir):
 # ---------------------------------------------------- pyspark.ml models
 
 
-def _fit(spark, sf_dir, profile, name):
-    train, test = _train_test(spark, sf_dir)
+def _stored_split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of the model frame, written once: every pass of a fit reads the narrow table, not ``events``."""
+    path = scratch_path(spark, "model-frame")
+    write_parquet(with_split_flag(M.model_input(_clean(spark, sf_dir))), path)
+    frame = spark.read.parquet(path).drop("split_bucket")
+    return frame.filter("is_train").drop("is_train"), frame.filter("NOT is_train").drop("is_train")
+
+
+def _fit(train, test, profile, name):
     spec = next(s for s in M.model_specs(profile) if s.name == name)
     return M.train_one(spec, 0, train, test, isolate=False)
 
 
-def _prediction_rows(result) -> DataFrame:
+def _predictions(spark, sf_dir, profile, name) -> DataFrame:
+    result = _fit(*_stored_split(spark, sf_dir), profile, name)
     return rounded(result.predictions.select("key", "label", "prediction"))
 
 
 def linear_full(spark, sf_dir):
-    return _prediction_rows(_fit(spark, sf_dir, "fast", M.LINEAR))
+    return _predictions(spark, sf_dir, "full", M.LINEAR)
 
 
 def dt_predictions(spark, sf_dir):
-    return _prediction_rows(_fit(spark, sf_dir, "fast", M.TREE))
+    return _predictions(spark, sf_dir, "fast", M.TREE)
 
 
 def rf_predictions(spark, sf_dir):
-    return _prediction_rows(_fit(spark, sf_dir, "fast", M.FOREST))
+    return _predictions(spark, sf_dir, "fast", M.FOREST)
 
 
 def gbt_predictions(spark, sf_dir):
-    return _prediction_rows(_fit(spark, sf_dir, "full", M.BOOSTED))
+    return _predictions(spark, sf_dir, "full", M.BOOSTED)
+
+
+def dt_full_predictions(spark, sf_dir):
+    return _predictions(spark, sf_dir, "full", M.TREE)
+
+
+def rf_full_predictions(spark, sf_dir):
+    return _predictions(spark, sf_dir, "full", M.FOREST)
 
 
 def _evaluation(spark, sf_dir, profile):
-    train, test = _train_test(spark, sf_dir)
-    results = M.train_all(M.model_specs(profile), train, test, parallelism=4)
-    return rounded(M.results_table(spark, results).drop("position"))
+    train, test = _stored_split(spark, sf_dir)
+    results = M.train_all(M.model_specs(profile), train, test, parallelism=2)
+    return M.results_table(spark, results).drop("position")
 
 
 def evaluation_fast(spark, sf_dir):
-    return _evaluation(spark, sf_dir, "fast")
+    return rounded(_evaluation(spark, sf_dir, "fast"))
 
 
 def evaluation_full(spark, sf_dir):
-    return _evaluation(spark, sf_dir, "full")
+    return rounded(_evaluation(spark, sf_dir, "full"))
 
 
 def feature_importance_dt(spark, sf_dir):
-    result = _fit(spark, sf_dir, "fast", M.TREE)
-    return rounded(M.feature_importances(spark, result))
+    result = _fit(*_stored_split(spark, sf_dir), "fast", M.TREE)
+    return rounded(M.ranked_importances(M.feature_importances(spark, result)))
 
 
 def model_reload_predictions(spark, sf_dir):
     """Fit, save the pipeline to the shared folder, load it back, score."""
-    result = _fit(spark, sf_dir, "fast", M.TREE)
-    path = save_pipeline_model(result.model, scratch_path(spark, "model"))
-    _, test = _train_test(spark, sf_dir)
+    train, test = _stored_split(spark, sf_dir)
+    path = save_pipeline_model(_fit(train, test, "fast", M.TREE).model, scratch_path(spark, "model"))
     return rounded(load_pipeline_model(path).transform(test).select("key", "label", "prediction"))
 
 
+# Facts about the fitted models that SQL can state from the data alone. Each
+# is necessary, not sufficient: tests compare the fits themselves.
+
+
+def model_vector(spark, sf_dir):
+    """The assembled feature vector, unpacked in its order."""
+    vector = vector_to_array("features")
+    cols = [F.get(vector, i).alias(f) for i, f in enumerate(FEATURE_COLUMNS)]
+    return rounded(M.assembled(M.model_input(_clean(spark, sf_dir))).select("key", *cols))
+
+
+def _ml_scaled(spark, sf_dir, profile):
+    """The job's own scaler stage, fitted and applied to the training rows."""
+    train, _ = _stored_split(spark, sf_dir)
+    spec = M.model_specs(profile)[0]
+    scaled = Pipeline(stages=[spec.assembler, spec.tail[0]]).fit(train).transform(train)
+    vector = vector_to_array("scaled_features")
+    return rounded(scaled.select("key", *[F.get(vector, i).alias(f"{f}_scaled") for i, f in enumerate(FEATURE_COLUMNS)]))
+
+
+def ml_scaled_features(spark, sf_dir):
+    return _ml_scaled(spark, sf_dir, "fast")
+
+
+def ml_scaled_centered_features(spark, sf_dir):
+    return _ml_scaled(spark, sf_dir, "full")
+
+
+def mean_training_prediction(spark, sf_dir):
+    """Full-profile linear, tree and boosted fits predict the mean training label on average."""
+    train, _ = _stored_split(spark, sf_dir)
+    out = None
+    for name in (M.LINEAR, M.TREE, M.BOOSTED):
+        scored = _fit(train, train, "full", name).predictions
+        row = scored.agg(F.count("*").alias("rows"), F.avg("prediction").alias("mean_prediction")).select(F.lit(name).alias("model"), "rows", "mean_prediction")
+        out = row if out is None else out.unionByName(row)
+    return rounded(out)
+
+
+def ridge_normal_equations(spark, sf_dir):
+    """(feature, holds): the full-profile linear fit solves its penalised normal equations.
+
+    In standardised space the residual's correlation with each feature equals
+    the penalty times the coefficient, to 1e-6.
+    """
+    train, _ = _stored_split(spark, sf_dir)
+    result = _fit(train, train, "full", M.LINEAR)
+    weights = result.model.stages[-1].coefficients.toArray().tolist()
+    x = vector_to_array("scaled_features")
+    rows = result.predictions.select("label", (F.col("label") - F.col("prediction")).alias("residual"), *[F.get(x, i).alias(f) for i, f in enumerate(FEATURE_COLUMNS)])
+    sd = F.stddev_pop("label")
+    gaps = rows.agg(*[
+        (F.covar_pop(f, "residual") / (F.stddev_pop(f) * sd) - F.lit(REG_PARAM * w) * F.stddev_pop(f) / (sd * sd)).alias(f) for f, w in zip(FEATURE_COLUMNS, weights)
+    ])
+    return gaps.select(F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), (F.abs(f) < 1e-6).alias("holds")) for f in FEATURE_COLUMNS])))
+
+
+def importance_facts(spark, sf_dir):
+    """Importances of the fast and the full tree: how many, their sum, and whether they come largest first."""
+    train, test = _stored_split(spark, sf_dir)
+    out = None
+    for profile in ("fast", "full"):
+        table = M.ranked_importances(M.feature_importances(spark, _fit(train, test, profile, M.TREE)))
+        row = _importance_row(table).select(F.lit(profile).alias("profile"), "features", "total", "sorted")
+        out = row if out is None else out.unionByName(row)
+    return rounded(out)
+
+
+def _importance_row(table: DataFrame) -> DataFrame:
+    """One row about an importance table (10 rows) in its given order."""
+    listed = table.coalesce(1).agg(F.collect_list("importance").alias("v"), F.count("*").alias("features"), F.sum("importance").alias("total"))
+    return listed.select("features", "total", (F.col("v") == F.reverse(F.array_sort("v"))).alias("sorted"))
+
+
+def model_reload_differences(spark, sf_dir):
+    """Rows that a saved and reloaded pipeline scores, and how many differ from the fitted one's."""
+    train, test = _stored_split(spark, sf_dir)
+    fitted = _fit(train, test, "fast", M.TREE)
+    again = load_pipeline_model(save_pipeline_model(fitted.model, scratch_path(spark, "model")))
+    both = again.transform(fitted.predictions.withColumnRenamed("prediction", "first").drop("features"))
+    return both.agg(F.count("*").alias("rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("first"))).alias("differing"))
+
+
+def _label_variance(spark, sf_dir, profile):
+    """RMSE and R² of the evaluation table give back the test label's variance for every model."""
+    ev = _evaluation(spark, sf_dir, profile)
+    return rounded(ev.select("model", F.round(F.col("rmse") * F.col("rmse") / (1 - F.col("r2")), 4).alias("label_variance"), (F.col("mae") <= F.col("rmse")).alias("mae_below_rmse")))
+
+
+def evaluation_fast_facts(spark, sf_dir):
+    return _label_variance(spark, sf_dir, "fast")
+
+
+def evaluation_full_facts(spark, sf_dir):
+    return _label_variance(spark, sf_dir, "full")
+
+
+def stepped_fares(clean: DataFrame) -> DataFrame:
+    """Clean trips whose fare goes up and down with whole kilometres, so that a tree model wins (see FIXTURES.md)."""
+    steps = F.lit(20.0) * (F.floor("trip_distance_km") % 4).cast("double")
+    return clean.withColumn("fare_amount", F.lit(5.0) + steps + F.lit(3.0) * F.col("passenger_count"))
+
+
+def tree_wins(spark, sf_dir):
+    """The training job on stepped fares: split, mean label, and the published importances of the winning tree model."""
+    clean = stepped_fares(_clean(spark, sf_dir))
+    base = scratch_path(spark, "tree-wins")
+    summary, _ = run_train(spark, clean, base, profile="fast")
+    table = read_result_csv(spark, summary.paths["feature_importance"], IMPORTANCE_SCHEMA)
+    row = _importance_row(table)
+    mean = clean.agg(F.avg("fare_amount").alias("mean_fare"))
+    split = summary.split
+    tree = F.lit(summary.best in M.TREE_MODELS).alias("tree_won")
+    return rounded(row.select(tree, F.lit(split["train"]).cast("bigint").alias("train_rows"), F.lit(split["test"]).cast("bigint").alias("test_rows"), "features", "total", "sorted", mean.scalar().alias("mean_fare")))
+
+
 # --------------------------------------------------------------- streaming
 
 
@@ -365,8 +522,12 @@ QUERIES: dict[str, Query] = {
     "split_assignment": split_assignment,
     "split_counts": split_counts_q,
     "clean_sample": clean_sample,
+    "clean_sample_timestamp": clean_sample_timestamp,
     "model_frame": model_frame,
     "csv_roundtrip": csv_roundtrip,
+    "csv_reordered": csv_reordered,
+    "csv_numeric_text": csv_numeric_text,
+    "funnel_csv": funnel_csv,
     "parquet_roundtrip": parquet_roundtrip,
     "scaler_stats": scaler_stats_q,
     "scaled_features": scaled_features,
@@ -390,5 +551,17 @@ QUERIES: dict[str, Query] = {
     "evaluation_full": evaluation_full,
     "feature_importance_dt": feature_importance_dt,
     "model_reload_predictions": model_reload_predictions,
+    "dt_full_predictions": dt_full_predictions,
+    "rf_full_predictions": rf_full_predictions,
+    "model_vector": model_vector,
+    "ml_scaled_features": ml_scaled_features,
+    "ml_scaled_centered_features": ml_scaled_centered_features,
+    "mean_training_prediction": mean_training_prediction,
+    "ridge_normal_equations": ridge_normal_equations,
+    "importance_facts": importance_facts,
+    "model_reload_differences": model_reload_differences,
+    "evaluation_fast_facts": evaluation_fast_facts,
+    "evaluation_full_facts": evaluation_full_facts,
+    "tree_wins": tree_wins,
     "stream_funnel": stream_funnel,
 }

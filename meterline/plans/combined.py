@@ -43,8 +43,9 @@ def main(argv=None) -> None:
     ap.add_argument("--output", required=True)
     ap.add_argument("--format", default="csv", choices=["csv", "parquet", "events"])
     ap.add_argument("--profile", default="full")
+    ap.add_argument("--shuffle-partitions", default=None, help="shuffle width of the job")
     args = ap.parse_args(argv)
-    spark = get_session("meterline-combined")
+    spark = get_session("meterline-combined", conf={"spark.sql.shuffle.partitions": args.shuffle_partitions} if args.shuffle_partitions else None)
     out = run_combined(spark, read_raw(spark, args.input, args.format), args.output, args.profile)
     print(json.dumps(out, default=str))
 

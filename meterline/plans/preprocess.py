@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from meterline.operators.clean import clean_from_flags, with_stage_flags
 from meterline.operators.funnel import funnel_counts, funnel_rows, observe_funnel
 from meterline.operators.sample import write_ordered_sample
-from meterline.schemas import FUNNEL_SCHEMA
+from meterline.schemas import CLEAN_COLUMNS, FUNNEL_SCHEMA
 from meterline.sources.readers import read_clean_parquet, read_raw_csv
 from meterline.sources.sinks import write_parquet, write_single_csv
 
@@ -76,22 +76,27 @@ def run_preprocess(
     output_base: str,
     sample_rows: int = 1000,
     funnel_mode: str = "observe",
+    columns: list[str] = CLEAN_COLUMNS,
+    sample_columns: list[str] | None = None,
 ) -> PreprocessResult:
     """Clean ``raw`` and write the clean table, funnel and sample under ``output_base``.
 
     ``funnel_mode="observe"`` counts during the write (one scan);
     ``"aggregate"`` runs a separate one-pass aggregate over the input
     instead (two scans, independent of observed-metric delivery).
+    ``columns`` of the clean table must include ``key`` (the sample's order)
+    and may add ``pickup_timestamp``; ``sample_columns`` picks the sample's
+    among them (all by default).
     """
     paths = output_paths(output_base)
     flagged = with_stage_flags(raw)
     if funnel_mode == "observe":
         observed, obs = observe_funnel(flagged)
-        write_parquet(clean_from_flags(observed), paths["clean_parquet"])
+        write_parquet(clean_from_flags(observed, columns), paths["clean_parquet"])
         counts = {k: int(v) for k, v in obs.get.items()}
         funnel = funnel_table(spark, counts)
     elif funnel_mode == "aggregate":
-        write_parquet(clean_from_flags(flagged), paths["clean_parquet"])
+        write_parquet(clean_from_flags(flagged, columns), paths["clean_parquet"])
         funnel = funnel_counts(raw)
         counts = {r["stage"]: int(r["rows"]) for r in funnel.collect()}
     else:
@@ -99,7 +104,7 @@ def run_preprocess(
     write_single_csv(funnel.orderBy("step"), paths["data_summary"])
 
     clean = read_clean_parquet(spark, paths["clean_parquet"])
-    write_ordered_sample(clean, sample_rows, counts["final"], paths["cleaned_sample"])
+    write_ordered_sample(clean, sample_rows, counts["final"], paths["cleaned_sample"], columns=sample_columns)
     return PreprocessResult(counts, paths)
 
 
@@ -113,10 +118,16 @@ def main(argv=None) -> None:
     ap.add_argument("--sample-rows", type=int, default=1000)
     ap.add_argument("--funnel-mode", default="observe", choices=["observe", "aggregate"])
     ap.add_argument("--max-partition-bytes", default=None, help="e.g. 512m for very large inputs")
+    ap.add_argument("--shuffle-partitions", default=None, help="shuffle width of the job")
+    ap.add_argument("--columns", default=",".join(CLEAN_COLUMNS), help="columns of the clean table, key among them")
+    ap.add_argument("--sample-columns", default=None, help="columns of the sample (default: all)")
     args = ap.parse_args(argv)
-    conf = {"spark.sql.files.maxPartitionBytes": args.max_partition_bytes} if args.max_partition_bytes else {}
-    spark = get_session("meterline-preprocess", conf=conf)
-    result = run_preprocess(spark, read_raw(spark, args.input, args.format), args.output, args.sample_rows, args.funnel_mode)
+    conf = {"spark.sql.files.maxPartitionBytes": args.max_partition_bytes, "spark.sql.shuffle.partitions": args.shuffle_partitions}
+    spark = get_session("meterline-preprocess", conf={k: v for k, v in conf.items() if v})
+    result = run_preprocess(
+        spark, read_raw(spark, args.input, args.format), args.output, args.sample_rows, args.funnel_mode,
+        args.columns.split(","), args.sample_columns.split(",") if args.sample_columns else None,
+    )
     print(json.dumps({"counts": result.counts, "paths": result.paths}))
 
 

@@ -38,11 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterline.operators import models as M
 from meterline.operators.evaluate import leaderboard
-from meterline.operators.report import error_histogram, prediction_sample
+from meterline.operators.report import error_histogram
 from meterline.operators.split import hash_split, random_split, split_counts
 from meterline.schemas import FEATURE_COLUMNS, PREDICTION_SAMPLE_COLUMNS
+from meterline.session import checkpoint_dir
 from meterline.sources.readers import read_clean_parquet
-from meterline.operators.sample import write_ordered_sample
+from meterline.operators.sample import ordered_sample, write_ordered_sample
 from meterline.sources.sinks import model_path, publish_tables, save_pipeline_model
 
 
@@ -75,12 +76,14 @@ def run_train(
     sample_rows: int = 1000,
     bins: int = 30,
     features: list[str] = FEATURE_COLUMNS,
-    parallelism: int = 4,
+    parallelism: int = 2,
 ) -> tuple[TrainResult, dict[str, DataFrame | None]]:
     """Train the profile's models; return a summary and the result tables.
 
-    Tables are published under ``output_base`` when it is given.
+    Tables are published under ``output_base`` when it is given. A split
+    without training or test rows raises a ``ValueError`` before any fit.
     """
+    checkpoint_dir(spark)  # the forest and the boosted trees checkpoint there
     frame = M.model_input(clean, features)
     train, test = split_frames(frame, split_method)
     # Assemble the feature vector once; every model pass then reads the
@@ -101,6 +104,8 @@ def run_train(
             split = {r["split"]: int(r["rows"]) for r in split_counts(frame).collect()}
         # Two numbers on the driver; the published table is built from them
         # instead of re-running the aggregate.
+        if not split.get("train") or not split.get("test"):
+            raise ValueError(f"the split needs rows on both sides, it has {split}")
         split_tbl = spark.createDataFrame(list(split.items()), "split string, rows bigint")
 
         results = M.train_all(
@@ -133,7 +138,9 @@ def run_train(
             path = f"{output_base.rstrip('/')}/prediction_sample"
             write_ordered_sample(best_preds, sample_rows, split.get("test", 0), path)
             paths["prediction_sample"] = path
-        tables["prediction_sample"] = prediction_sample(best_preds, sample_rows)
+            tables["prediction_sample"] = spark.read.schema(best_preds.schema).option("header", True).csv(path)
+        else:
+            tables["prediction_sample"] = ordered_sample(best_preds, sample_rows, prefilter=False)
         saved = None
         if save_best and output_base:
             saved = save_pipeline_model(best.model, model_path(f"{output_base.rstrip('/')}/best_model", best.name))
@@ -166,9 +173,10 @@ def main(argv=None) -> None:
         help="persist level for train/test (e.g. DISK_ONLY), or NONE to re-read Parquet each pass",
     )
     ap.add_argument("--save-best", action="store_true")
-    ap.add_argument("--parallelism", type=int, default=4, help="models fitted concurrently")
+    ap.add_argument("--parallelism", type=int, default=2, help="models fitted concurrently")
+    ap.add_argument("--shuffle-partitions", default=None, help="shuffle width of the job")
     args = ap.parse_args(argv)
-    spark = get_session("meterline-train")
+    spark = get_session("meterline-train", conf={"spark.sql.shuffle.partitions": args.shuffle_partitions} if args.shuffle_partitions else None)
     summary, _ = run_train(
         spark,
         read_clean_parquet(spark, args.input),

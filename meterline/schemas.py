@@ -31,13 +31,6 @@ RAW_TRIP_SCHEMA = T.StructType(
     ]
 )
 
-COORDINATE_COLUMNS = [
-    "pickup_longitude",
-    "pickup_latitude",
-    "dropoff_longitude",
-    "dropoff_latitude",
-]
-
 TIME_COLUMNS = ["pickup_hour", "pickup_dayofweek", "pickup_month", "pickup_year"]
 
 # Columns that must be present (not null, not NaN) after parsing.
@@ -68,6 +61,22 @@ CLEAN_COLUMNS = [
     "pickup_year",
 ]
 
+# The clean sample of the one-job profile, 12 columns with the parsed time.
+SAMPLE_COLUMNS = [
+    "fare_amount",
+    "pickup_timestamp",
+    "pickup_longitude",
+    "pickup_latitude",
+    "dropoff_longitude",
+    "dropoff_latitude",
+    "passenger_count",
+    "trip_distance_km",
+    "pickup_hour",
+    "pickup_dayofweek",
+    "pickup_month",
+    "pickup_year",
+]
+
 # Model features, in vector order.
 FEATURE_COLUMNS = [
     "passenger_count",

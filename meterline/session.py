@@ -53,6 +53,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path through the Hadoop file system that holds it."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")

@@ -5,7 +5,6 @@ from meterline.sources.readers import (  # noqa: F401
     read_clean_parquet,
     read_raw_csv,
     read_result_csv,
-    read_table,
 )
 from meterline.sources.sinks import (  # noqa: F401
     load_pipeline_model,

@@ -21,7 +21,8 @@ from pyspark.sql import types as T
 
 from meterline.operators.clean import clean_from_flags, with_stage_flags
 from meterline.operators.funnel import STAGES, observe_funnel, wide_to_funnel
-from meterline.schemas import RAW_TRIP_SCHEMA
+from meterline.schemas import RAW_COLUMNS
+from meterline.sources.readers import CSV_OPTIONS, csv_header, file_schema, project_named
 
 BATCH_COUNTS_SCHEMA = T.StructType(
     [T.StructField("batch_id", T.LongType(), False)] + [T.StructField(s, T.LongType(), False) for s in STAGES]
@@ -56,6 +57,13 @@ def _write_batch(output_dir: str):
     return handle
 
 
+def _has_files(spark: SparkSession, pattern: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return any(not s.isDirectory() or len(fs.listStatus(s.getPath())) > 0 for s in (fs.globStatus(path) or []))
+
+
 def run_clean_stream(
     spark: SparkSession,
     input_dir: str,
@@ -68,10 +76,13 @@ def run_clean_stream(
     """Start the ingest query. With ``available_now`` it processes every file
     present and stops (``awaitTermination`` returns); otherwise it keeps
     polling at ``processing_time``."""
-    reader = spark.readStream.schema(RAW_TRIP_SCHEMA).option("header", True).option("nanValue", "NaN")
+    # Files already there give the column order; an empty folder expects the
+    # usual one. A later file with another header fails its batch loudly.
+    header = csv_header(spark, input_dir) if _has_files(spark, input_dir) else RAW_COLUMNS
+    reader = spark.readStream.schema(file_schema(header)).options(**CSV_OPTIONS)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = reader.csv(input_dir)
+    raw = project_named(reader.csv(input_dir))
     writer = raw.writeStream.foreachBatch(_write_batch(output_dir)).option("checkpointLocation", checkpoint_location)
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -13,7 +13,7 @@ from .conftest import SF001
 
 TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW_ML = {"linear_full", "dt_predictions", "rf_predictions", "gbt_predictions", "evaluation_fast", "evaluation_full", "feature_importance_dt", "model_reload_predictions"}
+SLOW_ML = {"linear_full", "dt_predictions", "rf_predictions", "gbt_predictions", "evaluation_fast", "evaluation_full", "feature_importance_dt", "model_reload_predictions", "dt_full_predictions", "rf_full_predictions"}
 
 
 def _norm(v):

@@ -79,13 +79,9 @@ def test_ordered_sample_with_duplicate_keys(spark):
     assert sorted(map(tuple, got)) == sorted(map(tuple, brute))
 
 
-def test_spread_only_touches_small_inputs(spark):
-    from meterline.sources.readers import spread_small_input
-
-    target = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    spread = spread_small_input(one)
-    assert spread.rdd.getNumPartitions() == target
-    assert sorted(r.id for r in spread.collect()) == list(range(100))
-    many = spark.range(100).repartition(target + 3)
-    assert spread_small_input(many) is many
+def test_sample_is_the_same_in_any_layout_with_equal_keys(spark):
+    rows = [(f"k{i % 7}", float(i), f"t{i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "key string, x double, note string")
+    samples = [[tuple(r) for r in ordered_sample(d, 40).collect()] for d in (df.coalesce(1), df.repartition(5), df.repartition(9, "x").sortWithinPartitions("note"))]
+    assert samples[0] == samples[1] == samples[2]
+    assert len(samples[0]) == 40

@@ -55,6 +55,51 @@ def test_combined_full_profile_importances(spark, tmp_out):
     assert json.dumps(out, default=str)
 
 
+def test_tree_wins_publishes_sorted_importances(spark, tmp_out):
+    from meterline.operators.clean import clean_trips
+    from meterline.plans.catalog import stepped_fares
+
+    clean = stepped_fares(clean_trips(read_raw_trips(spark, SF001)))
+    summary, _ = train.run_train(spark, clean, f"{tmp_out}/t", profile="full")
+    assert summary.best in M.TREE_MODELS
+    rows = [tuple(r) for r in read_result_csv(spark, summary.paths["feature_importance"], IMPORTANCE_SCHEMA).collect()]
+    assert len(rows) == 10
+    assert [v for _, v in rows] == sorted((v for _, v in rows), reverse=True)
+    assert sum(v for _, v in rows) == pytest.approx(1.0)
+    assert rows[0][0] == "trip_distance_km"
+
+
+def test_train_needs_rows_on_both_sides(spark):
+    from meterline.operators.clean import clean_trips
+
+    clean = clean_trips(read_raw_trips(spark, SF001))
+    one = clean.withColumn("key", F.lit("same key"))
+    with pytest.raises(ValueError, match="both sides"):
+        train.run_train(spark, one, None)
+
+
+def test_constant_fare_still_gives_rmse(spark, tmp_out):
+    from meterline.operators.clean import clean_trips
+
+    clean = clean_trips(read_raw_trips(spark, SF001)).withColumn("fare_amount", F.lit(7.0))
+    summary, tables = train.run_train(spark, clean, f"{tmp_out}/t")
+    assert all(e["rmse"] is not None and e["r2"] is None for e in summary.evaluation)
+    assert tables["error_histogram"].count() == 30
+
+
+def test_sample_columns_with_timestamp(spark, tmp_out):
+    from meterline.schemas import CLEAN_COLUMNS, SAMPLE_COLUMNS
+
+    preprocess.main([
+        "--input", f"{SF001}/events.parquet", "--format", "events", "--output", f"{tmp_out}/p", "--shuffle-partitions", "3",
+        "--columns", ",".join([*CLEAN_COLUMNS, "pickup_timestamp"]), "--sample-columns", ",".join(SAMPLE_COLUMNS),
+    ])
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    sample = spark.read.option("header", True).csv(f"{tmp_out}/p/cleaned_sample")
+    assert sample.columns == SAMPLE_COLUMNS and sample.count() == 717
+
+
 def test_publish_skips_absent_tables(spark, tmp_out):
     imp = spark.createDataFrame([("a", 0.25), ("b", 0.75)], IMPORTANCE_SCHEMA)
     written = publish_tables({"feature_importance": imp, "missing": None}, f"{tmp_out}/pub")

@@ -18,13 +18,18 @@ from meterline.sources.sinks import load_pipeline_model, save_pipeline_model
 from .conftest import SF01
 
 
+def stable_layout(df, partitions, key="key"):
+    """Fixed partitioning and order, so forests (which sample per partition) repeat exactly."""
+    return df.repartition(partitions, key).sortWithinPartitions(key)
+
+
 @pytest.fixture(scope="module")
 def frames(spark):
     frame = M.model_input(clean_trips(read_raw_trips(spark, SF01)))
     train, test = hash_split(frame)
     # Fixed layout so forest sampling repeats exactly.
-    train = M.stable_layout(train, 4).cache()
-    test = M.stable_layout(test, 4).cache()
+    train = stable_layout(train, 4).cache()
+    test = stable_layout(test, 4).cache()
     yield train, test
     train.unpersist()
     test.unpersist()
@@ -171,10 +176,30 @@ def test_metrics_pass_extras_match_report_tables(frames):
     assert a == b
 
 
-def test_stump_refuses_unbounded_feature(frames):
-    train, _ = frames
-    with pytest.raises(ValueError):
-        CF.stump_candidates(train, ["trip_distance_km"], max_values=100)
+def test_constant_label_gives_no_r2(spark):
+    df = spark.createDataFrame([(4.0, 3.0, 1.0, 0.0), (4.0, 5.0, 2.0, 1.0)], "label double, prediction double, x double, z double")
+    m = metrics_dict(df)
+    assert (m["rmse"], m["mae"], m["r2"]) == (1.0, 1.0, None)
+    assert CF.ridge_1f(df, "x").first().slope is None
+    assert CF.ridge_2f(df, "x", "z").first().w1 is None
+    best = M.best_result([M.ModelResult("X", 0, True), M.ModelResult("Y", 1, True, rmse=2.0)])
+    assert best.name == "Y"
+
+
+def test_histogram_has_every_bin(spark):
+    from meterline.operators.report import error_histogram
+
+    df = spark.createDataFrame([(0.0, 0.0), (0.0, 10.0), (0.0, 9.9)], "label double, prediction double")
+    got = [(r.bin, round(r.bin_lo, 6), r.n) for r in error_histogram(df, bins=10).orderBy("bin").collect()]
+    assert got == [(i, float(i), {0: 1, 9: 2}.get(i, 0)) for i in range(10)]
+    assert [r.n for r in error_histogram(df.limit(0), bins=3).collect()] == [0, 0, 0]
+
+
+def test_failure_text_carries_the_message(frames):
+    train, test = frames
+    bad = M.ModelSpec("Broken", VectorAssembler(inputCols=["no_such_column"], outputCol="features"), [DecisionTreeRegressor()])
+    with pytest.raises(RuntimeError, match="no_such_column"):
+        M.successful(M.train_all([bad], train, test))
 
 
 def test_pre_assembled_training_equals_pipeline_training(frames, tmp_out):
