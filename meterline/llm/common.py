@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meterline.session import scratch_path
+from meterline.session import delete_path, scratch_path
 
 # Rows per Arrow batch: texts average a few kB, so a batch stays in the low MBs
 # (Spark's own byte limit per batch holds for very long texts).
@@ -32,9 +32,7 @@ class Stored:
 
     def release(self) -> None:
         """Delete the files; only for tables that no later plan reads."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(self.spark, self.path)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -178,7 +178,8 @@ def probe_keys(plan: list[tuple[list[int], int]]) -> Column:
     for i, (group, t) in enumerate(plan):
         value = F.col("fp").bitwiseAND(F.lit(mask_of(group)))
         keys = ball(value, group) if t else F.array(value)
-        parts.append(F.transform(keys, lambda k, i=i: F.struct(F.lit(i).alias("g"), k.alias("k"))))
+        group_no = F.lit(i)  # a second lambda argument would be the element's index
+        parts.append(F.transform(keys, lambda k: F.struct(group_no.alias("g"), k.alias("k"))))
     return F.concat(*parts)
 
 
