@@ -60,3 +60,28 @@ def test_filter_keeps_columns_rows_and_clashing_names(spark):
     assert out.columns == df.columns
     assert sorted((r.doc_id is None, r.doc_id) for r in out.collect()) == [(False, i) for i in range(5)] + [(True, None)]
     assert keep_good(df.limit(0)).count() == 0
+
+
+def test_bands_reject_what_passes_the_base_rules(spark):
+    # Texts of 2,400 to 4,800 bytes: templates and random words meet the fixed bands, symbol junk and tables the corpus's own.
+    rng = random.Random(8)
+    own = [prose(rng, rng.randrange(420, 560)) for _ in range(330)]
+    junk = {
+        1001: " ".join(w + rng.choice(["###", "$$$", "&&&", "***"]) for w in prose(rng, 440).split()),
+        1002: " | ".join(prose(rng, 400).split()),
+        1003: " ".join(f"amount total {i}" for i in range(200)),
+        1004: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(8)) for _ in range(400)),
+    }
+    got = {r.doc_id: r for r in quality_report(docs_frame(spark, [*enumerate(own), *junk.items()])).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[i].kept for i in range(len(own)))
+    assert not any(got[i].kept for i in junk)
+    alone = {r.doc_id: r for r in quality_report(docs_frame(spark, list(junk.items()))).collect()}
+    assert not alone[1003].kept and not alone[1004].kept and alone[1001].kept  # too few documents for limits of their own
+
+
+def test_a_group_of_copies_does_not_shut_out_others(spark):
+    rng = random.Random(9)
+    rows = [*enumerate([prose(rng, 450)] * 400), *((1000 + i, prose(rng, 450)) for i in range(60))]
+    assert keep_good(docs_frame(spark, rows)).count() == len(rows)
+    assert keep_good(docs_frame(spark, rows).repartition(7)).count() == len(rows)
