@@ -277,20 +277,30 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     """``docs`` with one row of each near-duplicate component, columns unchanged.
 
     The row with the smallest id stays (a null id only where the component has
-    no other); among rows that share that id, the one with the smallest text.
+    no other); among the component's rows that share that id, the one with the
+    smallest text. An id whose rows all have one fingerprint lies in one
+    component and is fetched by itself; rows of other ids and of null ids are
+    told apart by their fingerprints.
     """
     found = near_duplicates(docs, id_col, text_col, shingle_words, max_distance)
-    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("fp"))
-    first = Stored(found.groupBy("root").agg(F.min(order).alias("first")).select("first.doc_id", "first.fp"), "survivors").df
-    keep, rank, fp = fresh_name(docs, "keep_id"), fresh_name(docs, "keep_rank"), fresh_name(docs, "keep_fp")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"))
+    first = Stored(found.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first.doc_id").alias("first_id")), "survivors").df
+    per_id = found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg((F.min("fp") != F.max("fp")).alias("mixed"))
+    mixed = Stored(per_id.filter("mixed").select(F.col("doc_id").alias("mixed_id")), "mixed-ids").df
+    keep, rank, fp, keep_fp, root = (fresh_name(docs, n) for n in ("keep_id", "keep_rank", "own_fp", "keep_fp", "keep_root"))
 
     def smallest_text(rows: DataFrame, key: str) -> DataFrame:
         w = Window.partitionBy(column(key)).orderBy(column(text_col))
         return rows.withColumn(rank, F.row_number().over(w)).filter(column(rank) == 1).select(*[column(c) for c in docs.columns])
 
-    ids = first.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias(keep))
+    def unsure(rows: DataFrame, name: str) -> DataFrame:
+        repeated = mixed.withColumnRenamed("mixed_id", keep)
+        return rows.join(repeated, column(name) == column(keep), "left_semi").unionByName(rows.filter(column(name).isNull()))
+
+    ids = first.join(mixed, F.col("first_id") == F.col("mixed_id"), "left_anti").select(F.col("first_id").alias(keep))
     by_id = docs.join(ids, column(id_col) == column(keep), "left_semi")
-    unnamed = with_fingerprint(docs.filter(column(id_col).isNull()), text_col, fp, shingle_words)
-    prints = first.filter("doc_id IS NULL").select(F.col("fp").alias(keep))
-    by_print = unnamed.join(prints, column(fp) == column(keep), "left_semi")
-    return smallest_text(by_id, id_col).unionByName(smallest_text(by_print, fp))
+    spots = unsure(found, "doc_id").select("doc_id", "fp", "root").distinct().join(first, "root").filter(F.col("doc_id").eqNullSafe(F.col("first_id")))
+    spots = Stored(spots.select(F.col("doc_id").alias(keep), F.col("fp").alias(keep_fp), F.col("root").alias(root)), "survivor-prints").df
+    printed = with_fingerprint(unsure(docs, id_col), text_col, fp, shingle_words)
+    by_print = printed.join(spots, (column(fp) == column(keep_fp)) & column(id_col).eqNullSafe(column(keep)))
+    return smallest_text(by_id, id_col).unionByName(smallest_text(by_print, root))

@@ -122,6 +122,23 @@ def test_keep_one_leaves_one_row_of_each_component(spark):
     assert {where[p] for p in fps} >= {c for (i, _), c in zip(rows, components) if rows[c][0] is not None and i != 0}
 
 
+def test_keep_one_tells_rows_of_a_repeated_id_apart(spark):
+    # ids repeat with different texts, within a component and across components
+    texts = [t for _, t in planted(random.Random(6))]
+    rng = random.Random(7)
+    rows = [(rng.choice([None, *range(12)]), t) for t in texts] + [(100 + i, t) for i, t in enumerate(texts) if i % 3 == 0]
+    rows += [(200, "one survivor id"), (200, "of two components"), (-1, "zz own component"), (-1, texts[0])]
+    df = docs_frame(spark, rows, extra=True)
+    components = brute_components([(n, brute_print(t)) for n, (_, t) in enumerate(rows)], 2)
+    best = {}
+    for c, (i, t) in zip(components, rows):
+        key = (i is None, i or 0, t is not None, t or "")
+        best[c] = min(best.get(c, (key, i, t)), (key, i, t), key=lambda x: x[0])
+    got = keep_one(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(((i, t) for _, i, t in best.values()), key=str)
+
+
 def test_empty_table(spark):
     df = docs_frame(spark, [])
     assert near_duplicates(df).count() == 0
