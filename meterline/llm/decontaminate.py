@@ -121,7 +121,7 @@ def similarity(a: Counter, b: Counter) -> float:
 class Items:
     """Benchmark items of one length: shingle multisets, fingerprints and the shingles that any of them has."""
 
-    def __init__(self, n_words: int, rows: list[tuple[int, np.ndarray]], shingle_words: int):
+    def __init__(self, n_words: int, rows: list[tuple[int | None, np.ndarray]], shingle_words: int):
         self.n_words, self.k = n_words, min(shingle_words, n_words)
         self.m = n_words - self.k + 1
         self.ids = [i for i, _ in rows]
@@ -134,7 +134,7 @@ class Items:
 class BlockIndex:
     """Index of one block of the benchmark."""
 
-    def __init__(self, items: list[tuple[int, str]], shingle_words: int, min_similarity: float):
+    def __init__(self, items: list[tuple[int | None, str]], shingle_words: int, min_similarity: float):
         hashes, by_length = WordHashes(), defaultdict(list)
         for item, text in items:
             words = words_of(text)
@@ -208,21 +208,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     Words are runs of letters, digits and non-ASCII characters, ASCII case
     ignored; an item shorter than a shingle is one shingle. Null or wordless
     texts and items match nothing; items of equal text all match. Rows that
-    share an id are one document (its best window over them); a null id stays
-    null. Empty tables give no rows.
+    share an id are one document (its best window over them), items that share
+    an id one item; a null id of either stays null and is one id. Empty tables
+    give no rows.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
     slim = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
-    items = benchmark.select(column(item_col).alias("item_id"), column(item_text_col).alias("text")).filter("text IS NOT NULL AND item_id IS NOT NULL")
+    items = benchmark.select(column(item_col).alias("item_id"), column(item_text_col).alias("text")).filter("text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
     ddl = f"doc_id {kind}, item_id bigint, similarity double, first_word bigint, n_words bigint"
     parts = []
     for block in range(n_blocks):
         rows = [(r.item_id, r.text) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()]
-        index = BlockIndex(sorted(rows), shingle_words, min_similarity)
+        index = BlockIndex(sorted(rows, key=lambda r: (r[0] is not None, r)), shingle_words, min_similarity)
         if not index.groups:
             continue
         # As bytes that carry their classes: executors need not have this package.
@@ -249,15 +250,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item; columns unchanged.
+    """``docs`` without the rows whose text holds a benchmark item; columns unchanged.
 
-    Rows share the fate of their id; null-id rows are judged one by one.
+    Rows are told apart by their id and their text's digest, so rows that share
+    an id, or have none, are judged one by one.
     """
-    bad = fresh_name(docs, "bad_id")
-    found = Stored(contaminated(docs.filter(column(id_col).isNotNull()), benchmark, id_col, text_col, **options).select(F.col("doc_id").alias(bad)).distinct(), "contaminated").df
-    clean = docs.filter(column(id_col).isNotNull()).join(found, column(id_col) == column(bad), "left_anti")
-    # Null ids cannot be told apart by id: their texts' digests stand in for it.
-    md5 = fresh_name(docs, "text_md5")
-    unnamed = docs.filter(column(id_col).isNull()).withColumn(md5, F.coalesce(F.md5(column(text_col)), F.lit("")))
-    found = Stored(contaminated(unnamed, benchmark, md5, text_col, **options).select(F.col("doc_id").alias(bad)).distinct(), "contaminated-unnamed").df
-    return clean.unionByName(unnamed.join(found, column(md5) == column(bad), "left_anti").drop(md5))
+    bad, key = fresh_name(docs, "bad_key"), fresh_name(docs, "row_key")
+    # The text decides; the id spreads copies of one text over many keys.
+    keyed = docs.withColumn(key, F.concat_ws(" ", column(id_col).cast("string"), F.md5(column(text_col))))
+    found = Stored(contaminated(keyed, benchmark, key, text_col, **options).select(F.col("doc_id").alias(bad)).distinct(), "contaminated").df
+    return keyed.join(found, column(key) == column(bad), "left_anti").drop(key)

@@ -77,6 +77,35 @@ def test_filter_drops_only_contaminated_documents(spark):
     assert keep_clean(df, bench.limit(0)).count() == len(docs)
 
 
+def test_items_without_an_id_are_searched_too(spark):
+    docs, items = planted(random.Random(4))
+    items = [(None if i is not None and i % 3 == 0 else i, t) for i, t in items]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    want = {}
+    for n, (i, t) in enumerate(items):
+        for d, _, s, at in brute(docs, [(n, t)]):
+            best = want.get((d, i), (0, 0, 0))
+            want[d, i] = max(best, (s, -at, -len([w for w in fold(t) if w])))
+    for block in (1 << 22, 700):
+        got = contaminated(docs_frame(spark, docs), bench, block_bytes=block).collect()
+        assert {(r.doc_id, r.item_id): (round(r.similarity, 9), -r.first_word, -r.n_words) for r in got} == want
+        assert len(got) == len(want)
+    assert any(i is None for _, i in want)
+    bad = {d for d, _ in want}
+    assert sorted(r.doc_id for r in keep_clean(docs_frame(spark, docs), bench).collect()) == sorted(d for d, _ in docs if d not in bad)
+
+
+def test_rows_that_share_an_id_are_judged_one_by_one(spark):
+    docs, items = planted(random.Random(5))
+    rows = [(None if d % 7 == 0 else d % 5, t) for d, t in docs] + [docs[-1], docs[-1]]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    bad = {d for d, *_ in brute([(n, t) for n, (_, t) in enumerate(rows)], items)}
+    want = [r for n, r in enumerate(rows) if n not in bad]
+    got = keep_clean(docs_frame(spark, rows, extra=True), bench).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
+    assert 5 < len(want) < len(rows)
+
+
 def test_index_returns_all_within_the_radius():
     rng = np.random.default_rng(3)
     prints = [int(x) for x in rng.integers(0, 2**63, 300)]
