@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterline.llm import chat, line_dedup, substring, url_filter
+from meterline.llm import chat, line_dedup, periodic, substring, url_filter
 from meterline.llm.common import read_table
 from meterline.llm.decontaminate import contaminated
 from meterline.llm.packing import pack_documents
@@ -68,6 +68,10 @@ def op10_url_filters(spark, sf_dir):
     return url_filter.judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_periodic_runs(spark, sf_dir):
+    return periodic.runs_report(periodic.planted(read_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -79,6 +83,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 # Tokenizers, zstandard and XXH64 have no SQL form: the other queries are
@@ -88,4 +93,5 @@ ORACLE_SQL = {
     "op4_line_dedup": line_dedup.oracle_sql(),
     "op6_substring_dedup": substring.oracle_sql(),
     "op10_url_filters": url_filter.oracle_sql(URL_RULES),
+    "op11_periodic_runs": periodic.oracle_sql(),
 }
