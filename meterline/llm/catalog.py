@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterline.llm import chat, line_dedup, periodic, substring, url_filter
+from meterline.llm import chat, lexical, line_dedup, periodic, substring, url_filter
 from meterline.llm.common import read_table
 from meterline.llm.decontaminate import contaminated
 from meterline.llm.packing import pack_documents
@@ -72,6 +72,10 @@ def op11_periodic_runs(spark, sf_dir):
     return periodic.runs_report(periodic.planted(read_table(spark, sf_dir, "documents")))
 
 
+def op12_ranked_search(spark, sf_dir):
+    return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -84,6 +88,7 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 # Tokenizers, zstandard and XXH64 have no SQL form: the other queries are
@@ -94,4 +99,5 @@ ORACLE_SQL = {
     "op6_substring_dedup": substring.oracle_sql(),
     "op10_url_filters": url_filter.oracle_sql(URL_RULES),
     "op11_periodic_runs": periodic.oracle_sql(),
+    "op12_ranked_search": lexical.oracle_sql(),
 }

@@ -24,10 +24,10 @@ def arrow_batches(spark: SparkSession) -> None:
 class Stored:
     """A table written to the shared checkpoint folder: cuts lineage, survives lost executors."""
 
-    def __init__(self, df: DataFrame, name: str):
+    def __init__(self, df: DataFrame, name: str, **options):
         self.spark = df.sparkSession
         self.path = scratch_path(self.spark, name)
-        df.write.parquet(self.path)
+        df.write.options(**options).parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def release(self) -> None:
