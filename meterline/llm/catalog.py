@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterline.llm import chat, lexical, line_dedup, periodic, substring, url_filter
+from meterline.llm import chat, lexical, line_dedup, minhash, periodic, substring, url_filter
 from meterline.llm.common import read_table
 from meterline.llm.decontaminate import contaminated
 from meterline.llm.packing import pack_documents
@@ -76,6 +76,10 @@ def op12_ranked_search(spark, sf_dir):
     return lexical.ranked_search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_minhash_near_dedup(spark, sf_dir):
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -89,6 +93,7 @@ QUERIES = {
     "op10_url_filters": op10_url_filters,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_ranked_search": op12_ranked_search,
+    "op13_minhash_near_dedup": op13_minhash_near_dedup,
 }
 
 # Tokenizers, zstandard and XXH64 have no SQL form: the other queries are
@@ -100,4 +105,5 @@ ORACLE_SQL = {
     "op10_url_filters": url_filter.oracle_sql(URL_RULES),
     "op11_periodic_runs": periodic.oracle_sql(),
     "op12_ranked_search": lexical.oracle_sql(),
+    "op13_minhash_near_dedup": minhash.oracle_sql(),
 }
