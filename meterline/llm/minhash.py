@@ -12,18 +12,18 @@ hold them, and two classes that share ``t`` values share one of the rarest
 longest lists are skipped. Values of one class alone are never posted, and a
 class with fewer than ``t`` shared values is out at once.
 
-Lists are merged in rounds, linear in their length: a few hubs of each list
-meet the members of other components, links found join components, and what
-already lies in one component is skipped. Hubs have met all they could and
-leave; a list is finished when its members share a component. So every pair
-that could join two components is decided, and a crowd of copies costs one pair
-a member instead of all pairs.
+Lists are merged in rounds. A short list meets all its members at once; of a
+longer one a few hubs, the most central first, meet the members of other
+components. Links found join components, and what already lies in one component
+is skipped. Hubs have met all they could and leave; a list is finished when its
+members share a component. A pair is counted in its first common list only. So
+every pair that could join two components is decided, and a crowd of copies
+costs one pair a member instead of all pairs.
 """
 
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 from math import comb
 
 import numpy as np
@@ -39,8 +39,10 @@ COORDINATES = 64
 SEED = 42
 # Chance that a linked pair has fewer equal coordinates than the threshold.
 MISS = 1e-9
-# Hubs of a list in the first round; each further round takes this many times as many.
-HUB_GROWTH = 4
+# Lists of up to this many members are merged at once: at most half as many pairs a member.
+SHORT_LIST = 16
+# A longer list has one hub in the first round; each further round takes this many times as many.
+HUB_GROWTH = 16
 # Shingles permuted at once: bounds the matrix of a very long text.
 HASH_BLOCK = 1 << 13
 
@@ -108,21 +110,26 @@ def with_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
     return docs.select("cls", "text").mapInArrow(run, "cls bigint, shingles binary")
 
 
-def posted(classes: DataFrame, least: int, coordinates: int) -> DataFrame:
-    """(key, cls): the prefix postings of every class that can collide ``least`` times with another."""
+def posted(classes: DataFrame, least: int) -> DataFrame:
+    """(key, cls, prefix, weight): the prefix postings of every class that can collide ``least`` times with another.
+
+    ``prefix`` has the class's keys in the order of the lists' lengths,
+    ``weight`` counts the others that share its values: the middle of a crowd
+    has the highest.
+    """
     keys = classes.filter("n > 0").select("cls", F.explode("signature").alias("key"))
     held = Stored(keys.groupBy("key").agg(F.count("*").alias("held")).filter("held > 1"), "minhash-values")
-    shared = keys.join(held.df, "key").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("held", "key"))).alias("shared"))
+    shared = keys.join(held.df, "key").groupBy("cls").agg(F.sum("held").alias("weight"), F.array_sort(F.collect_list(F.struct("held", "key"))).alias("shared"))
     # The values held alone come first in the order; they take up the rest of the prefix.
-    prefix = F.slice("shared", 1, F.size("shared") - least + 1)
-    rows = shared.filter(F.size("shared") >= least).select("cls", F.explode(prefix).alias("x")).select("x.key", "cls")
-    out = Stored(rows, "minhash-postings")
+    prefix = F.slice("shared", 1, F.size("shared") - least + 1)["key"]
+    rows = shared.filter(F.size("shared") >= least).select("cls", "weight", prefix.alias("prefix"))
+    out = Stored(rows.select(F.explode("prefix").alias("key"), "cls", "prefix", "weight"), "minhash-postings")
     held.release()
     return out.df
 
 
 def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` (a, b, set_a, set_b) whose sets are similar enough, as (a, b)."""
+    """(comp_a, comp_b) of the ``pairs`` (comp_a, comp_b, set_a, set_b) whose sets are similar enough."""
     arrow_batches(pairs.sparkSession)
 
     def run(batches):
@@ -137,54 +144,63 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
+    return pairs.select("comp_a", "comp_b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
+
 
+def candidate_pairs(held: DataFrame, hubs_each: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, hubs) of one round over ``held``: postings with comp, and their list's ``main`` component and ``size``."""
+    order = Window.partitionBy("key").orderBy(F.col("comp") == F.col("main"), F.desc("weight"), "cls")
+    longer = held.filter(F.col("size") > SHORT_LIST).withColumn("no", F.row_number().over(order)).filter(F.col("no") <= hubs_each).drop("no")
+    hubs = held.filter(F.col("size") <= SHORT_LIST).unionByName(longer)
+    hubs = Stored(hubs.select("key", F.col("cls").alias("hub"), F.col("comp").alias("hub_comp"), F.col("prefix").alias("hub_prefix")), "minhash-hubs").df
+    # A pair is met in the first list that both are posted in.
+    first_common = F.get(F.array_intersect(held["prefix"], hubs["hub_prefix"]), F.lit(0)) == held["key"]
+    met = held.join(hubs, (held["key"] == hubs["key"]) & (F.col("comp") != F.col("hub_comp")) & first_common)
+    turned = F.col("cls") < F.col("hub")
+    either = lambda x, y: F.when(turned, F.col(x)).otherwise(F.col(y))
+    pairs = met.select(either("cls", "hub").alias("a"), either("hub", "cls").alias("b"), either("comp", "hub_comp").alias("comp_a"), either("hub_comp", "comp").alias("comp_b"))
+    return pairs.distinct(), hubs
 
-def class_links(docs: DataFrame, classes: DataFrame, shingle_words: int, percent: int, coordinates: int) -> DataFrame | None:
-    """(v, root): the components of the classes that have a link; None if there is no link."""
+
+def class_components(docs: DataFrame, classes: DataFrame, shingle_words: int, percent: int, coordinates: int) -> DataFrame:
+    """(cls, comp) of every class that can have a link: its component, named by one of its classes."""
     least = threshold(coordinates, percent)
-    postings = posted(classes, least, coordinates)
-    live = postings.select("cls").distinct().join(classes, "cls").select("cls", F.col("rep.doc_id").alias("rep_id"), F.col("rep.md5").alias("rep_md5"))
+    postings = posted(classes, least)
+    comps = Stored(postings.select("cls").distinct().withColumn("comp", F.col("cls")), "minhash-comps")
+    live = comps.df.select("cls").join(classes, "cls").select("cls", F.col("rep.doc_id").alias("rep_id"), F.col("rep.md5").alias("rep_md5"))
     texts = docs.join(live, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("md5") == F.col("rep_md5"))).select("cls", "text")
     # Rows that repeat an id and its text give their class's set once each.
     sets = Stored(with_sets(texts, shingle_words).groupBy("cls").agg(F.first("shingles").alias("shingles")), "minhash-sets")
-    side = classes.select("cls", "n", "signature")
-    open_rows, roots, links, decided, hubs_each, spent = postings, None, [], [], 1, []
+    side = Stored(classes.join(comps.df.select("cls"), "cls").select("cls", "n", "signature"), "minhash-live")
+    named = lambda df, old, new, end: df.select(F.col("cls").alias(end), F.col(old).alias(new), *([F.col("n").alias(f"n_{end}")] if "n" in df.columns else []))
+    open_rows, hubs_each, spent = postings, 1, []
     while True:
-        held = open_rows if roots is None else open_rows.join(roots.withColumnRenamed("v", "cls"), "cls", "left")
-        members = Stored(held.select("key", "cls", F.col("cls").alias("comp") if roots is None else F.coalesce("root", "cls").alias("comp")), "minhash-members")
+        members = Stored(open_rows.join(comps.df, "cls"), "minhash-members")
         for table in spent:
             table.release()
-        mixed = members.df.groupBy("key").agg((F.min("comp") < F.max("comp")).alias("mixed")).filter("mixed")
-        held = Stored(members.df.join(mixed.select("key"), "key"), "minhash-open")
+        sizes = members.df.groupBy("key", "comp").agg(F.count("*").alias("n"))
+        lists = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("size"), F.count("*").alias("comps")).filter("comps > 1")
+        held = Stored(members.df.join(lists.select("key", F.col("m.comp").alias("main"), "size"), "key"), "minhash-open")
         members.release()
         if not held.df.limit(1).count():
             break
-        sizes = held.df.groupBy("key", "comp").agg(F.count("*").alias("n"))
-        main = Stored(sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).select("key", F.col("m.comp").alias("main")), "minhash-main")
-        order = Window.partitionBy("key").orderBy("in_main", "cls")
-        ranked = held.df.join(main.df, "key").select("key", "cls", "comp", (F.col("comp") == F.col("main")).alias("in_main")).withColumn("no", F.row_number().over(order))
-        hubs = Stored(ranked.filter(F.col("no") <= hubs_each).select("key", F.col("cls").alias("hub"), F.col("comp").alias("hub_comp")), "minhash-hubs")
-        met = held.df.join(hubs.df, "key").filter("comp <> hub_comp").select(F.least("cls", "hub").alias("a"), F.greatest("cls", "hub").alias("b")).distinct()
-        for earlier in decided:
-            met = met.join(earlier, ["a", "b"], "left_anti")
-        met = Stored(met, "minhash-pairs").df
-        decided.append(met)
-        one = side.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("signature").alias("s_a"))
-        two = side.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("signature").alias("s_b"))
+        pairs, hubs = candidate_pairs(held.df, hubs_each)
         alike = F.expr("size(filter(zip_with(s_a, s_b, (x, y) -> x = y), e -> e))") >= least
         sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-        likely = Stored(met.join(one, "a").join(two, "b").filter(sized & alike).select("a", "b"), "minhash-likely")
-        both = likely.df.join(sets.df.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a")), "a").join(sets.df.select(F.col("cls").alias("b"), F.col("shingles").alias("set_b")), "b")
-        links.append(Stored(confirmed(both, percent), "minhash-links").df)
-        found = reduce(DataFrame.unionByName, links)
-        if found.limit(1).count():
-            roots = components(found)
-        open_rows = held.df.select("key", "cls").join(hubs.df.select("key", F.col("hub").alias("cls")), ["key", "cls"], "left_anti")
-        spent, hubs_each = [held, main, hubs, likely], hubs_each * HUB_GROWTH
-    sets.release()
-    held.release()
-    return roots
+        likely = pairs.join(named(side.df, "signature", "s_a", "a"), "a").join(named(side.df, "signature", "s_b", "b"), "b").filter(sized & alike)
+        likely = Stored(likely.select("a", "b", "comp_a", "comp_b"), "minhash-likely")
+        both = likely.df.join(named(sets.df, "shingles", "set_a", "a"), "a").join(named(sets.df, "shingles", "set_b", "b"), "b")
+        links = Stored(confirmed(both, percent).distinct(), "minhash-links")
+        if links.df.limit(1).count():
+            joined = components(links.df).select(F.col("v").alias("comp"), "root")
+            after = Stored(comps.df.join(joined, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")), "minhash-comps")
+            comps.release()
+            comps = after
+        open_rows = held.df.select("key", "cls", "prefix", "weight").join(hubs.select("key", F.col("hub").alias("cls")), ["key", "cls"], "left_anti")
+        spent, hubs_each = [held, likely, links], hubs_each * HUB_GROWTH
+    for table in (sets, side, held):
+        table.release()
+    return comps.df
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, percent: int = 85, coordinates: int = COORDINATES) -> DataFrame:
@@ -203,10 +219,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "md5"))
     grouped = prints.groupBy("digest").agg(rep.alias("rep"), F.first("n").alias("n"), F.first("signature").alias("signature"))
     classes = Stored(grouped.withColumn("cls", F.monotonically_increasing_id()), "minhash-classes").df
-    roots = class_links(slim.filter("text IS NOT NULL"), classes, shingle_words, percent, coordinates)
-    own = classes.select("digest", "cls", F.col("rep.doc_id").alias("first_id"))
-    rooted = own.withColumn("root", F.col("cls")) if roots is None else own.join(roots.withColumnRenamed("v", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    rooted = Stored(rooted.select("digest", "root", "first_id"), "minhash-roots").df
+    comps = class_components(slim.filter("text IS NOT NULL"), classes, shingle_words, percent, coordinates)
+    own = classes.select("digest", "cls", F.col("rep.doc_id").alias("first_id")).join(comps, "cls", "left")
+    rooted = Stored(own.select("digest", F.coalesce("comp", "cls").alias("root"), "first_id"), "minhash-roots").df
     smallest = Stored(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "minhash-components").df
     ids = Stored(rooted.join(smallest, "root").select("digest", "component_id"), "minhash-ids").df
     found = prints.select("doc_id", "n", "digest").join(ids, "digest")
