@@ -49,7 +49,7 @@ def op5_quality_rules(spark, sf_dir):
 
 
 def op6_substring_dedup(spark, sf_dir):
-    return substring.repeated_passages(read_table(spark, sf_dir, "documents")).drop("text_md5")
+    return substring.repeated_passages(read_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op7_token_files(spark, sf_dir):
