@@ -17,6 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meterline.operators import closed_form as CF
+from meterline.operators.asof import asof_join
+from meterline.operators.interval import point_in_range_join
+from meterline.operators.nearest import nearest_join
 from meterline.operators import clean as C
 from meterline.operators import models as M
 from meterline.operators.evaluate import best_model, leaderboard, regression_metrics
@@ -505,6 +508,40 @@ def stream_funnel(spark, sf_dir):
     return funnel_totals(spark, f"{base}/out")
 
 
+# ------------------------------------------------- joins on order and place
+
+
+def asof_previous_event(spark, sf_dir):
+    """Each purchase with its user's latest view at or before it; of views at one time the greatest id."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    bought = events.filter("event_type = 'purchase'").select("event_id", "user_id", "ts", "value")
+    seen = events.filter("event_type = 'view'").select("user_id", "ts", "event_id", "value")
+    found = asof_join(bought, seen, ["user_id"], "ts", "ts", prefix="view_")
+    return rounded(found.withColumn("ts", ts_text("ts")).withColumn("view_ts", ts_text("view_ts")))
+
+
+def orders_in_shipping_ranges(spark, sf_dir):
+    """Orders placed while a supplier was shipping large lots, for each supplier and quarter."""
+    lots = spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter("l_quantity >= 45")
+    quarter = F.year("l_shipdate") * 4 + F.quarter("l_shipdate")
+    ranges = lots.groupBy("l_suppkey", quarter.alias("quarter_no")).agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderdate", "o_totalprice")
+    found = point_in_range_join(orders, ranges, "o_orderdate", "first_ship", "last_ship", closed=True)
+    cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("long"))
+    return found.groupBy("l_suppkey", "quarter_no").agg(F.count("*").alias("n_orders"), cents.alias("cents"))
+
+
+def nearest_dropoff(spark, sf_dir):
+    """How far each clean trip's start is from the nearest of the 500 busiest drop-off cells (a thousandth of a degree wide)."""
+    trips = _clean(spark, sf_dir)
+    row, col = F.floor(F.col("dropoff_latitude") * 1000).alias("row"), F.floor(F.col("dropoff_longitude") * 1000).alias("col")
+    cells = trips.groupBy(row, col).agg(F.count("*").alias("n"), F.min("dropoff_latitude").alias("site_lat"), F.min("dropoff_longitude").alias("site_lon"))
+    busiest = cells.orderBy(F.desc("n"), "row", "col").limit(500).withColumn("site", F.concat_ws(",", "row", "col"))
+    starts = trips.select("key", "pickup_latitude", "pickup_longitude")
+    found = nearest_join(starts, busiest, ("pickup_latitude", "pickup_longitude"), ("site_lat", "site_lon"), "site")
+    return rounded(found.select("key", "nearest_km"))
+
+
 QUERIES: dict[str, Query] = {
     "trips_clean": trips_clean,
     "raw_projection": raw_projection,
@@ -564,4 +601,7 @@ QUERIES: dict[str, Query] = {
     "evaluation_full_facts": evaluation_full_facts,
     "tree_wins": tree_wins,
     "stream_funnel": stream_funnel,
+    "asof_previous_event": asof_previous_event,
+    "orders_in_shipping_ranges": orders_in_shipping_ranges,
+    "nearest_dropoff": nearest_dropoff,
 }

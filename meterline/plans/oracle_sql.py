@@ -428,6 +428,32 @@ Q["best_model"] = CLOSED_EVAL + (
     " FROM evaluation WHERE rmse IS NOT NULL ORDER BY rmse, position LIMIT 1"
 )
 
+# ------------------------------------------------- joins on order and place
+
+Q["asof_previous_event"] = f"""
+WITH seen AS (SELECT user_id, ts, max(event_id) AS event_id, arg_max(value, event_id) AS value FROM events WHERE event_type = 'view' GROUP BY ALL)
+SELECT p.event_id, p.user_id, strftime(p.ts, '%Y-%m-%d %H:%M:%S') AS ts, {r6("p.value")} AS value,
+  s.event_id AS view_event_id, strftime(s.ts, '%Y-%m-%d %H:%M:%S') AS view_ts, {r6("s.value")} AS view_value
+FROM (SELECT * FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN seen s ON s.user_id = p.user_id AND s.ts <= p.ts
+"""
+
+Q["orders_in_shipping_ranges"] = """
+WITH ranges AS (
+  SELECT l_suppkey, CAST(year(l_shipdate) * 4 + quarter(l_shipdate) AS INTEGER) AS quarter_no, min(l_shipdate) AS first_ship, max(l_shipdate) AS last_ship
+  FROM lineitem WHERE l_quantity >= 45 GROUP BY ALL)
+SELECT l_suppkey, quarter_no, count(*) AS n_orders, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM orders JOIN ranges ON o_orderdate >= first_ship AND o_orderdate <= last_ship GROUP BY ALL
+"""
+
+Q["nearest_dropoff"] = BASE + f""",
+cells AS (
+  SELECT floor(dropoff_latitude * 1000) AS row, floor(dropoff_longitude * 1000) AS col, count(*) AS n, min(dropoff_latitude) AS site_lat, min(dropoff_longitude) AS site_lon
+  FROM clean GROUP BY ALL),
+busiest AS (SELECT * FROM cells ORDER BY n DESC, row, col LIMIT 500),
+apart AS (SELECT key, {HAVERSINE.replace("dropoff_latitude", "site_lat").replace("dropoff_longitude", "site_lon")} AS km FROM clean, busiest)
+SELECT key, {r6("min(km)")} AS nearest_km FROM apart GROUP BY key
+"""
+
 # ------------------------------------------- facts about the ml fits
 
 Q["model_vector"] = f"{BASE} SELECT key, " + ", ".join(f"{r6(f'CAST({f} AS DOUBLE)')} AS {f}" for f in FEATURE_LIST) + " FROM clean"
