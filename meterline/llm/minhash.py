@@ -16,9 +16,12 @@ Lists are merged in rounds. A short list meets all its members at once; of a
 longer one a few hubs, the most central first, meet the members of other
 components. Links found join components, and what already lies in one component
 is skipped. Hubs have met all they could and leave; a list is finished when its
-members share a component. A pair is counted in its first common list only. So
-every pair that could join two components is decided, and a crowd of copies
-costs one pair a member instead of all pairs.
+members share a component. A pair is counted in its first common list only.
+After the first round each class also knows how many of its shingles no other
+class in an open list has: no pair can share those, so most pairs of a crowd's
+stragglers are known to be too far apart without being met. So every pair that
+could join two components is decided, and a crowd of copies costs about one pair
+a member instead of all pairs.
 """
 
 from __future__ import annotations
@@ -111,7 +114,7 @@ def with_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
 
 
 def posted(classes: DataFrame, least: int) -> DataFrame:
-    """(key, cls, prefix, weight): the prefix postings of every class that can collide ``least`` times with another.
+    """(key, cls, prefix, weight, n, alone): the prefix postings of every class that can collide ``least`` times with another.
 
     ``prefix`` has the class's keys in the order of the lists' lengths,
     ``weight`` counts the others that share its values: the middle of a crowd
@@ -122,8 +125,8 @@ def posted(classes: DataFrame, least: int) -> DataFrame:
     shared = keys.join(held.df, "key").groupBy("cls").agg(F.sum("held").alias("weight"), F.array_sort(F.collect_list(F.struct("held", "key"))).alias("shared"))
     # The values held alone come first in the order; they take up the rest of the prefix.
     prefix = F.slice("shared", 1, F.size("shared") - least + 1)["key"]
-    rows = shared.filter(F.size("shared") >= least).select("cls", "weight", prefix.alias("prefix"))
-    out = Stored(rows.select(F.explode("prefix").alias("key"), "cls", "prefix", "weight"), "minhash-postings")
+    rows = shared.filter(F.size("shared") >= least).select("cls", "weight", prefix.alias("prefix")).join(classes.select("cls", "n"), "cls")
+    out = Stored(rows.select(F.explode("prefix").alias("key"), "cls", "prefix", "weight", "n", F.lit(0).cast("long").alias("alone")), "minhash-postings")
     held.release()
     return out.df
 
@@ -147,15 +150,37 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("comp_a", "comp_b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def candidate_pairs(held: DataFrame, hubs_each: int) -> tuple[DataFrame, DataFrame]:
+def with_alone(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``held`` with ``alone``: how many of a class's shingles no other class of ``held`` has; without the classes that this leaves no partner."""
+    arrow_batches(held.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            for cls, raw in zip(batch.column(0), batch.column(1)):
+                values = np.frombuffer(raw.as_buffer(), np.int64)
+                for at in range(0, len(values), HASH_BLOCK):
+                    part = values[at : at + HASH_BLOCK]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), cls.as_py())), pa.array(part)], names=["cls", "h"])
+
+    rows = sets.join(held.select("cls").distinct(), "cls", "left_semi").select("cls", "shingles").mapInArrow(run, "cls bigint, h bigint")
+    single = rows.groupBy("h").agg(F.count("*").alias("held_by"), F.min("cls").alias("cls")).filter("held_by = 1")
+    counted = single.groupBy("cls").agg(F.count("*").alias("found"))
+    out = held.drop("alone").join(counted, "cls", "left").withColumn("alone", F.coalesce("found", F.lit(0).cast("long")))
+    return out.filter(F.col("n") * (100 - percent) >= F.col("alone") * 100).select(*held.columns)
+
+
+def candidate_pairs(held: DataFrame, hubs_each: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(pairs, hubs) of one round over ``held``: postings with comp, and their list's ``main`` component and ``size``."""
     order = Window.partitionBy("key").orderBy(F.col("comp") == F.col("main"), F.desc("weight"), "cls")
     longer = held.filter(F.col("size") > SHORT_LIST).withColumn("no", F.row_number().over(order)).filter(F.col("no") <= hubs_each).drop("no")
     hubs = held.filter(F.col("size") <= SHORT_LIST).unionByName(longer)
-    hubs = Stored(hubs.select("key", F.col("cls").alias("hub"), F.col("comp").alias("hub_comp"), F.col("prefix").alias("hub_prefix")), "minhash-hubs").df
+    hubs = Stored(hubs.select("key", F.col("cls").alias("hub"), F.col("comp").alias("hub_comp"), F.col("prefix").alias("hub_prefix"), F.col("n").alias("hub_n"), F.col("alone").alias("hub_alone")), "minhash-hubs").df
     # A pair is met in the first list that both are posted in.
     first_common = F.get(F.array_intersect(held["prefix"], hubs["hub_prefix"]), F.lit(0)) == held["key"]
-    met = held.join(hubs, (held["key"] == hubs["key"]) & (F.col("comp") != F.col("hub_comp")) & first_common)
+    # The most that two sets can share: i of them make i / (n + hub_n - i) similar.
+    most = F.least(F.col("n") - F.col("alone"), F.col("hub_n") - F.col("hub_alone"))
+    possible = most * (100 + percent) >= (F.col("n") + F.col("hub_n")) * percent
+    met = held.join(hubs, (held["key"] == hubs["key"]) & (F.col("comp") != F.col("hub_comp")) & possible & first_common)
     turned = F.col("cls") < F.col("hub")
     either = lambda x, y: F.when(turned, F.col(x)).otherwise(F.col(y))
     pairs = met.select(either("cls", "hub").alias("a"), either("hub", "cls").alias("b"), either("comp", "hub_comp").alias("comp_a"), either("hub_comp", "comp").alias("comp_b"))
@@ -171,8 +196,8 @@ def class_components(docs: DataFrame, classes: DataFrame, shingle_words: int, pe
     texts = docs.join(live, F.col("doc_id").eqNullSafe(F.col("rep_id")) & (F.col("md5") == F.col("rep_md5"))).select("cls", "text")
     # Rows that repeat an id and its text give their class's set once each.
     sets = Stored(with_sets(texts, shingle_words).groupBy("cls").agg(F.first("shingles").alias("shingles")), "minhash-sets")
-    side = Stored(classes.join(comps.df.select("cls"), "cls").select("cls", "n", "signature"), "minhash-live")
-    named = lambda df, old, new, end: df.select(F.col("cls").alias(end), F.col(old).alias(new), *([F.col("n").alias(f"n_{end}")] if "n" in df.columns else []))
+    side = Stored(classes.join(comps.df.select("cls"), "cls").select("cls", "signature"), "minhash-live")
+    named = lambda df, old, new, end: df.select(F.col("cls").alias(end), F.col(old).alias(new))
     open_rows, hubs_each, spent = postings, 1, []
     while True:
         members = Stored(open_rows.join(comps.df, "cls"), "minhash-members")
@@ -184,10 +209,13 @@ def class_components(docs: DataFrame, classes: DataFrame, shingle_words: int, pe
         members.release()
         if not held.df.limit(1).count():
             break
-        pairs, hubs = candidate_pairs(held.df, hubs_each)
+        if hubs_each > 1:
+            told = Stored(with_alone(held.df, sets.df, percent), "minhash-told")
+            held.release()
+            held = told
+        pairs, hubs = candidate_pairs(held.df, hubs_each, percent)
         alike = F.expr("size(filter(zip_with(s_a, s_b, (x, y) -> x = y), e -> e))") >= least
-        sized = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-        likely = pairs.join(named(side.df, "signature", "s_a", "a"), "a").join(named(side.df, "signature", "s_b", "b"), "b").filter(sized & alike)
+        likely = pairs.join(named(side.df, "signature", "s_a", "a"), "a").join(named(side.df, "signature", "s_b", "b"), "b").filter(alike)
         likely = Stored(likely.select("a", "b", "comp_a", "comp_b"), "minhash-likely")
         both = likely.df.join(named(sets.df, "shingles", "set_a", "a"), "a").join(named(sets.df, "shingles", "set_b", "b"), "b")
         links = Stored(confirmed(both, percent).distinct(), "minhash-links")
@@ -196,7 +224,7 @@ def class_components(docs: DataFrame, classes: DataFrame, shingle_words: int, pe
             after = Stored(comps.df.join(joined, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")), "minhash-comps")
             comps.release()
             comps = after
-        open_rows = held.df.select("key", "cls", "prefix", "weight").join(hubs.select("key", F.col("hub").alias("cls")), ["key", "cls"], "left_anti")
+        open_rows = held.df.select("key", "cls", "prefix", "weight", "n", "alone").join(hubs.select("key", F.col("hub").alias("cls")), ["key", "cls"], "left_anti")
         spent, hubs_each = [held, likely, links], hubs_each * HUB_GROWTH
     for table in (sets, side, held):
         table.release()

@@ -84,15 +84,17 @@ def test_crowd_of_near_copies_takes_a_pair_a_member(spark, monkeypatch):
     class Counted(real):
         def __init__(self, df, name, **options):
             super().__init__(df, name, **options)
-            if name == "minhash-open":
-                pairs, _ = minhash.candidate_pairs(self.df, minhash.HUB_GROWTH ** len(made))
+            if name in ("minhash-open", "minhash-told"):
+                if name == "minhash-told":  # the same rows as the open ones before, fewer pairs
+                    made.pop()
+                pairs, _ = minhash.candidate_pairs(self.df, minhash.HUB_GROWTH ** len(made), 85)
                 made.append(pairs.count())
 
     monkeypatch.setattr(minhash, "Stored", Counted)
     got = minhash.near_duplicates(docs_frame(spark, rows)).collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
     # All pairs of the crowd would be 206,000.
-    assert sum(made) < 40 * len(rows), made
+    assert sum(made) < 4 * len(rows), made
 
 
 def test_rows_that_stay(spark):
@@ -104,7 +106,7 @@ def test_rows_that_stay(spark):
     assert out.columns == df.columns
     assert sorted(r.doc_id for r in out.collect()) == [1, 7, 8, 9]
     assert minhash.near_duplicates(df.limit(0)).count() == 0
-    assert minhash.near_duplicates(docs_frame(spark, [(1, None), (2, " ")])).collect() == [(1, 0, 1, True), (2, 0, 2, True)]
+    assert sorted(minhash.near_duplicates(docs_frame(spark, [(1, None), (2, " ")])).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
 
 
 def test_threshold_and_signatures():
