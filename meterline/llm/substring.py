@@ -1,15 +1,14 @@
-"""Substring dedup by hashing the clauses of lines and paragraphs.
-
-A text is cut into clauses, after a word that ends in a punctuation mark and
-after a word that its own hash picks (one in eight), wherever the lines break.
-From each clause on, the fewest clauses that hold ``SEED_WORDS`` words are a
-unit. Units are normalised (ASCII lower case, runs of white space as one space),
-hashed and grouped over the whole corpus; the earliest ranked occurrence of a
-unit stays and every later one is a seed. A seed is extended word by word, left
-and right, for as long as the earliest occurrence's text goes on alike, so a
-passage may begin and end anywhere in a line and may be broken into other lines.
-Passages of ``min_words`` words or more go, with offsets of the original text;
-shorter ones (stock lines, idioms) stay.
+"""Substring dedup by hashing the clauses of lines.
+
+A line is cut into clauses: after each word that ends in a punctuation mark, and
+at its end. From each clause on, the fewest clauses that hold ``SEED_WORDS``
+words are a unit. Units are normalised (ASCII lower case, runs of white space as
+one space or one line break), hashed and grouped over the whole corpus; the
+earliest ranked occurrence of a unit stays and every later one is a seed. A seed
+is extended word by word, left and right, for as long as the earliest
+occurrence's text goes on alike, line breaks included, so a passage may begin
+and end inside a line. Passages of ``min_words`` words or more go, with offsets
+of the original text; shorter ones (stock lines, idioms) stay.
 
 A text that an earlier document has whole is one passage and gives no units.
 Texts are only compared where a passage can be: but for one that starts with the
@@ -20,7 +19,6 @@ those is left alone.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from bisect import bisect_left
 from collections import defaultdict
@@ -35,48 +33,44 @@ from meterline.llm.common import Stored, arrow_batches, column, fresh_name
 
 MIN_WORDS = 50
 SEED_WORDS = 4
-# The marks that end a clause, and the first hex digits of the MD5 of a word that does.
-MARKS = ".!?,;:"
-PICKED = "01"
-# Words remembered per task; the memo starts over when it is full.
-MEMO_WORDS = 400_000
+# Fixed value: the marks that end a clause; a line's last word carries its break.
+MARKS = ".!?,;:\n"
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
+SPACES = " \t\n\x0b\x0c\r"
 UNIT = pa.struct([("digest", pa.int64()), ("word", pa.int32()), ("left", pa.int32()), ("right", pa.int32())])
 
 
-class ClauseEnds(dict):
-    """Whether a word ends its clause wherever it stands."""
-
-    def __missing__(self, word: bytes) -> bool:
-        if len(self) >= MEMO_WORDS:
-            self.clear()
-        out = self[word] = word[-1:] in MARKS.encode() or hashlib.md5(word).hexdigest()[0] in PICKED
-        return out
-
-
 def normal_words(text: str) -> list[bytes]:
-    return text.encode("utf-8").lower().split()  # bytes: A-Z and the six ASCII spaces only
+    """The words in lower case; the last one of a line ends in a line break unless it is the text's last."""
+    raw = text.encode("utf-8").lower().strip()  # bytes: A-Z and the six ASCII spaces only
+    if b"\n" not in raw:
+        return raw.split()
+    out = []
+    lines = [line for line in map(bytes.split, raw.split(b"\n")) if line]
+    for line in lines[:-1]:
+        line[-1] += b"\n"
+        out += line
+    return out + lines[-1]
 
 
-def units_of(text: str, ends: ClauseEnds, seed_words: int) -> tuple[int, list[dict]]:
+def units_of(text: str, seed_words: int) -> tuple[int, list[int], list[int], list[int], list[int]]:
     """Number of words, and per unit: digest, first word, and the bounds of any passage whose last units it may be."""
     import xxhash
 
-    words, spans = normal_words(text), []
-    bounds = [i for i, w in enumerate(words, 1) if ends[w]]
+    marks = MARKS.encode()
+    words, starts, ends = normal_words(text), [], []
+    bounds = [i for i, w in enumerate(words, 1) if w[-1] in marks]
     for start in [0, *bounds]:
         at = bisect_left(bounds, start + seed_words)
         if at == len(bounds):
             break
-        spans.append((start, bounds[at]))
-    out = []
-    for i, (start, end) in enumerate(spans):
-        digest = xxhash.xxh64_intdigest(b" ".join(words[start:end]))
-        left = spans[i - 1][0] if i else 0
-        right = spans[i + 1][1] - 1 if i + 1 < len(spans) else len(words)
-        out.append({"digest": digest - (1 << 64) if digest >> 63 else digest, "word": start, "left": left, "right": right})
-    return len(words), out
+        starts.append(start)
+        ends.append(bounds[at])
+    digests = [xxhash.xxh64_intdigest(b" ".join(words[i:j])) for i, j in zip(starts, ends)]
+    lefts = [0, *starts[:-1]] if starts else []
+    rights = [e - 1 for e in ends[1:]] + [len(words)] if ends else []
+    return len(words), digests, starts, lefts, rights
 
 
 def with_units(docs: DataFrame, seed_words: int) -> DataFrame:
@@ -85,14 +79,16 @@ def with_units(docs: DataFrame, seed_words: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ends = ClauseEnds()
         for batch in batches:
             texts = batch.column(2).to_pylist()
-            found = [units_of(t, ends, seed_words) for t in texts]
-            first = [len(t) - len(t.lstrip(" \t\n\x0b\x0c\r")) for t in texts]
-            end = [len(t.rstrip(" \t\n\x0b\x0c\r")) for t in texts]
-            longs = [pa.array(c, pa.int64()) for c in ([n for n, _ in found], first, end)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *longs, pa.array([u for _, u in found], pa.list_(UNIT))], names=["doc_id", "text_key", "md5", "n_words", "first", "end", "units"])
+            n_words, *parts = zip(*(units_of(t, seed_words) for t in texts)) if texts else [()] * 5
+            first = [len(t) - len(t.lstrip(SPACES)) for t in texts]
+            end = [len(t.rstrip(SPACES)) for t in texts]
+            offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts[0]]))).astype(np.int32)
+            flat = [np.fromiter((x for p in part for x in p), kind, offsets[-1]) for part, kind in zip(parts, (np.uint64, np.int32, np.int32, np.int32))]
+            units = pa.StructArray.from_arrays([pa.array(flat[0].view(np.int64)), *map(pa.array, flat[1:])], fields=list(UNIT))
+            longs = [pa.array(c, pa.int64()) for c in (n_words, first, end)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), *longs, pa.ListArray.from_arrays(pa.array(offsets), units)], names=["doc_id", "text_key", "md5", "n_words", "first", "end", "units"])
 
     return docs.select("doc_id", "text_key", "text", "md5").mapInArrow(run, f"doc_id {kind}, text_key bigint, md5 binary, n_words bigint, first bigint, end bigint, units array<struct<digest:bigint,word:int,left:int,right:int>>")
 
@@ -219,9 +215,9 @@ def oracle_sql(min_words: int = MIN_WORDS, seed_words: int = SEED_WORDS) -> str:
 WITH d AS MATERIALIZED (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(text)) AS r, doc_id, text FROM (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL)),
 p AS (SELECT r, unnest(regexp_extract_all(text, '[{space}]*[^{space}]+')) AS part, generate_subscripts(regexp_extract_all(text, '[{space}]*[^{space}]+'), 1) - 1 AS i FROM d),
 w AS (
-  SELECT r, i, length(word) AS n, CAST(sum(length(part)) OVER (PARTITION BY r ORDER BY i) AS BIGINT) AS stop, word,
-    regexp_matches(word, '[.!?,;:]$') OR contains('{PICKED}', substr(md5(word), 1, 1)) AS ends
-  FROM (SELECT r, i, part, translate(regexp_extract(part, '[^{space}]+$'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word FROM p)),
+  SELECT r, i, length(word) AS n, CAST(sum(length(part)) OVER (PARTITION BY r ORDER BY i) AS BIGINT) AS stop,
+    CASE WHEN contains(lead(gap) OVER (PARTITION BY r ORDER BY i), chr(10)) THEN word || chr(10) ELSE word END AS word, regexp_matches(word, '[.!?,;:]$') OR coalesce(contains(lead(gap) OVER (PARTITION BY r ORDER BY i), chr(10)), false) AS ends
+  FROM (SELECT r, i, part, translate(regexp_extract(part, '[^{space}]+$'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word, regexp_extract(part, '^[{space}]*') AS gap FROM p)),
 t AS MATERIALIZED (SELECT *, stop - n AS start, coalesce(lag(ends) OVER (PARTITION BY r ORDER BY i), true) AS opens FROM w),
 copy AS MATERIALIZED (SELECT d.r, d.doc_id, min(o.r) AS rep FROM d JOIN d o ON o.text = d.text AND o.r < d.r GROUP BY ALL),
 b AS (SELECT s.r, s.i, min(e.i) AS last FROM t s JOIN t e ON e.r = s.r AND e.ends AND e.i >= s.i + {seed_words - 1} WHERE s.opens GROUP BY ALL),

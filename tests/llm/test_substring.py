@@ -19,13 +19,14 @@ def brute(rows, min_words=50, seed_words=4):
     for at, (i, t) in enumerate(docs):
         spots = [m.span() for m in WORD.finditer(t)]
         words = [w.decode() for w in t.encode().lower().split()]
+        words = [w + "\n" if k + 1 < len(words) and "\n" in t[spots[k][1] : spots[k + 1][0]] else w for k, w in enumerate(words)]
         texts[at] = words
         if t in seen:
             if len(words) >= min_words:
                 out.append((i, spots[0][0], spots[-1][1] - spots[0][0], len(words), docs[seen[t]][0]))
             continue
         seen[t] = at
-        ends = [k + 1 for k, w in enumerate(words) if w[-1] in ".!?,;:" or hashlib.md5(w.encode()).hexdigest()[0] in "01"]
+        ends = [k + 1 for k, w in enumerate(words) if w[-1] in ".!?,;:\n"]
         covered = {}
         for start in [0, *ends]:
             end = next((e for e in ends if e >= start + seed_words), None)
