@@ -12,16 +12,16 @@ hold them, and two classes that share ``t`` values share one of the rarest
 longest lists are skipped. Values of one class alone are never posted, and a
 class with fewer than ``t`` shared values is out at once.
 
-Lists are merged in rounds. A short list meets all its members at once; of a
-longer one a few hubs, the most central first, meet the members of other
-components. Links found join components, and what already lies in one component
-is skipped. Hubs have met all they could and leave; a list is finished when its
-members share a component. A pair is counted in its first common list only.
-After the first round each class also knows how many of its shingles no other
-class in an open list has: no pair can share those, so most pairs of a crowd's
-stragglers are known to be too far apart without being met. So every pair that
-could join two components is decided, and a crowd of copies costs about one pair
-a member instead of all pairs.
+Lists are merged in rounds. In the first, a short list meets all its members
+and a longer one its most central member, a pair in its first common list only.
+Links found join components, and a list whose members share one is finished. In
+the others, a crowd's stragglers meet the rest of their list in blocks: a task
+gets a bounded block of hubs and one of members with their sets, counts all
+common shingles by matrix products and hands on no more links than it has
+components. Shingles that no other class in an open list has cannot be shared;
+a class with too many of them is out before. Hubs have met all they could and
+leave, so every pair that could join two components is decided, and what is
+shuffled stays linear in the lists.
 """
 
 from __future__ import annotations
@@ -44,8 +44,10 @@ SEED = 42
 MISS = 1e-9
 # Lists of up to this many members are merged at once: at most half as many pairs a member.
 SHORT_LIST = 16
-# A longer list has one hub in the first round; each further round takes this many times as many.
-HUB_GROWTH = 16
+# Hubs and members that meet in one task, and the shingles that either of them may hold.
+BLOCK_CLASSES, BLOCK_SHINGLES = 2048, 1 << 22
+# Shingles counted by one matrix product.
+PRODUCT_COLUMNS = 4096
 # Shingles permuted at once: bounds the matrix of a very long text.
 HASH_BLOCK = 1 << 13
 
@@ -114,7 +116,7 @@ def with_sets(docs: DataFrame, shingle_words: int) -> DataFrame:
 
 
 def posted(classes: DataFrame, least: int) -> DataFrame:
-    """(key, cls, prefix, weight, n, alone): the prefix postings of every class that can collide ``least`` times with another.
+    """(key, cls, prefix, weight, n): the prefix postings of every class that can collide ``least`` times with another.
 
     ``prefix`` has the class's keys in the order of the lists' lengths,
     ``weight`` counts the others that share its values: the middle of a crowd
@@ -126,7 +128,7 @@ def posted(classes: DataFrame, least: int) -> DataFrame:
     # The values held alone come first in the order; they take up the rest of the prefix.
     prefix = F.slice("shared", 1, F.size("shared") - least + 1)["key"]
     rows = shared.filter(F.size("shared") >= least).select("cls", "weight", prefix.alias("prefix")).join(classes.select("cls", "n"), "cls")
-    out = Stored(rows.select(F.explode("prefix").alias("key"), "cls", "prefix", "weight", "n", F.lit(0).cast("long").alias("alone")), "minhash-postings")
+    out = Stored(rows.select(F.explode("prefix").alias("key"), "cls", "prefix", "weight", "n"), "minhash-postings")
     held.release()
     return out.df
 
@@ -151,7 +153,7 @@ def confirmed(pairs: DataFrame, percent: int) -> DataFrame:
 
 
 def with_alone(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``held`` with ``alone``: how many of a class's shingles no other class of ``held`` has; without the classes that this leaves no partner."""
+    """``held`` without the classes that have no partner in it for all the shingles that no other class of ``held`` has."""
     arrow_batches(held.sparkSession)
 
     def run(batches):
@@ -164,29 +166,88 @@ def with_alone(held: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     rows = sets.join(held.select("cls").distinct(), "cls", "left_semi").select("cls", "shingles").mapInArrow(run, "cls bigint, h bigint")
     single = rows.groupBy("h").agg(F.count("*").alias("held_by"), F.min("cls").alias("cls")).filter("held_by = 1")
-    counted = single.groupBy("cls").agg(F.count("*").alias("found"))
-    out = held.drop("alone").join(counted, "cls", "left").withColumn("alone", F.coalesce("found", F.lit(0).cast("long")))
-    return out.filter(F.col("n") * (100 - percent) >= F.col("alone") * 100).select(*held.columns)
+    counted = single.groupBy("cls").agg(F.count("*").alias("alone"))
+    out = held.join(counted, "cls", "left")
+    return out.filter(F.col("n") * (100 - percent) >= F.coalesce("alone", F.lit(0)) * 100).select(*held.columns)
 
 
-def candidate_pairs(held: DataFrame, hubs_each: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(pairs, hubs) of one round over ``held``: postings with comp, and their list's ``main`` component and ``size``."""
-    order = Window.partitionBy("key").orderBy(F.col("comp") == F.col("main"), F.desc("weight"), "cls")
-    longer = held.filter(F.col("size") > SHORT_LIST).withColumn("no", F.row_number().over(order)).filter(F.col("no") <= hubs_each).drop("no")
+def candidate_pairs(held: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(pairs, hubs) of the first round over ``held``: postings with comp, and their list's ``main`` component and ``size``."""
+    order = Window.partitionBy("key").orderBy(F.desc("weight"), "cls")
+    longer = held.filter(F.col("size") > SHORT_LIST).withColumn("no", F.row_number().over(order)).filter(F.col("no") <= 1).drop("no")
     hubs = held.filter(F.col("size") <= SHORT_LIST).unionByName(longer)
-    hubs = Stored(hubs.select("key", F.col("cls").alias("hub"), F.col("comp").alias("hub_comp"), F.col("prefix").alias("hub_prefix"), F.col("n").alias("hub_n"), F.col("alone").alias("hub_alone")), "minhash-hubs").df
+    hubs = Stored(hubs.select("key", F.col("cls").alias("hub"), F.col("comp").alias("hub_comp"), F.col("prefix").alias("hub_prefix"), F.col("n").alias("hub_n")), "minhash-hubs").df
     # A pair is met in the first list that both are posted in.
     first_common = F.get(F.array_intersect(held["prefix"], hubs["hub_prefix"]), F.lit(0)) == held["key"]
-    # The most that two sets can share: i of them make i / (n + hub_n - i) similar.
-    most = F.least(F.col("n") - F.col("alone"), F.col("hub_n") - F.col("hub_alone"))
-    possible = most * (100 + percent) >= (F.col("n") + F.col("hub_n")) * percent
-    met = held.join(hubs, (held["key"] == hubs["key"]) & (F.col("comp") != F.col("hub_comp")) & possible & first_common)
+    sized = F.least("n", "hub_n") * 100 >= F.greatest("n", "hub_n") * percent
+    met = held.join(hubs, (held["key"] == hubs["key"]) & (F.col("comp") != F.col("hub_comp")) & sized & first_common)
     turned = F.col("cls") < F.col("hub")
     either = lambda x, y: F.when(turned, F.col(x)).otherwise(F.col(y))
     pairs = met.select(either("cls", "hub").alias("a"), either("hub", "cls").alias("b"), either("comp", "hub_comp").alias("comp_a"), either("hub_comp", "comp").alias("comp_b"))
     return pairs.distinct(), hubs
 
 
+def common_counts(hubs: list[np.ndarray], members: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each hub (row) shares with each member (column)."""
+    rows = [np.repeat(np.arange(len(sets)), [len(x) for x in sets]) for sets in (hubs, members)]
+    values = [np.concatenate(sets) for sets in (hubs, members)]
+    both = np.intersect1d(*map(np.unique, values), assume_unique=True)
+    out = np.zeros((len(hubs), len(members)), np.float32)
+    if not len(both):
+        return out
+    at = [np.searchsorted(both, v) for v in values]
+    used = [both[np.minimum(i, len(both) - 1)] == v for i, v in zip(at, values)]
+    placed = [(r[u], i[u]) for r, i, u in zip(rows, at, used)]
+    for low in range(0, len(both), PRODUCT_COLUMNS):
+        width = min(PRODUCT_COLUMNS, len(both) - low)
+        sides = []
+        for (r, i), n in zip(placed, out.shape):
+            own = (i >= low) & (i < low + width)
+            side = np.zeros((n, width), np.float32)
+            side[r[own], i[own] - low] = 1
+            sides.append(side)
+        out += sides[0] @ sides[1].T
+    return out
+
+
+def spanning_links(linked: np.ndarray, hub_comps: np.ndarray, member_comps: np.ndarray) -> list[tuple[int, int]]:
+    """Links between components that join the same ones as all of ``linked`` (hub by member)."""
+    names, number = np.unique(np.concatenate([hub_comps, member_comps]), return_inverse=True)
+    own, others = number[: len(hub_comps)], number[len(hub_comps) :]
+    label, out = np.arange(len(names)), []
+    for h in np.flatnonzero(linked.any(axis=1)):
+        groups = np.unique(np.append(label[others[linked[h]]], label[own[h]]))
+        if len(groups) > 1:
+            out += [(int(names[groups[0]]), int(names[g])) for g in groups[1:]]
+            label[np.isin(label, groups)] = groups[0]
+    return out
+
+
+def crowd_links(held: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links between components, hubs) of a round over long lists: blocks of hubs, outside the main component first, meet blocks of members."""
+    first = Window.partitionBy("key").orderBy(F.col("comp") == F.col("main"), "cls")
+    hubs = held.withColumn("no", F.row_number().over(first)).filter(F.col("no") <= BLOCK_CLASSES)
+    upto = F.sum("n").over(first.rowsBetween(Window.unboundedPreceding, 0))
+    hubs = Stored(hubs.withColumn("upto", upto).filter((F.col("no") == 1) | (F.col("upto") <= BLOCK_SHINGLES)).select("key", "cls", "comp", "blocks"), "minhash-hubs").df
+    members = held.select("key", F.pmod(F.xxhash64("cls"), F.col("blocks")).alias("block"), "cls", "comp", F.lit(False).alias("is_hub"))
+    met = hubs.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "cls", "comp", F.lit(True).alias("is_hub"))
+    rows = members.unionByName(met).join(sets, "cls").select("key", "block", "comp", "is_hub", "shingles")
+
+    def meet(table: pa.Table) -> pa.Table:
+        comps, is_hub = table.column("comp").to_numpy(), table.column("is_hub").to_numpy()
+        values = [np.frombuffer(v.as_buffer(), np.uint64) for v in table.column("shingles")]
+        sides = [np.flatnonzero(is_hub), np.flatnonzero(~is_hub)]
+        links = []
+        if all(map(len, sides)):
+            hub_sets, member_sets = ([values[i] for i in side] for side in sides)
+            both = common_counts(hub_sets, member_sets).astype(np.int64)
+            n_hub, n_member = (np.array([len(x) for x in own]) for own in (hub_sets, member_sets))
+            links = spanning_links(both * (100 + percent) >= percent * (n_hub[:, None] + n_member[None, :]), comps[sides[0]], comps[sides[1]])
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    return rows.groupBy("key", "block").applyInArrow(meet, "a bigint, b bigint"), hubs
+
+
 def class_components(docs: DataFrame, classes: DataFrame, shingle_words: int, percent: int, coordinates: int) -> DataFrame:
     """(cls, comp) of every class that can have a link: its component, named by one of its classes."""
     least = threshold(coordinates, percent)
@@ -198,34 +259,40 @@ def class_components(docs: DataFrame, classes: DataFrame, shingle_words: int, pe
     sets = Stored(with_sets(texts, shingle_words).groupBy("cls").agg(F.first("shingles").alias("shingles")), "minhash-sets")
     side = Stored(classes.join(comps.df.select("cls"), "cls").select("cls", "signature"), "minhash-live")
     named = lambda df, old, new, end: df.select(F.col("cls").alias(end), F.col(old).alias(new))
-    open_rows, hubs_each, spent = postings, 1, []
+    open_rows, first, spent = postings, True, []
     while True:
         members = Stored(open_rows.join(comps.df, "cls"), "minhash-members")
         for table in spent:
             table.release()
-        sizes = members.df.groupBy("key", "comp").agg(F.count("*").alias("n"))
-        lists = sizes.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m"), F.sum("n").alias("size"), F.count("*").alias("comps")).filter("comps > 1")
-        held = Stored(members.df.join(lists.select("key", F.col("m.comp").alias("main"), "size"), "key"), "minhash-open")
+        sizes = members.df.groupBy("key", "comp").agg(F.count("*").alias("k"), F.sum("n").alias("shingles"))
+        lists = sizes.groupBy("key").agg(F.max(F.struct("k", "comp")).alias("m"), F.sum("k").alias("size"), F.sum("shingles").alias("shingles"), F.count("*").alias("comps")).filter("comps > 1")
+        blocks = F.greatest(F.ceil(F.col("size") / BLOCK_CLASSES), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+        held = Stored(members.df.join(lists.select("key", F.col("m.comp").alias("main"), "size", blocks.alias("blocks")), "key"), "minhash-open")
         members.release()
         if not held.df.limit(1).count():
             break
-        if hubs_each > 1:
-            told = Stored(with_alone(held.df, sets.df, percent), "minhash-told")
-            held.release()
-            held = told
-        pairs, hubs = candidate_pairs(held.df, hubs_each, percent)
-        alike = F.expr("size(filter(zip_with(s_a, s_b, (x, y) -> x = y), e -> e))") >= least
-        likely = pairs.join(named(side.df, "signature", "s_a", "a"), "a").join(named(side.df, "signature", "s_b", "b"), "b").filter(alike)
-        likely = Stored(likely.select("a", "b", "comp_a", "comp_b"), "minhash-likely")
-        both = likely.df.join(named(sets.df, "shingles", "set_a", "a"), "a").join(named(sets.df, "shingles", "set_b", "b"), "b")
-        links = Stored(confirmed(both, percent).distinct(), "minhash-links")
+        spent = [held]
+        if first:
+            pairs, hubs = candidate_pairs(held.df, percent)
+            hubs = hubs.select("key", F.col("hub").alias("cls"))
+            alike = F.expr("size(filter(zip_with(s_a, s_b, (x, y) -> x = y), e -> e))") >= least
+            likely = pairs.join(named(side.df, "signature", "s_a", "a"), "a").join(named(side.df, "signature", "s_b", "b"), "b").filter(alike)
+            likely = Stored(likely.select("a", "b", "comp_a", "comp_b"), "minhash-likely")
+            both = likely.df.join(named(sets.df, "shingles", "set_a", "a"), "a").join(named(sets.df, "shingles", "set_b", "b"), "b")
+            links, first = Stored(confirmed(both, percent).distinct(), "minhash-links"), False
+            spent.append(likely)
+        else:
+            held = Stored(with_alone(held.df, sets.df, percent), "minhash-told")
+            spent.append(held)
+            found, hubs = crowd_links(held.df, sets.df, percent)
+            links = Stored(found.distinct(), "minhash-links")
         if links.df.limit(1).count():
             joined = components(links.df).select(F.col("v").alias("comp"), "root")
             after = Stored(comps.df.join(joined, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp")), "minhash-comps")
             comps.release()
             comps = after
-        open_rows = held.df.select("key", "cls", "prefix", "weight", "n", "alone").join(hubs.select("key", F.col("hub").alias("cls")), ["key", "cls"], "left_anti")
-        spent, hubs_each = [held, likely, links], hubs_each * HUB_GROWTH
+        open_rows = held.df.select("key", "cls", "prefix", "weight", "n").join(hubs.select("key", "cls"), ["key", "cls"], "left_anti")
+        spent.append(links)
     for table in (sets, side, held):
         table.release()
     return comps.df

@@ -84,17 +84,40 @@ def test_crowd_of_near_copies_takes_a_pair_a_member(spark, monkeypatch):
     class Counted(real):
         def __init__(self, df, name, **options):
             super().__init__(df, name, **options)
-            if name in ("minhash-open", "minhash-told"):
-                if name == "minhash-told":  # the same rows as the open ones before, fewer pairs
-                    made.pop()
-                pairs, _ = minhash.candidate_pairs(self.df, minhash.HUB_GROWTH ** len(made), 85)
-                made.append(pairs.count())
+            if name in ("minhash-likely", "minhash-links"):
+                made.append(self.df.count())
 
     monkeypatch.setattr(minhash, "Stored", Counted)
-    got = minhash.near_duplicates(docs_frame(spark, rows)).collect()
-    assert sorted(map(tuple, got), key=str) == brute(rows)
-    # All pairs of the crowd would be 206,000.
-    assert sum(made) < 4 * len(rows), made
+    want = brute(rows)
+    for size in (2048, 100):  # one block, and many of hubs and members
+        monkeypatch.setattr(minhash, "BLOCK_CLASSES", size)
+        assert sorted(map(tuple, minhash.near_duplicates(docs_frame(spark, rows)).collect()), key=str) == want
+    # Candidates and links of both runs; all pairs of the crowd would be 206,000.
+    assert sum(made) < 2 * 8 * len(rows), made
+
+
+def test_blocks_count_and_link_alike():
+    rng = np.random.default_rng(36)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(0, 400), dtype=np.uint64)) for _ in range(40)]
+    hubs, members = sets[:15], sets[15:] + sets[:2]
+    both = minhash.common_counts(hubs, members)
+    assert both.tolist() == [[float(len(np.intersect1d(x, y))) for y in members] for x in hubs]
+    linked = rng.random((15, 27)) < 0.08
+    hub_comps, member_comps = rng.integers(0, 30, 15), rng.integers(0, 30, 27)
+    links = minhash.spanning_links(linked, hub_comps, member_comps)
+    assert len(links) < 30
+    join = lambda edges: {frozenset(c) for c in closure(edges, {*hub_comps.tolist(), *member_comps.tolist()})}
+    assert join(links) == join([(hub_comps[h], member_comps[m]) for h, m in zip(*np.nonzero(linked))])
+
+
+def closure(edges, vertices):
+    groups = {v: {v} for v in vertices}
+    for a, b in edges:
+        if groups[a] is not groups[b]:
+            groups[a] |= groups[b]
+            for v in groups[b]:
+                groups[v] = groups[a]
+    return groups.values()
 
 
 def test_rows_that_stay(spark):
