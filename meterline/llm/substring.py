@@ -154,14 +154,19 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     copies = Stored(copies.select("doc_id", "text_key", "n_words", "first", "end", F.col("rep.doc_id").alias("rep_id")), "copies")
     gone = copies.df.select(F.col("doc_id").alias("copy_id"), F.col("text_key").alias("copy_key"))
     own = cut.df.join(gone, F.col("doc_id").eqNullSafe(F.col("copy_id")) & (F.col("text_key") == F.col("copy_key")), "left_anti")
-    units = Stored(own.select("doc_id", "text_key", F.posexplode("units").alias("unit", "u")).select("doc_id", "text_key", "unit", "u.*"), "unit-rows")
+    own = Stored(own.select("doc_id", "text_key", "units"), "own-units")
+    cut.release()
+    # Exploded anew where needed: the rows of all units are many times what is found among them.
+    units = own.df.select("doc_id", "text_key", F.explode("units").alias("u")).select("doc_id", "text_key", "u.*")
     spot = F.struct("doc_id", "text_key", "word")
-    firsts = units.df.groupBy("digest").agg(F.min(spot).alias("at"), F.max(spot).alias("last"))
-    firsts = Stored(firsts.filter("at <> last").select("digest", "at"), "first-units")
-    seeds = Stored(units.df.join(firsts.df, "digest").filter(spot != F.col("at")).drop("digest").distinct(), "seeds")
-    # Runs of neighbouring seeds, with the words up to the units that are none.
+    firsts = units.groupBy("digest").agg(F.min(spot).alias("at"), F.count("*").alias("held"))
+    firsts = Stored(firsts.filter("held > 1").select("digest", "at"), "first-units")
+    seeds = Stored(units.join(firsts.df, "digest").filter(spot != F.col("at")).drop("digest").distinct(), "seeds")
+    own.release()
+    # Runs of neighbouring seeds (a unit's left bound is where the one before begins), with the words up to the units that are none.
     doc = Window.partitionBy("doc_id", "text_key")
-    runs = seeds.df.withColumn("run", F.col("unit") - F.row_number().over(doc.orderBy("unit")))
+    breaks = F.coalesce(F.lag("word").over(doc.orderBy("word")) != F.col("left"), F.lit(True)).cast("int")
+    runs = seeds.df.withColumn("breaks", breaks).withColumn("run", F.sum("breaks").over(doc.orderBy("word").rowsBetween(Window.unboundedPreceding, 0)))
     whole = Window.partitionBy("doc_id", "text_key", "run")
     runs = runs.withColumn("room", F.max("right").over(whole) - F.min("left").over(whole)).filter(F.col("room") >= min_words)
     pairs = runs.groupBy("doc_id", "text_key", F.col("at.doc_id").alias("first_id"), F.col("at.text_key").alias("first_key")).agg(F.collect_list(F.struct("word", F.col("at.word").alias("first_word"))).alias("seeds"))
@@ -182,7 +187,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     columns = ["doc_id", "text_key", "start", (F.col("end") - F.col("start")).alias("length"), "n_words", "first_doc_id"]
     again = copies.df.filter(F.col("n_words") >= min_words).select("doc_id", "text_key", F.col("first").alias("start"), "end", "n_words", F.col("rep_id").cast(kind).alias("first_doc_id"))
     out = Stored(merged.select(*columns).unionByName(again.select(*columns)), "passages")
-    for table in (cut, copies, units, firsts, seeds, pairs, needed, found):
+    for table in (copies, firsts, seeds, pairs, needed, found):
         table.release()
     return out.df
 
