@@ -19,11 +19,13 @@ from meterline.llm.common import Stored, column
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SCALE = 1_000_000_000
-# Share of a score that flows on, in percent, and the most rounds of flow.
+# Share of a score that flows on, in percent.
 FLOW_PERCENT = 85
-ROUNDS = 20
+# Rounds of flow end once what all further rounds could still add to all hosts
+# together is at most this: a millionth of one fully seeded host's score.
+RESIDUAL = SCALE // 1_000_000
 # A host without a rule for a page is blocked if its distrust exceeds its trust
-# and reaches this percentage of a fully seeded host's own share.
+# and its own pages, or its links, bring this percentage of what they could.
 BLOCK_PERCENT = 50
 
 LINK = r"""(?i)href\s*=\s*["']?\s*(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
@@ -81,38 +83,56 @@ def host_edges(pages: DataFrame, html_col: str) -> DataFrame:
     return linked.withColumn("dst", F.translate("dst", UPPER, LOWER)).filter("src <> dst").distinct()
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, flow_percent: int = FLOW_PERCENT, rounds: int = ROUNDS) -> DataFrame:
-    """(host, trust, distrust) after the flow over ``edges``; ``hosts`` has host, trust_seed, distrust_seed.
+def propagate(hosts: DataFrame, edges: DataFrame, flow_percent: int = FLOW_PERCENT, residual: int = RESIDUAL) -> DataFrame:
+    """(host, trust, distrust, linked, linkable) after the flow over ``edges``; ``hosts`` has host, trust_seed, distrust_seed.
 
     Each round adds to a host's own share what its neighbours pass on, divided
-    by their number of links; a host without links passes nothing. Rounds end
-    when no score changes, or after ``rounds``.
+    by their number of links; a host without links passes nothing, and one
+    seeded with more trust than distrust passes no distrust to its linkers.
+    Scores only grow, and what a round adds in all shrinks by the flow, so that all later
+    rounds add at most flow / (1 - flow) times as much: rounds end when that is
+    ``residual`` or less (0: when no score changes). ``linked`` is the distrust
+    that a host's links pass to it, ``linkable`` what they would pass if each
+    linked host had a fully seeded host's own share. It is the host's own
+    measure: both are divided by the same in-degrees.
     """
     out_degree = edges.groupBy("src").agg(F.count("*").alias("n_out"))
     in_degree = edges.groupBy("dst").agg(F.count("*").alias("n_in"))
     graph = Stored(edges.join(out_degree, "src").join(in_degree, "dst"), "host-graph").df
     flows = graph.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), F.col("n_out").alias("n"))
     flows = flows.unionByName(graph.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), F.col("n_in").alias("n")))
-    own = F.explode(F.array(F.struct(F.lit("trust").alias("kind"), F.col("trust_seed").alias("seed")), F.struct(F.lit("distrust").alias("kind"), F.col("distrust_seed").alias("seed"))))
-    scored = hosts.select("host", own.alias("x")).select("host", "x.kind", "x.seed")
+    trust = F.struct(F.lit("trust").alias("kind"), F.col("trust_seed").alias("seed"), F.lit(True).alias("passes"))
+    distrust = F.struct(F.lit("distrust").alias("kind"), F.col("distrust_seed").alias("seed"), (F.col("trust_seed") <= F.col("distrust_seed")).alias("passes"))
+    scored = hosts.select("host", F.explode(F.array(trust, distrust)).alias("x")).select("host", "x.*")
     keep = 100 - flow_percent
-    scores = Stored(scored.withColumn("score", F.expr(f"seed * {keep} div 100")), "host-scores")
-    for _ in range(rounds):
-        passed = flows.join(scores.df, ["kind", "host"]).groupBy("kind", F.col("to").alias("host")).agg(F.sum(F.expr("score div n")).alias("passed"))
+    start = F.expr(f"seed * {keep} div 100")
+    share = F.expr("if(passes, score div n, 0)")
+    scores = Stored(scored.select("host", "kind", "seed", "passes", start.alias("score"), start.alias("moved")), "host-scores")
+    while (scores.df.agg(F.sum("moved")).first()[0] or 0) * flow_percent > residual * keep:
+        passed = flows.join(scores.df, ["kind", "host"]).groupBy("kind", F.col("to").alias("host")).agg(F.sum(share).alias("passed"))
         new = scores.df.join(passed, ["kind", "host"], "left")
         total = F.expr(f"(seed * {keep} + coalesce(passed, 0) * {flow_percent}) div 100")
-        after = Stored(new.select("kind", "host", "seed", total.alias("score"), (total != F.col("score")).alias("moved")), "host-scores")
+        after = Stored(new.select("host", "kind", "seed", "passes", total.alias("score"), (total - F.col("score")).alias("moved")), "host-scores")
         scores.release()
         scores = after
-        if not scores.df.filter("moved").limit(1).count():
-            break
+    full = SCALE * keep // 100
+    reach = flows.filter("kind = 'distrust'").join(scores.df, ["kind", "host"]).groupBy(F.col("to").alias("host"))
+    reach = reach.agg(F.sum(share).alias("linked"), F.sum(F.expr(f"{full} div n")).alias("linkable"))
     by_kind = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("score")))
-    return scores.df.groupBy("host").agg(by_kind("trust").alias("trust"), by_kind("distrust").alias("distrust"))
+    out = scores.df.groupBy("host").agg(by_kind("trust").alias("trust"), by_kind("distrust").alias("distrust"))
+    none = F.lit(0).cast("long")
+    return out.join(reach, "host", "left").select("host", "trust", "distrust", F.coalesce("linked", none).alias("linked"), F.coalesce("linkable", none).alias("linkable"))
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", flow_percent: int = FLOW_PERCENT, rounds: int = ROUNDS, block_percent: int = BLOCK_PERCENT) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url_col: str = "url", html_col: str = "html", flow_percent: int = FLOW_PERCENT, residual: int = RESIDUAL, block_percent: int = BLOCK_PERCENT) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, trust, distrust.
 
+    Without a rule a page is blocked if its host's distrust exceeds its trust
+    and either the blocked share of the host's pages or the distrust of its
+    links reaches ``block_percent`` of the most it could be. The links' measure
+    does not shrink with the number of others that link to a blocked host, and
+    hosts that many link to count less in it than hosts few link to.
+
     A null url, or one without ``://``, has empty host and path, no rule and
     the verdict of a host without scores (allow). Null pages have no links;
     null ids and repeated rows are kept, and repeated rows count repeatedly in
@@ -130,28 +150,23 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url
     share = lambda verdict: F.sum(F.when(F.col("best.verdict") == verdict, 1).otherwise(0))
     seeds = ruled.groupBy("host").agg(F.count("*").alias("n"), share("allow").alias("good"), share("block").alias("bad"))
     seeded = hosts.join(seeds, "host", "left").select("host", F.coalesce(F.expr(f"good * {SCALE} div n"), F.lit(0)).alias("trust_seed"), F.coalesce(F.expr(f"bad * {SCALE} div n"), F.lit(0)).alias("distrust_seed"))
-    scores = propagate(Stored(seeded, "host-seeds").df, edges, flow_percent, rounds)
+    seeded = Stored(seeded, "host-seeds").df
+    scores = propagate(seeded, edges, flow_percent, residual).join(seeded.select("host", "distrust_seed"), "host")
+    own, links = F.expr(f"100 * distrust_seed >= {block_percent} * {SCALE}L"), F.expr(f"linkable > 0 AND 100 * linked >= {block_percent} * linkable")
+    by_score = F.when((F.col("distrust") > F.col("trust")) & (own | links), "block").otherwise("allow")
+    scores = scores.select("host", "trust", "distrust", by_score.alias("by_score"))
     known = Stored(with_rules.join(scores, "host"), "host-verdicts").df
-    least = SCALE * (100 - flow_percent) // 100 * block_percent // 100
-    by_score = F.when((F.col("distrust") > F.col("trust")) & (F.col("distrust") >= least), "block").otherwise("allow")
     judged = slim.join(known, "host").withColumn("best", best_rule(F.col("rules"), F.col("path")))
-    return judged.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce(F.col("best.verdict"), by_score).alias("verdict"), "trust", "distrust")
+    return judged.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce(F.col("best.verdict"), F.col("by_score")).alias("verdict"), "trust", "distrust")
 
 
-def oracle_sql(rules: list[Rule], flow_percent: int = FLOW_PERCENT, rounds: int = ROUNDS, block_percent: int = BLOCK_PERCENT) -> str:
-    """DuckDB SQL of ``judge_urls`` over ``pages``, the rounds written out."""
+def oracle_sql(rules: list[Rule], flow_percent: int = FLOW_PERCENT, residual: int = RESIDUAL, block_percent: int = BLOCK_PERCENT) -> str:
+    """DuckDB SQL of ``judge_urls`` over ``pages``, the rounds as a recursion."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     values = ", ".join(f"({quote(r.verdict)}, {quote(r.host)}, {quote(r.path)}, {quote(r.text)})" for r in rules)
-    keep, least = 100 - flow_percent, SCALE * (100 - flow_percent) // 100 * block_percent // 100
-    steps = "".join(
-        f""", s{i + 1} AS MATERIALIZED (
-  SELECT s.kind, s.host, s.seed, CAST((s.seed * {keep} + coalesce(p.passed, 0) * {flow_percent}) // 100 AS BIGINT) AS score
-  FROM s{i} s LEFT JOIN (SELECT f.kind, f.dst AS host, CAST(sum(s.score // f.n) AS BIGINT) AS passed FROM flows f JOIN s{i} s ON s.kind = f.kind AND s.host = f.host GROUP BY 1, 2) p
-  ON p.kind = s.kind AND p.host = s.host)"""
-        for i in range(rounds)
-    )
+    keep = 100 - flow_percent
     return f"""
-WITH rules(verdict, rule_host, rule_path, rule) AS (VALUES {values}),
+WITH RECURSIVE rules(verdict, rule_host, rule_path, rule) AS (VALUES {values}),
 parts AS (
   SELECT page_id, html, instr(url, '://') AS pos, substr(url, instr(url, '://') + 3) AS rest FROM pages),
 named AS MATERIALIZED (
@@ -178,10 +193,24 @@ flows AS MATERIALIZED (
   SELECT 'trust' AS kind, src AS host, dst, count(*) OVER (PARTITION BY src) AS n FROM edges
   UNION ALL SELECT 'distrust', dst, src, count(*) OVER (PARTITION BY dst) FROM edges),
 s0 AS MATERIALIZED (
-  SELECT 'trust' AS kind, host, CAST(t AS BIGINT) AS seed, CAST(t * {keep} // 100 AS BIGINT) AS score FROM seeds
-  UNION ALL SELECT 'distrust', host, CAST(d AS BIGINT), CAST(d * {keep} // 100 AS BIGINT) FROM seeds){steps}
+  SELECT 'trust' AS kind, host, CAST(t AS BIGINT) AS seed, 1 AS passes, CAST(t * {keep} // 100 AS BIGINT) AS score FROM seeds
+  UNION ALL SELECT 'distrust', host, CAST(d AS BIGINT), CAST(t <= d AS INT), CAST(d * {keep} // 100 AS BIGINT) FROM seeds),
+rounds AS (
+  SELECT 0 AS round, kind, host, seed, passes, score, score AS moved FROM s0
+  UNION ALL
+  SELECT round + 1, kind, host, seed, passes, total, total - score FROM (
+    SELECT s.*, CAST((s.seed * {keep} + coalesce(p.passed, 0) * {flow_percent}) // 100 AS BIGINT) AS total
+    FROM rounds s LEFT JOIN (
+      SELECT f.kind, f.dst AS host, CAST(sum(s.passes * (s.score // f.n)) AS BIGINT) AS passed
+      FROM flows f JOIN rounds s ON s.kind = f.kind AND s.host = f.host GROUP BY 1, 2) p
+    ON p.kind = s.kind AND p.host = s.host)
+  WHERE (SELECT sum(moved) FROM rounds) * {flow_percent} > {residual * (100 - flow_percent)}),
+settled AS MATERIALIZED (SELECT * FROM rounds WHERE round = (SELECT max(round) FROM rounds)),
+reach AS (
+  SELECT f.dst AS host, CAST(sum(s.passes * (s.score // f.n)) AS BIGINT) AS linked, CAST(sum({SCALE * (100 - flow_percent) // 100} // f.n) AS BIGINT) AS linkable
+  FROM flows f JOIN settled s ON s.kind = f.kind AND s.host = f.host WHERE f.kind = 'distrust' GROUP BY 1)
 SELECT j.page_id, j.host, j.path, j.rule,
-  coalesce(j.verdict, CASE WHEN d.score > t.score AND d.score >= {least} THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(j.verdict, CASE WHEN d.score > t.score AND (100 * d.seed >= {block_percent * SCALE} OR (r.linkable > 0 AND 100 * r.linked >= {block_percent} * r.linkable)) THEN 'block' ELSE 'allow' END) AS verdict,
   t.score AS trust, d.score AS distrust
-FROM judged j JOIN s{rounds} t ON t.host = j.host AND t.kind = 'trust' JOIN s{rounds} d ON d.host = j.host AND d.kind = 'distrust'
+FROM judged j JOIN settled t ON t.host = j.host AND t.kind = 'trust' JOIN settled d ON d.host = j.host AND d.kind = 'distrust' LEFT JOIN reach r ON r.host = j.host
 """
