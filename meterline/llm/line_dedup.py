@@ -1,10 +1,13 @@
 """Line dedup by content-defined chunks of lines.
 
-A rolling hash over the last three line hashes decides where a chunk ends, so
-an inserted or deleted line moves only the boundaries near it. Chunks of
-several lines that occur more than once in the corpus are removed except for
-the earliest one, after their bytes were compared with the earliest's.
-DataFrame and SQL functions only.
+A line opens a chunk if its hash is below the next line's, so a boundary hangs
+on two lines alone and an inserted or deleted line moves only those beside it.
+The slices of one MD5 give several such orders of lines and with each a chunking
+of its own: what one of them cuts badly another cuts well. Chunks of several
+lines that occur more than once in the corpus are removed except for the
+earliest one, after their bytes were compared with the earliest's. A line goes
+if any of its chunks goes; an equal line then stands at an earlier place, and
+the earliest of all stays. DataFrame and SQL functions only.
 """
 
 from __future__ import annotations
@@ -14,41 +17,32 @@ from pyspark.sql import functions as F
 
 from meterline.llm.common import Stored, column, fresh_name, once
 
-# A line ends a chunk if its rolling hash is divisible by this: the mean lines of a chunk.
-MEAN_LINES = 4
-# Fixed values of the rolling hash: weights of this line and the two before it, and the modulus.
-WEIGHTS = (1, 31, 961)
-MODULUS = 1_000_003
+# Chunkings, each from its own 28 bits of a line's MD5 (DuckDB and Spark agree on these).
+CHUNKINGS = 4
+DIGITS = 7
 MIN_LINES = 2
 
 
-def line_hashes(lines: Column) -> Column:
-    """28 bits of each line's MD5 (DuckDB and Spark agree on these)."""
-    return F.transform(lines, lambda line: F.conv(F.substring(F.md5(line), 1, 7), 16, 10).cast("long"))
+def chunk_starts(hashes: Column, slice_no: int) -> Column:
+    """1-based first lines of the chunks by one slice of the lines' MD5 hashes, which compare as their digits do."""
+    bits = lambda i: F.substring(F.get(hashes, i), 1 + DIGITS * slice_no, DIGITS)
+    return F.filter(F.sequence(F.lit(1), F.size(hashes)), lambda i: (i == 1) | F.coalesce(bits(i - 1) < bits(i), F.lit(False)))
 
 
-def chunk_ends(hashes: Column, mean_lines: int) -> Column:
-    """1-based last lines of the chunks."""
-
-    def ends(i):
-        rolled = sum(F.coalesce(F.get(hashes, i - 1 - k), F.lit(0)) * w for k, w in enumerate(WEIGHTS))
-        return (i == F.size(hashes)) | (rolled % MODULUS % mean_lines == 0)
-
-    return F.filter(F.sequence(F.lit(1), F.size(hashes)), ends)
+def spans(opens: Column, n_lines: Column) -> Column:
+    return F.transform(opens, lambda first, i: F.struct(first.alias("first"), (F.coalesce(F.get(opens, i + 1), n_lines + 1) - first).alias("n")))
 
 
 def chunk_text(lines: Column, chunk: Column) -> Column:
     return F.array_join(F.slice(lines, chunk["first"], chunk["n"]), "\n")
 
 
-def with_chunks(docs: DataFrame, text_col: str, lines: str, ends: str, chunks: str, mean_lines: int) -> DataFrame:
-    """``docs`` with its ``lines``, chunk ``ends`` and ``chunks``: (no, first line from 1, n lines). A null text has none."""
+def with_chunks(docs: DataFrame, text_col: str, lines: str, chunks: str, chunkings: int) -> DataFrame:
+    """``docs`` with its ``lines`` and its different ``chunks``: (first line from 1, n lines). A null text has none."""
     cut = once(docs, lines, F.split(column(text_col), "\n"))
-    cut = once(cut, ends, line_hashes(column(lines)))
-    cut = once(cut, ends, chunk_ends(column(ends), mean_lines))
-    begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(column(ends), i - 1))
-    spans = F.transform(column(ends), lambda e, i: F.struct(i.alias("no"), (begin(i) + 1).alias("first"), (e - begin(i)).alias("n")))
-    return once(cut, chunks, spans)
+    cut = once(cut, chunks, F.transform(column(lines), lambda line: F.md5(line)))
+    cut = once(cut, chunks, F.array(*[chunk_starts(column(chunks), k) for k in range(chunkings)]))
+    return once(cut, chunks, F.array_distinct(F.flatten(F.transform(column(chunks), lambda opens: spans(opens, F.size(column(lines)))))))
 
 
 def eligible(lines: Column, chunk: Column, min_lines: int) -> Column:
@@ -56,87 +50,94 @@ def eligible(lines: Column, chunk: Column, min_lines: int) -> Column:
     return F.size(F.filter(F.slice(lines, chunk["first"], chunk["n"]), lambda line: F.trim(line) != "")) >= min_lines
 
 
-def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean_lines: int = MEAN_LINES, min_lines: int = MIN_LINES) -> DataFrame:
-    """(doc_id, text_md5, nos): the chunks to remove from each document.
+def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunkings: int = CHUNKINGS, min_lines: int = MIN_LINES) -> DataFrame:
+    """(doc_id, text_md5, gone): the chunks (first, n) to remove from each document.
 
     A document is known by its id and its text's MD5; rows equal in both are
-    one document. The earliest occurrence has the smallest (id, MD5, chunk
-    number), null ids first.
+    one document. The earliest occurrence has the smallest (id, MD5, first
+    line), null ids first.
     """
     slim = docs.filter(column(text_col).isNotNull()).select(column(id_col).alias("doc_id"), column(text_col).alias("text"), F.md5(column(text_col)).alias("text_md5"))
-    cut = with_chunks(slim, "text", "lines", "ends", "chunks", mean_lines)
-    found = cut.select("doc_id", "text_md5", F.explode(F.transform(F.filter("chunks", lambda c: eligible(F.col("lines"), c, min_lines)), lambda c: F.struct(c["no"].alias("no"), F.unhex(F.md5(chunk_text(F.col("lines"), c))).alias("digest")))).alias("c"))
-    spots = Stored(found.select("doc_id", "text_md5", "c.no", "c.digest"), "chunk-digests")
-    spot = F.struct("doc_id", "text_md5", "no")
-    repeats = Stored(spots.df.groupBy("digest").agg(F.min(spot).alias("first"), (F.max(spot) != F.min(spot)).alias("again")).filter("again").drop("again"), "repeated-digests")
-    hits = spots.df.join(repeats.df, "digest").select("doc_id", "text_md5", F.struct("no", (spot == F.col("first")).alias("is_first")).alias("hit"))
+    cut = with_chunks(slim, "text", "lines", "chunks", chunkings)
+    found = cut.select("doc_id", "text_md5", F.explode(F.transform(F.filter("chunks", lambda c: eligible(F.col("lines"), c, min_lines)), lambda c: F.struct(c["first"].alias("first"), c["n"].alias("n"), F.unhex(F.md5(chunk_text(F.col("lines"), c))).alias("digest")))).alias("c"))
+    spots = Stored(found.select("doc_id", "text_md5", "c.*"), "chunk-digests")
+    spot = F.struct("doc_id", "text_md5", "first", "n")
+    repeats = Stored(spots.df.groupBy("digest").agg(F.min(spot).alias("earliest"), (F.max(spot) != F.min(spot)).alias("again")).filter("again").drop("again"), "repeated-digests")
+    hits = spots.df.join(repeats.df, "digest").select("doc_id", "text_md5", F.struct("first", "n", (spot == F.col("earliest")).alias("is_first")).alias("hit"))
     per_doc = Stored(hits.groupBy("doc_id", "text_md5").agg(F.collect_set("hit").alias("hits")), "chunk-hits")
     # The texts of repeated chunks only, once per document, for the comparison of bytes.
     keyed = per_doc.df.select(F.col("doc_id").alias("hit_id"), F.col("text_md5").alias("hit_md5"), "hits")
     held = slim.join(keyed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_md5") == F.col("hit_md5")))
-    held = with_chunks(held, "text", "lines", "ends", "chunks", mean_lines)
-    texts = held.select("doc_id", "text_md5", F.explode("hits").alias("hit"), "lines", "chunks").select("doc_id", "text_md5", "hit.no", "hit.is_first", chunk_text(F.col("lines"), F.get("chunks", F.col("hit.no"))).alias("chunk"))
+    held = once(held, "lines", F.split("text", "\n"))
+    texts = held.select("doc_id", "text_md5", F.explode("hits").alias("hit"), "lines")
+    texts = texts.select("doc_id", "text_md5", "hit.*", chunk_text(F.col("lines"), F.col("hit")).alias("chunk"))
     texts = Stored(texts.withColumn("digest", F.unhex(F.md5("chunk"))), "chunk-texts")
     firsts = Stored(texts.df.filter("is_first").select("digest", F.col("chunk").alias("first_chunk")).distinct(), "first-chunks")
     same = texts.df.filter("NOT is_first").join(firsts.df, "digest").filter(F.col("chunk") == F.col("first_chunk"))
-    out = Stored(same.groupBy("doc_id", "text_md5").agg(F.collect_set("no").alias("nos")), "removed-chunks")
+    out = Stored(same.groupBy("doc_id", "text_md5").agg(F.collect_set(F.struct("first", "n")).alias("gone")), "removed-chunks")
     for table in (spots, repeats, per_doc, texts, firsts):
         table.release()
     return out.df
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mean_lines: int = MEAN_LINES, min_lines: int = MIN_LINES, report: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunkings: int = CHUNKINGS, min_lines: int = MIN_LINES, report: bool = False) -> DataFrame:
     """``docs`` with repeated chunks cut out of ``text_col``; all rows and columns stay.
 
-    What remains of a text is its other chunks joined by line breaks, an empty
+    What remains of a text is its other lines joined by line breaks, an empty
     string if nothing does. Null and empty texts are unchanged; equal rows are
     treated alike. With ``report``, adds n_lines, n_chunks, removed_chunks and
     removed_lines (long; a null text: 0) in place of all columns but id and text.
     """
-    removed = repeated_chunks(docs, id_col, text_col, mean_lines, min_lines)
-    rid, rmd5, nos, md5 = (fresh_name(docs, n) for n in ("removed_id", "removed_md5", "removed_nos", "text_md5"))
-    keyed = removed.select(F.col("doc_id").alias(rid), F.col("text_md5").alias(rmd5), F.col("nos").alias(nos))
+    removed = repeated_chunks(docs, id_col, text_col, chunkings, min_lines)
+    rid, rmd5, gone, md5 = (fresh_name(docs, n) for n in ("removed_id", "removed_md5", "removed_chunks", "text_md5"))
+    keyed = removed.select(F.col("doc_id").alias(rid), F.col("text_md5").alias(rmd5), F.col("gone").alias(gone))
     joined = docs.withColumn(md5, F.md5(column(text_col))).join(keyed.hint("merge"), column(id_col).eqNullSafe(column(rid)) & (column(md5) == column(rmd5)), "left")
-    lines, ends, chunks = (fresh_name(joined, n) for n in ("lines", "ends", "chunks"))
-    cut = with_chunks(joined, text_col, lines, ends, chunks, mean_lines)
-    gone = lambda c: F.array_contains(column(nos), c["no"])
-    left = F.filter(column(chunks), lambda c: ~gone(c))
-    rest = F.array_join(F.transform(left, lambda c: chunk_text(column(lines), c)), "\n")
-    text = F.when(column(nos).isNull(), column(text_col)).otherwise(rest)
+    lines, left = (fresh_name(joined, n) for n in ("lines", "left_lines"))
+    cut = once(joined, lines, F.split(column(text_col), "\n"))
+    numbers = F.flatten(F.transform(column(gone), lambda c: F.sequence(c["first"], c["first"] + c["n"] - 1)))
+    cut = once(cut, left, F.array_except(F.sequence(F.lit(1), F.size(column(lines))), numbers))
+    rest = F.array_join(F.transform(column(left), lambda i: F.get(column(lines), i - 1)), "\n")
+    text = F.when(column(gone).isNull(), column(text_col)).otherwise(rest)
     if not report:
         return cut.withColumn(text_col, text).select(*[column(c) for c in docs.columns])
+    chunks = fresh_name(cut, "chunks")
+    cut = with_chunks(cut, text_col, lines, chunks, chunkings)
     count = lambda of: F.coalesce(of, F.lit(0)).cast("long")
-    out_lines = F.aggregate(F.filter(column(chunks), gone), F.lit(0), lambda total, c: total + c["n"])
-    has = column(nos).isNotNull()
+    has, written = column(gone).isNotNull(), column(text_col).isNotNull()
     return cut.select(
         column(id_col).alias("doc_id"),
         text.alias("text"),
-        count(F.when(column(text_col).isNotNull(), F.size(column(lines)))).alias("n_lines"),
-        count(F.when(column(text_col).isNotNull(), F.size(column(chunks)))).alias("n_chunks"),
-        count(F.when(has, F.size(column(nos)))).alias("removed_chunks"),
-        count(F.when(has, out_lines)).alias("removed_lines"),
+        count(F.when(written, F.size(column(lines)))).alias("n_lines"),
+        count(F.when(written, F.size(column(chunks)))).alias("n_chunks"),
+        count(F.when(has, F.size(column(gone)))).alias("removed_chunks"),
+        count(F.when(has, F.size(column(lines)) - F.size(column(left)))).alias("removed_lines"),
     )
 
 
-def oracle_sql(mean_lines: int = MEAN_LINES, min_lines: int = MIN_LINES) -> str:
+def oracle_sql(chunkings: int = CHUNKINGS, min_lines: int = MIN_LINES) -> str:
     """DuckDB SQL of ``line_dedup(documents, report=True)``."""
-    rolled = " + ".join(f"coalesce(lag(h, {k}) OVER w, 0) * {x}" if k else f"h * {x}" for k, x in enumerate(WEIGHTS))
+    opens = " UNION ALL ".join(f"SELECT {k} AS k, r, i FROM l WHERE i = 1 OR substr(h, {1 + DIGITS * k}, {DIGITS}) < substr(next_h, {1 + DIGITS * k}, {DIGITS})" for k in range(chunkings))
+    spot = "(coalesce(doc_id, -9223372036854775808), text_md5, first, n)"
     return f"""
-WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text, md5(text) AS text_md5 FROM documents),
-l AS (SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d WHERE text IS NOT NULL),
-hashed AS (SELECT *, CAST('0x' || substr(md5(line), 1, 7) AS BIGINT) AS h FROM l),
-rolled AS (SELECT *, ({rolled}) % {MODULUS} % {mean_lines} = 0 AS ends FROM hashed WINDOW w AS (PARTITION BY r ORDER BY i)),
-numbered AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS no FROM rolled),
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text, md5(text) AS text_md5, string_split(text, chr(10)) AS lines FROM documents),
+split AS (SELECT r, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d WHERE text IS NOT NULL),
+l AS MATERIALIZED (SELECT r, i, line, md5(line) AS h, lead(md5(line)) OVER (PARTITION BY r ORDER BY i) AS next_h FROM split),
+opens AS ({opens}),
 c AS MATERIALIZED (
-  SELECT r, no, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n, count(*) FILTER (trim(line) <> '') AS solid FROM numbered GROUP BY r, no),
-s AS (SELECT c.*, d.doc_id, d.text_md5, min((coalesce(d.doc_id, -9223372036854775808), d.text_md5, no)) OVER (PARTITION BY chunk) AS first FROM c JOIN d USING (r) WHERE solid >= {min_lines}),
-gone AS (SELECT r, no FROM s WHERE (coalesce(doc_id, -9223372036854775808), text_md5, no) <> first),
-done AS (
-  SELECT c.r, count(*) AS n_chunks, sum(c.n) AS n_lines, count(g.no) AS removed_chunks, coalesce(sum(c.n) FILTER (g.no IS NOT NULL), 0) AS removed_lines,
-    string_agg(c.chunk, chr(10) ORDER BY c.no) FILTER (g.no IS NULL) AS rest
-  FROM c LEFT JOIN gone g ON g.r = c.r AND g.no = c.no GROUP BY c.r)
-SELECT d.doc_id, CASE WHEN coalesce(done.removed_chunks, 0) = 0 THEN d.text ELSE coalesce(done.rest, '') END AS text,
-  CAST(coalesce(done.n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(done.n_chunks, 0) AS BIGINT) AS n_chunks,
-  CAST(coalesce(done.removed_chunks, 0) AS BIGINT) AS removed_chunks, CAST(coalesce(done.removed_lines, 0) AS BIGINT) AS removed_lines
-FROM d LEFT JOIN done USING (r)
+  SELECT DISTINCT r, first, n FROM (
+    SELECT o.r, o.i AS first, coalesce(lead(o.i) OVER (PARTITION BY o.r, o.k ORDER BY o.i), len(d.lines) + 1) - o.i AS n FROM opens o JOIN d USING (r))),
+s AS (
+  SELECT *, min({spot}) OVER (PARTITION BY chunk) AS earliest FROM (
+    SELECT c.r, c.first, c.n, d.doc_id, d.text_md5, lines[first:first + n - 1] AS part, array_to_string(lines[first:first + n - 1], chr(10)) AS chunk FROM c JOIN d USING (r))
+  WHERE len(list_filter(part, lambda x: trim(x) <> '')) >= {min_lines}),
+gone AS MATERIALIZED (SELECT r, first, n FROM s WHERE {spot} <> earliest),
+gone_lines AS MATERIALIZED (SELECT DISTINCT r, unnest(generate_series(first, first + n - 1)) AS i FROM gone),
+rest AS (SELECT l.r, string_agg(l.line, chr(10) ORDER BY l.i) AS rest FROM l ANTI JOIN gone_lines g ON g.r = l.r AND g.i = l.i GROUP BY 1),
+n_chunks AS (SELECT r, count(*) AS n_chunks FROM c GROUP BY 1),
+n_gone AS (SELECT r, count(*) AS removed_chunks FROM gone GROUP BY 1),
+n_gone_lines AS (SELECT r, count(*) AS removed_lines FROM gone_lines GROUP BY 1)
+SELECT d.doc_id, CASE WHEN removed_chunks IS NULL THEN d.text ELSE coalesce(rest, '') END AS text,
+  CAST(coalesce(len(d.lines), 0) AS BIGINT) AS n_lines, CAST(coalesce(n_chunks, 0) AS BIGINT) AS n_chunks,
+  CAST(coalesce(removed_chunks, 0) AS BIGINT) AS removed_chunks, CAST(coalesce(removed_lines, 0) AS BIGINT) AS removed_lines
+FROM d LEFT JOIN rest USING (r) LEFT JOIN n_chunks USING (r) LEFT JOIN n_gone USING (r) LEFT JOIN n_gone_lines USING (r)
 """
