@@ -18,8 +18,12 @@ from pyspark.sql import functions as F
 
 from meterline.operators import closed_form as CF
 from meterline.operators.asof import asof_join
+from meterline.operators.cross_validate import fold_of, ridge_cv
+from meterline.operators.groupings import cube_sets, grouping_sets
 from meterline.operators.interval import point_in_range_join
 from meterline.operators.nearest import nearest_join
+from meterline.operators.quantile import exact_quantiles
+from meterline.operators.sessions import sessions
 from meterline.operators import clean as C
 from meterline.operators import models as M
 from meterline.operators.evaluate import best_model, leaderboard, regression_metrics
@@ -27,7 +31,7 @@ from meterline.operators.funnel import funnel_counts, funnel_labels
 from meterline.operators.sample import ordered_sample
 from meterline.operators.report import axis_bound, error_histogram, prediction_sample, with_absolute_error
 from meterline.operators.split import hash_split, split_counts, with_split_flag
-from meterline.operators.validate import select_required
+from meterline.operators.validate import MissingColumnsError, require_columns, select_required
 from meterline.plans.common import rounded, ts_text
 from meterline.plans.train import run_train
 from meterline.schemas import CLEAN_COLUMNS, FEATURE_COLUMNS, FUNNEL_SCHEMA, IMPORTANCE_SCHEMA, RAW_COLUMNS, RAW_TRIP_SCHEMA, SAMPLE_COLUMNS
@@ -290,7 +294,7 @@ def closed_form_evaluation(spark, sf_dir) -> DataFrame:
     for i in range(3):
         err = F.col("label") - F.col(f"p{i}")
         mse = F.avg(err * err)
-        aggs += [F.sqrt(mse).alias(f"rmse{i}"), F.avg(F.abs(err)).alias(f"mae{i}"), (1 - mse / F.var_pop("label")).alias(f"r2{i}")]
+        aggs += [F.sqrt(mse).alias(f"rmse{i}"), F.avg(F.abs(err)).alias(f"mae{i}"), (1 - F.try_divide(mse, F.var_pop("label"))).alias(f"r2{i}")]
     wide = preds.agg(*aggs)
     rows = [
         F.struct(F.lit(name).alias("model"), F.col(f"rmse{i}").alias("rmse"), F.col(f"mae{i}").alias("mae"), F.col(f"r2{i}").alias("r2"), F.lit(i).alias("position"))
@@ -542,6 +546,112 @@ def nearest_dropoff(spark, sf_dir):
     return rounded(found.select("key", "nearest_km"))
 
 
+# Facts that a wrong fit fails.
+
+
+def tree_leaf_facts(spark, sf_dir):
+    """Each tree's training predictions are the mean labels of the rows that get them, from several leaves and at most 2^depth."""
+    train, _ = _stored_split(spark, sf_dir)
+    total = train.agg(F.var_pop("label")).first()[0]
+    out = None
+    for profile in ("fast", "full"):
+        scored = _fit(train, train, profile, M.TREE).predictions
+        leaves = scored.groupBy("prediction").agg(F.count("*").alias("n"), F.avg("label").alias("mean"), F.var_pop("label").alias("spread"))
+        off = F.count_if(F.abs(F.col("prediction") - F.col("mean")) > 1e-6)
+        within = F.sum(F.col("n") * F.col("spread")) / F.sum("n")
+        shape = F.count("*").between(2, 2 ** M.PROFILES[profile].tree_depth)
+        row = leaves.agg(F.sum("n").alias("rows"), off.alias("leaves_off"), shape.alias("leaves_in_bounds"), (within < 0.5 * total).alias("halves_variance"))
+        row = row.select(F.lit(profile).alias("profile"), "rows", "leaves_off", "leaves_in_bounds", "halves_variance")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def forest_facts(spark, sf_dir):
+    """The fast forest predicts the mean of its trees' predictions for every test row, and no tree equals another."""
+    train, test = _stored_split(spark, sf_dir)
+    result = _fit(train, test, "fast", M.FOREST)
+    trees = result.model.stages[-1].trees
+    scored = result.predictions.select("features", F.col("prediction").alias("whole"))
+    for i, tree in enumerate(trees):
+        scored = tree.setPredictionCol(f"tree_{i}").transform(scored)
+    each = [F.col(f"tree_{i}") for i in range(len(trees))]
+    mean = sum(each[1:], each[0]) / len(trees)
+    alike = [F.count_if(a != b) == 0 for i, a in enumerate(each) for b in each[:i]]
+    same = sum([a.cast("int") for a in alike[1:]], alike[0].cast("int"))
+    return scored.agg(F.count("*").alias("rows"), F.lit(len(trees)).alias("trees"), F.count_if(F.abs(F.col("whole") - mean) > 1e-6).alias("differing"), same.alias("equal_pairs"))
+
+
+def boosted_facts(spark, sf_dir):
+    """The boosted fit is the weighted sum of its trees for every training row, and fits them better than its first tree."""
+    train, _ = _stored_split(spark, sf_dir)
+    result = _fit(train, train, "full", M.BOOSTED)
+    fitted = result.model.stages[-1]
+    scored = result.predictions.select("label", "features", F.col("prediction").alias("whole"))
+    for i, tree in enumerate(fitted.trees):
+        scored = tree.setPredictionCol(f"tree_{i}").transform(scored)
+    total = sum(F.col(f"tree_{i}") * w for i, w in enumerate(fitted.treeWeights))
+    mse = lambda c: F.avg((F.col("label") - F.col(c)) * (F.col("label") - F.col(c)))
+    facts = scored.withColumn("summed", total)
+    return facts.agg(F.count("*").alias("rows"), F.lit(len(fitted.trees)).alias("trees"), F.count_if(F.abs(F.col("whole") - F.col("summed")) > 1e-6).alias("differing"), (mse("whole") < 0.9 * mse("tree_0")).alias("beats_first_tree"))
+
+
+def guard_messages(spark, sf_dir):
+    """What the guards say: an input without three of its columns, and a training run in which every model fails."""
+    trips = _raw(spark, sf_dir)
+    said = []
+    try:
+        require_columns(trips.drop("key", "fare_amount", "dropoff_latitude"), RAW_COLUMNS, "raw trip table")
+    except MissingColumnsError as error:
+        said.append(("required_columns", ",".join(sorted(error.missing))))
+    train, test = _stored_split(spark, sf_dir)
+    # A feature is gone, so no model can be fitted.
+    results = M.train_all(M.model_specs("fast"), train.drop("trip_distance_km"), test)
+    try:
+        M.successful(results)
+    except RuntimeError as error:
+        named = [r.name for r in results if r.name in str(error)]
+        said.append(("every_model_failed", ",".join(sorted(named))))
+    rows = trips.agg(F.count("*").alias("rows"))
+    return spark.createDataFrame(said, "guard string, names string").select("guard", "names", rows.scalar().alias("rows"))
+
+
+# ------------------------------------ cubes, quantiles, folds and sessions
+
+
+def fare_cube(spark, sf_dir):
+    """Trips, fares and distinct drop-off cells by hour, weekday and month, with every total."""
+    dims = ["pickup_hour", "pickup_dayofweek", "pickup_month"]
+    trips = _clean(spark, sf_dir).select(*dims, F.round(F.col("fare_amount") * 100).cast("long").alias("fare_cents"), F.floor(F.col("dropoff_longitude") * 100).alias("cell"))
+    return grouping_sets(trips, dims, cube_sets(dims), count="trips", sums={"cents": "fare_cents"}, distinct={"cells": "cell"})
+
+
+def error_quantiles(spark, sf_dir):
+    """Exact quantiles of the absolute error over all test predictions."""
+    errors = with_absolute_error(_stored_predictions(spark, sf_dir))
+    return rounded(exact_quantiles(errors, "absolute_error", ["0.5", "0.9", "0.99"]))
+
+
+# The penalties and folds of the cross-validated fit.
+CV_PENALTIES = (0.01, 0.1, 1.0, 10.0)
+CV_FOLDS = 5
+
+
+def ridge_cv_q(spark, sf_dir):
+    """Penalties of the two-feature ridge over five folds of all clean trips."""
+    frame = M.model_input(_clean(spark, sf_dir)).withColumn("fold", fold_of("key", CV_FOLDS))
+    return rounded(ridge_cv(frame, list(TWO_FEATURES), list(CV_PENALTIES)))
+
+
+SESSION_GAP_MICROS = 6 * 3_600_000_000
+
+
+def user_sessions(spark, sf_dir):
+    """Each user's events as sessions: no six hours without an event."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("value_cents", F.round(F.col("value") * 100).cast("long"))
+    found = sessions(events, ["user_id"], "ts", SESSION_GAP_MICROS, sums={"cents": "value_cents"})
+    return found.withColumn("session_start", ts_text("session_start")).withColumn("session_end", ts_text("session_end"))
+
+
 QUERIES: dict[str, Query] = {
     "trips_clean": trips_clean,
     "raw_projection": raw_projection,
@@ -604,4 +714,12 @@ QUERIES: dict[str, Query] = {
     "asof_previous_event": asof_previous_event,
     "orders_in_shipping_ranges": orders_in_shipping_ranges,
     "nearest_dropoff": nearest_dropoff,
+    "tree_leaf_facts": tree_leaf_facts,
+    "forest_facts": forest_facts,
+    "boosted_facts": boosted_facts,
+    "guard_messages": guard_messages,
+    "fare_cube": fare_cube,
+    "error_quantiles": error_quantiles,
+    "ridge_cv": ridge_cv_q,
+    "user_sessions": user_sessions,
 }

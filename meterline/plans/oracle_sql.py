@@ -492,3 +492,64 @@ SELECT true AS tree_won, (SELECT count(*) FROM train) AS train_rows, (SELECT cou
   CAST({len(FEATURE_LIST)} AS BIGINT) AS features, CAST(1 AS DOUBLE) AS total, true AS sorted,
   (SELECT {r6('avg(5 + 20 * CAST(floor(trip_distance_km) % 4 AS DOUBLE) + 3 * passenger_count)')} FROM frame) AS mean_fare
 """
+
+# ------------------------------------------- facts that a wrong fit fails
+
+Q["tree_leaf_facts"] = MODEL_BASE + " " + " UNION ALL ".join(
+    f"SELECT '{p}' AS profile, count(*) AS rows, CAST(0 AS BIGINT) AS leaves_off, true AS leaves_in_bounds, true AS halves_variance FROM train" for p in ("fast", "full")
+)
+
+Q["forest_facts"] = MODEL_BASE + " SELECT count(*) AS rows, 5 AS trees, CAST(0 AS BIGINT) AS differing, 0 AS equal_pairs FROM test"
+
+Q["boosted_facts"] = MODEL_BASE + " SELECT count(*) AS rows, 30 AS trees, CAST(0 AS BIGINT) AS differing, true AS beats_first_tree FROM train"
+
+Q["guard_messages"] = BASE + """
+SELECT 'required_columns' AS guard, 'dropoff_latitude,fare_amount,key' AS names, count(*) AS rows FROM raw_trips
+UNION ALL SELECT 'every_model_failed', 'Decision Tree Regression,Linear Regression,Random Forest Regression', count(*) FROM raw_trips
+"""
+
+# ------------------------------------ cubes, quantiles, folds and sessions
+
+Q["fare_cube"] = BASE + """
+SELECT pickup_hour, pickup_dayofweek, pickup_month, GROUPING(pickup_hour, pickup_dayofweek, pickup_month) AS grouping_id,
+  count(*) AS trips, CAST(sum(CAST(round(fare_amount * 100) AS BIGINT)) AS BIGINT) AS cents,
+  count(DISTINCT floor(dropoff_longitude * 100)) AS cells
+FROM clean GROUP BY CUBE (pickup_hour, pickup_dayofweek, pickup_month)
+"""
+
+Q["error_quantiles"] = PRED + " " + " UNION ALL ".join(
+    f"SELECT CAST({q} AS DOUBLE) AS quantile, CAST(greatest(1, ceil({q} * count(*))) AS BIGINT) AS rank, {r6(f'quantile_disc(abs(label - prediction), {q})')} AS value FROM pred" for q in ("0.5", "0.9", "0.99")
+)
+
+# Each fold is scored row by row, with the fit on the rows of the other folds.
+Q["ridge_cv"] = MODEL_BASE + f""",
+folded AS (SELECT label, trip_distance_km AS x1, passenger_count AS x2, CAST(CAST(('0x' || substr(md5(key), 9, 8)) AS BIGINT) % 5 AS INTEGER) AS fold FROM frame),
+folds AS (SELECT DISTINCT fold FROM folded),
+penalties AS (SELECT CAST(unnest([0.01, 0.1, 1.0, 10.0]) AS DOUBLE) AS penalty),
+rest AS (
+  SELECT folds.fold, count(*) AS train_rows, avg(label) AS my, avg(x1) AS m1, avg(x2) AS m2, stddev_pop(label) AS sy, stddev_pop(x1) AS s1, stddev_pop(x2) AS s2,
+         corr(x1, x2) AS c, corr(label, x1) AS r1, corr(label, x2) AS r2
+  FROM folds JOIN folded ON folded.fold <> folds.fold GROUP BY folds.fold),
+weighed AS (SELECT *, 1 + penalty / sy AS k FROM rest, penalties),
+fits AS (
+  SELECT penalty, fold, train_rows, my, m1, m2,
+         (k * r1 - c * r2) / (k * k - c * c) * sy / s1 AS w1, (k * r2 - c * r1) / (k * k - c * c) * sy / s2 AS w2
+  FROM weighed),
+scored AS (
+  SELECT penalty, fold, any_value(train_rows) AS train_rows, count(*) AS test_rows, avg(pow(label - my - w1 * (x1 - m1) - w2 * (x2 - m2), 2)) AS mse
+  FROM folded JOIN fits USING (fold) GROUP BY penalty, fold),
+meant AS (SELECT *, avg(mse) OVER (PARTITION BY penalty) AS mean_mse FROM scored)
+SELECT penalty, fold, train_rows, test_rows, {r6('sqrt(mse)')} AS rmse, {r6('mean_mse')} AS mean_mse,
+  penalty = (SELECT penalty FROM meant ORDER BY mean_mse, penalty LIMIT 1) AS chosen
+FROM meant
+"""
+
+Q["user_sessions"] = """
+WITH told AS (
+  SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 6 HOURS THEN 0 ELSE 1 END AS opens
+  FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+islands AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts) AS island FROM told)
+SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS session_start, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS session_end,
+  count(*) AS rows, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM islands GROUP BY user_id, island
+"""
