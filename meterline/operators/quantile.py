@@ -2,10 +2,11 @@
 
 A round counts the values of each open range in bins, combined map-side, and
 goes on with the one bin that holds the wanted rank, between the least and the
-greatest value found in it. Bins are as wide as each other in even rounds and
-as wide in the logarithm of the distance from the range's start in odd ones, so
-ranges of any shape shrink fast: a double has 64 bits and a round settles about
-ten. Only bin counts leave a task or reach the driver.
+greatest value found in it. Bins are equally wide in even rounds; in odd ones
+they are so in the logarithm, of the value where the range holds both signs,
+else of its distance from the end nearer to zero. Values of any scale part
+fast: a double has 64 bits and a round settles about ten. Only bin counts leave
+a task or reach the driver.
 """
 
 from __future__ import annotations
@@ -26,14 +27,27 @@ def quantile_rank(quantile: str | float, rows: int) -> int:
     return max(1, math.ceil(Fraction(str(quantile)) * rows))
 
 
-def _bin(v: Column, low: Column, high: Column, bins: int, logarithmic: bool) -> Column:
+def _bin(v: Column, low: float, high: float, bins: int, logarithmic: bool) -> Column:
+    start, stop = F.lit(low), F.lit(high)
     # Halves, so that the width of the widest range is finite.
-    share = F.try_divide(v / 2 - low / 2, high / 2 - low / 2)
-    if logarithmic:
-        share = 1 + F.log2(F.when(share > 0, share)) / bins
-    at = F.when(share.isNull() | F.isnan(share) | (share <= 0), 0).otherwise(F.floor(F.least(share, F.lit(1.0)) * bins))
+    width = stop / 2 - start / 2
+    lost = 0.0
+    if not logarithmic:
+        share = F.try_divide(v / 2 - start / 2, width)
+    elif low < 0 < high:
+        # Both signs: equal widths in the exponent, which lies between -1075 and 1024.
+        size = lambda x: (F.log2(x) + 1075) / 4200
+        share = F.when(v > 0, 0.5 + size(v)).when(v < 0, 0.5 - size(-v)).otherwise(0.5)
+    elif high <= 0:
+        gap = F.try_divide(stop / 2 - v / 2, width)
+        share, lost = -F.log2(F.when(gap > 0, gap)) / bins, 1.0
+    else:
+        gap = F.try_divide(v / 2 - start / 2, width)
+        share = 1 + F.log2(F.when(gap > 0, gap)) / bins
+    share = F.coalesce(F.nanvl(share, F.lit(0.0)), F.lit(lost))
+    at = F.floor(F.greatest(F.least(share, F.lit(1.0)), F.lit(0.0)) * bins)
     # The ends always part, so every round gets further.
-    return F.when(v == low, 0).when(v == high, bins - 1).otherwise(F.least(at, F.lit(bins - 1))).cast("int")
+    return F.when(v == start, 0).when(v == stop, bins - 1).otherwise(F.least(at, F.lit(bins - 1))).cast("int")
 
 
 def exact_quantiles(df: DataFrame, column: str, quantiles: list[str | float], bins: int = BINS) -> DataFrame:
@@ -70,7 +84,7 @@ def exact_quantiles(df: DataFrame, column: str, quantiles: list[str | float], bi
         for i, ends in enumerate(listed):
             start, stop = F.lit(ends[0]), F.lit(ends[1])
             inside = (F.col("v") >= start) & (F.col("v") <= stop)
-            here = _bin(F.col("v"), start, stop, bins, round_no % 2 == 1)
+            here = _bin(F.col("v"), *ends, bins, round_no % 2 == 1)
             # Ranges are bins of earlier rounds, so a value lies in one at most.
             number = F.when(inside, i) if number is None else number.when(inside, i)
             place = F.when(inside, here) if place is None else place.when(inside, here)

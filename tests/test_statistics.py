@@ -99,8 +99,10 @@ def test_quantiles_against_sorting(spark, shape):
         assert same(r.value, brute_quantile(values, q)), (shape, q)
 
 
-def test_quantile_rounds_stay_few(spark, monkeypatch):
-    values = [random.Random(3).lognormvariate(0, 20) for _ in range(3000)]
+@pytest.mark.parametrize("shape", ["exponents", "lognormal", "negative"])
+def test_quantile_rounds_stay_few(spark, monkeypatch, shape):
+    rng = random.Random(3)
+    values = SHAPES[shape](rng) if shape in SHAPES else [rng.lognormvariate(0, 20) * (-1 if shape == "negative" else 1) for _ in range(3000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     from meterline.operators import quantile as Q
 
