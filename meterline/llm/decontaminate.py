@@ -121,7 +121,7 @@ def similarity(a: Counter, b: Counter) -> float:
 class Items:
     """Benchmark items of one length: shingle multisets, fingerprints and the shingles that any of them has."""
 
-    def __init__(self, n_words: int, rows: list[tuple[int | None, np.ndarray]], shingle_words: int):
+    def __init__(self, n_words: int, rows: list[tuple[str | None, np.ndarray]], shingle_words: int):
         self.n_words, self.k = n_words, min(shingle_words, n_words)
         self.m = n_words - self.k + 1
         self.ids = [i for i, _ in rows]
@@ -134,7 +134,7 @@ class Items:
 class BlockIndex:
     """Index of one block of the benchmark."""
 
-    def __init__(self, items: list[tuple[int | None, str]], shingle_words: int, min_similarity: float):
+    def __init__(self, items: list[tuple[str | None, str]], shingle_words: int, min_similarity: float):
         hashes, by_length = WordHashes(), defaultdict(list)
         for item, text in items:
             words = words_of(text)
@@ -153,7 +153,7 @@ class BlockIndex:
             table[known >> np.uint64(44)] = True
             self.sieve[k] = (table, known)
 
-    def matches(self, words: np.ndarray) -> Iterator[tuple[int, float, int, int]]:
+    def matches(self, words: np.ndarray) -> Iterator[tuple[str | None, float, int, int]]:
         """(item, similarity, first word, words) of every window similar enough to an item."""
         for k, groups in self.by_k.items():
             shingles = shingle_hashes(words, k)
@@ -188,9 +188,9 @@ class BlockIndex:
                             if next(iter(g.bags[i].keys() & bag.keys()), None) is not None and (s := similarity(bag, g.bags[i])) >= self.min_similarity:
                                 yield g.ids[i], s, start, g.n_words
 
-    def best(self, words: list[bytes], hashes: WordHashes) -> dict[int, tuple[float, int, int]]:
+    def best(self, words: list[bytes], hashes: WordHashes) -> dict[str | None, tuple[float, int, int]]:
         """Best window per item over the whole text: highest similarity, then the earliest."""
-        out: dict[int, tuple[float, int, int]] = {}
+        out: dict[str | None, tuple[float, int, int]] = {}
         longest = self.groups[-1].n_words
         for at in range(0, max(1, len(words)), SPAN_WORDS):
             span = words[at : at + SPAN_WORDS + longest - 1]
@@ -209,17 +209,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ignored; an item shorter than a shingle is one shingle. Null or wordless
     texts and items match nothing; items of equal text all match. Rows that
     share an id are one document (its best window over them), items that share
-    an id one item; a null id of either stays null and is one id. Empty tables
-    give no rows.
+    an id one item; a null id of either stays null and is one id. Item ids may
+    be of any type that text can stand for and keep it. Empty tables give no
+    rows.
     """
     spark = docs.sparkSession
     arrow_batches(spark)
     slim = docs.select(column(id_col).alias("doc_id"), column(text_col).alias("text"))
     kind = slim.schema["doc_id"].dataType.simpleString()
-    items = benchmark.select(column(item_col).alias("item_id"), column(item_text_col).alias("text")).filter("text IS NOT NULL")
+    item_kind = benchmark.select(column(item_col).alias("item_id")).schema["item_id"].dataType.simpleString()
+    items = benchmark.select(column(item_col).cast("string").alias("item_id"), column(item_text_col).alias("text")).filter("text IS NOT NULL")
     total = items.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     n_blocks = max(1, -(-total // block_bytes))
-    ddl = f"doc_id {kind}, item_id bigint, similarity double, first_word bigint, n_words bigint"
+    ddl = f"doc_id {kind}, item_id string, similarity double, first_word bigint, n_words bigint"
     parts = []
     for block in range(n_blocks):
         rows = [(r.item_id, r.text) for r in items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).collect()]
@@ -236,17 +238,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 if found:
                     doc, item, s, at, n = zip(*found)
                     ids = batch.column(0).take(pa.array(doc, pa.int64()))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(item, pa.int64()), pa.array(s, pa.float64()), pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "item_id", "similarity", "first_word", "n_words"])
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(item, pa.string()), pa.array(s, pa.float64()), pa.array(at, pa.int64()), pa.array(n, pa.int64())], names=["doc_id", "item_id", "similarity", "first_word", "n_words"])
 
         parts.append(slim.mapInArrow(run, ddl))
     if not parts:
-        return spark.createDataFrame([], ddl)
+        return spark.createDataFrame([], ddl.replace("item_id string", f"item_id {item_kind}"))
     out = parts[0]
     for more in parts[1:]:
         out = out.unionByName(more)
     order = F.struct((-F.col("similarity")).alias("worse"), "first_word", "n_words")
     best = out.groupBy("doc_id", "item_id").agg(F.min(order).alias("b"))
-    return best.select("doc_id", "item_id", (-F.col("b.worse")).alias("similarity"), "b.first_word", "b.n_words")
+    return best.select("doc_id", F.col("item_id").cast(item_kind).alias("item_id"), (-F.col("b.worse")).alias("similarity"), "b.first_word", "b.n_words")
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterline.llm.common import Stored, arrow_batches, column
+from meterline.llm.common import Stored, arrow_batches, column, fresh_name
 from meterline.llm.tokens import Encoder, tokenizer_path
 
 END_ID = 0
@@ -116,12 +116,14 @@ def best_fit_pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, group_item
     """``pieces`` (any columns and a ``length`` of 1 ... capacity) with ``sequence_id`` and ``offset``.
 
     Pieces of one sequence lie gapless from offset 0 and are never cut. No
-    pieces give no rows; equal and repeated rows are packed each by itself.
+    pieces give no rows; equal and repeated rows are packed each by itself. A
+    column that is called ``sequence_id`` or ``offset`` already is replaced.
     """
     ddl = "item bigint, bin bigint, at bigint, fill bigint, up boolean, node bigint"
-    numbered = Stored(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces").df
+    own = fresh_name(pieces, "item")
+    numbered = Stored(pieces.drop("sequence_id", "offset").withColumn(own, F.monotonically_increasing_id()), "pieces").df
     nodes = max(1, -(-numbered.count() // group_items))
-    items = numbered.select("item", F.col("length").alias("size"), F.pmod(F.xxhash64("item"), F.lit(nodes)).alias("node"))
+    items = numbered.select(column(own).alias("item"), F.col("length").alias("size"), F.pmod(F.xxhash64(column(own)), F.lit(nodes)).alias("node"))
     level = 0
     local = Stored(items.groupBy("node").applyInPandas(_pack_group(0, capacity, nearly_full, forward_bins, nodes == 1), ddl), "bins-0").df
     finished = local.filter("NOT up").select("item", F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
@@ -144,7 +146,7 @@ def best_fit_pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, group_item
             final = final.unionByName(more)
         risen = local.filter("up").select("item", F.col("bin").alias("first"), "at").join(final, "first")
         finished = finished.unionByName(risen.select("item", "sequence_id", (F.col("at") + F.col("shift")).alias("offset")))
-    return numbered.join(finished, "item").drop("item")
+    return numbered.join(finished.withColumnRenamed("item", own), own).drop(own)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = SEQUENCE_TOKENS, with_ids: bool = False) -> DataFrame:

@@ -114,3 +114,19 @@ def test_index_returns_all_within_the_radius():
         for _ in range(30):
             value = prints[int(rng.integers(300))] ^ sum(1 << int(b) for b in rng.choice(64, int(rng.integers(0, 30)), replace=False))
             assert index.within(value) == {i for i, p in enumerate(prints) if (p ^ value).bit_count() <= radius}
+
+
+def test_item_ids_of_any_type(spark):
+    docs, items = planted(random.Random(5))
+    df = docs_frame(spark, docs)
+    want = brute(docs, items)
+    named = spark.createDataFrame([(f"item {i}", t) for i, t in items], "item_id string, text string")
+    got = contaminated(df, named)
+    assert got.schema["item_id"].dataType.simpleString() == "string"
+    assert sorted(((r.doc_id, int(r.item_id[5:]), round(r.similarity, 9), r.first_word) for r in got.collect()), key=str) == want
+    for kind in ("int", "date"):
+        cast = "date_add(date'2000-01-01', CAST(item_id AS int))" if kind == "date" else "CAST(item_id AS int)"
+        got = contaminated(df, spark.createDataFrame(items, "item_id bigint, text string").selectExpr(f"{cast} AS item_id", "text"))
+        assert got.schema["item_id"].dataType.simpleString() == kind
+        assert got.count() == len(want)
+    assert contaminated(df, named.limit(0)).schema["item_id"].dataType.simpleString() == "string"

@@ -60,6 +60,15 @@ def test_tree_of_rounds_keeps_every_item(spark):
         assert len(sequences) <= whole * 1.08 + 3  # groups of 40 items only
 
 
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(i, f"x{i}", 30, -1, "mine") for i in range(10)], "item bigint, _item string, length bigint, offset int, sequence_id string")
+    got = best_fit_pack(df, capacity=100)
+    assert got.columns == ["item", "_item", "length", "sequence_id", "offset"]
+    rows = got.collect()
+    assert sorted((r["item"], r["_item"]) for r in rows) == [(i, f"x{i}") for i in range(10)]
+    assert len(assert_packed(rows, 100)) == 4
+
+
 def test_best_fit_takes_the_tightest_bin():
     where, offset, fills = best_fit(np.array([70, 60, 50, 30, 40, 29]), 100)
     assert where.tolist() == [0, 1, 2, 0, 1, 2]
