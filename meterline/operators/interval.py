@@ -5,14 +5,20 @@ a range is repeated in each bin that it touches, on average three times at most
 whatever the ranges are. The bin is the join key and the exact bounds are a
 residual condition, so no plan falls back to comparing all pairs; a bin that
 many rows share is a skewed key, which adaptive execution splits.
+
+Where only totals per range are asked for, ``range_totals`` lists no pairs: the
+points' running totals hold from one point to the next, and each range looks up
+the two that its bounds fall into.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.functions.ticks import ticks
+from meterline.operators.asof import ROWS_PER_BUCKET, bucket_width
 
 BIN = "bin_of_join"
 
@@ -88,3 +94,60 @@ def overlap_join(left: DataFrame, right: DataFrame, left_bounds: tuple[str, str]
     later = F.greatest(_tick(one, left_bounds[0]), _tick(two, s2))
     on = (s1 <= two[e2]) & (two[s2] <= e1) & (_bin(later, width) == one[BIN])
     return _joined(one, two, names, on, keys or [], prefix)
+
+
+def _running_totals(points: DataFrame, point_col: str, values: list[str], rows_per_bucket: int) -> DataFrame:
+    """One row per distinct tick: step_from, step_to (the next tick), and per total its value ``before_*`` the tick and ``through_*`` it.
+
+    Totals run within buckets of ticks, and a bucket takes on what all earlier
+    ones hold, so no task sorts the whole table. Decimals, since a total over
+    everything may pass a long's range where each range's own does not.
+    """
+    at = points.filter(points[f"`{point_col}`"].isNotNull()).withColumn("tick", _tick(points, point_col))
+    sums = {"n": F.count("*").cast("decimal(20,0)")}
+    for i, v in enumerate(values):
+        value = at[f"`{v}`"]
+        sums |= {f"s{i}": F.coalesce(F.sum(value.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)"), f"m{i}": F.count(value).cast("decimal(20,0)")}
+    own = at.groupBy("tick").agg(*[c.alias(k) for k, c in sums.items()])
+    width = bucket_width(at.select("tick").distinct(), [], rows_per_bucket)
+    own = own.withColumn("bucket", _bin(F.col("tick"), width))
+    earlier = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    held = own.groupBy("bucket").agg(F.min("tick").alias("first"), *[F.sum(k).alias(k) for k in sums])
+    held = held.select("bucket", F.lead("first").over(Window.orderBy("bucket")).alias("next_first"), *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"base_{k}") for k in sums])
+    inside = Window.partitionBy("bucket").orderBy("tick")
+    so_far = own.select("bucket", "tick", F.lead("tick").over(inside).alias("next"), *sums, *[F.sum(k).over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias(f"run_{k}") for k in sums])
+    through = {k: F.col(f"base_{k}") + F.col(f"run_{k}") for k in sums}
+    totals = [c for k, t in through.items() for c in ((t - F.col(k)).cast("decimal(38,0)").alias(f"before_{k}"), t.cast("decimal(38,0)").alias(f"through_{k}"))]
+    return so_far.join(held, "bucket").select(F.col("tick").alias("step_from"), F.coalesce("next", "next_first", F.col("tick") + 1).alias("step_to"), *totals)
+
+
+def range_totals(points: DataFrame, ranges: DataFrame, point_col: str, start_col: str, end_col: str, values: list[str], closed: bool = False, count_name: str = "n_points", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Each distinct range that holds a point, with the number of points in it and the sums of their ``values``.
+
+    The same as ``point_in_range_join`` grouped by the range, but with two rows
+    per range instead of one per pair, however many points a range holds.
+    Bounds and points are times, dates or whole numbers, ``values`` whole
+    numbers; a sum over nulls alone is null. Null points and bounds and
+    backward ranges match nothing.
+    """
+    for df, c in [(points, point_col), (ranges, start_col), (ranges, end_col), *((points, v) for v in values)]:
+        if isinstance(df.schema[c].dataType, (T.FractionalType, T.StringType)) or c in values and not isinstance(df.schema[c].dataType, T.IntegralType):
+            raise TypeError(f"range_totals: {c} is {df.schema[c].dataType.simpleString()}")
+    steps = _running_totals(points, point_col, values, rows_per_bucket)
+    own = ranges.columns
+    valid = ranges.filter(ranges[f"`{start_col}`"] <= ranges[f"`{end_col}`"]).distinct()
+    sides = F.array(
+        F.struct(F.lit(-1).alias("sign"), F.lit(False).alias("through"), _tick(valid, start_col).alias("bound")),
+        F.struct(F.lit(1).alias("sign"), F.lit(closed).alias("through"), _tick(valid, end_col).alias("bound")),
+    )
+    # Past the last point its own totals hold; before the first there is nothing to find, which counts 0.
+    last = F.col("last_step")
+    both = valid.select(F.struct(*[valid[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(own)]).alias("range_row"), F.explode(sides).alias("side"))
+    both = both.crossJoin(F.broadcast(points.agg(F.max(_tick(points, point_col)).alias("last_step"))))
+    both = both.select("range_row", "side.sign", (F.col("side.through") | (F.col("side.bound") > last)).alias("whole"), F.least("side.bound", last).alias("bound"))
+    found = point_in_range_join(both, steps, "bound", "step_from", "step_to")
+    take = F.col("whole") | (F.col("bound") > F.col("step_from"))
+    keys = ["n", *(f"{k}{i}" for i in range(len(values)) for k in "sm")]
+    totals = found.groupBy("range_row").agg(*[F.sum(F.col("sign") * F.when(take, F.col(f"through_{k}")).otherwise(F.col(f"before_{k}"))).alias(k) for k in keys])
+    summed = [F.when(F.col(f"m{i}") > 0, F.col(f"s{i}")).cast("long").alias(v) for i, v in enumerate(values)]
+    return totals.filter("n > 0").select(*[F.col("range_row")[f"c{i}"].alias(c) for i, c in enumerate(own)], F.col("n").cast("long").alias(count_name), *summed)

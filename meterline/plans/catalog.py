@@ -20,7 +20,7 @@ from meterline.operators import closed_form as CF
 from meterline.operators.asof import asof_join
 from meterline.operators.cross_validate import fold_of, ridge_cv
 from meterline.operators.groupings import cube_sets, grouping_sets
-from meterline.operators.interval import point_in_range_join
+from meterline.operators.interval import range_totals
 from meterline.operators.nearest import nearest_join
 from meterline.operators.quantile import exact_quantiles
 from meterline.operators.sessions import sessions
@@ -529,10 +529,9 @@ def orders_in_shipping_ranges(spark, sf_dir):
     lots = spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter("l_quantity >= 45")
     quarter = F.year("l_shipdate") * 4 + F.quarter("l_shipdate")
     ranges = lots.groupBy("l_suppkey", quarter.alias("quarter_no")).agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderdate", "o_totalprice")
-    found = point_in_range_join(orders, ranges, "o_orderdate", "first_ship", "last_ship", closed=True)
-    cents = F.sum(F.round(F.col("o_totalprice") * 100).cast("long"))
-    return found.groupBy("l_suppkey", "quarter_no").agg(F.count("*").alias("n_orders"), cents.alias("cents"))
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderdate", F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"))
+    found = range_totals(orders, ranges, "o_orderdate", "first_ship", "last_ship", ["cents"], closed=True, count_name="n_orders")
+    return found.select("l_suppkey", "quarter_no", "n_orders", "cents")
 
 
 def nearest_dropoff(spark, sf_dir):

@@ -5,8 +5,10 @@ import random
 
 import pytest
 
+from __spark_entry__ import queries
+
 from meterline.operators.asof import asof_join
-from meterline.operators.interval import mean_width, overlap_join, point_in_range_join
+from meterline.operators.interval import mean_width, overlap_join, point_in_range_join, range_totals
 from meterline.operators.nearest import nearest_join
 
 
@@ -89,6 +91,69 @@ def test_points_in_ranges_against_brute_force(spark, closed):
     assert "NestedLoop" not in plan_of(keyed) and "Cartesian" not in plan_of(keyed)
 
 
+@pytest.mark.parametrize("closed", [False, True])
+@pytest.mark.parametrize("rows_per_bucket", [1, 20, 1_000_000])
+def test_range_totals_against_brute_force(spark, closed, rows_per_bucket):
+    rng = random.Random(4)
+    points = [(rng.choice([None, 17, 17, *range(-210, 320, 7)]), rng.choice([None, None, -5, 3, 2**40])) for _ in range(200)]
+    spans = ranges(rng, 120) + [(500, 0, 17, 17), (500, 0, 17, 17), (501, 1, -900, -800), (502, None, 800, 900), (503, 1, -900, -210), (504, 0, 316, 900)]
+    p, r = spark.createDataFrame(points, "at int, v long"), spark.createDataFrame(spans, "v int, k int, s int, e int")
+    want = set()
+    for span in spans:
+        s, e = span[2:]
+        held = [v for at, v in points if None not in (at, s, e) and s <= at and (at <= e if closed else at < e)]
+        known = [v for v in held if v is not None]
+        if held:
+            want.add((*span, len(held), sum(known) if known else None))
+    small = p.withColumnRenamed("v", "w")
+    got = range_totals(small, r, "at", "s", "e", ["w"], closed=closed, rows_per_bucket=rows_per_bucket)
+    assert got.columns == ["v", "k", "s", "e", "n_points", "w"]
+    assert rows_of(got) == sorted(want, key=str)
+    assert range_totals(small.limit(0), r, "at", "s", "e", ["w"]).count() == 0
+    assert range_totals(small, r.limit(0), "at", "s", "e", ["w"]).count() == 0
+
+
+def test_range_totals_beyond_a_long(spark):
+    """The running totals pass a long's range, no range's own sum does."""
+    p = spark.range(10).selectExpr("id AS at", "9000000000000000000L AS v")
+    got = range_totals(p, spark.sql("SELECT 8L AS s, 8L AS e"), "at", "s", "e", ["v"], closed=True)
+    assert rows_of(got) == [(8, 8, 1, 9 * 10**18)]
+    with pytest.raises(TypeError, match="double"):
+        range_totals(p.selectExpr("at", "1.5D AS v"), p, "at", "at", "at", ["v"])
+
+
+def test_shipping_ranges_list_no_pairs(spark, tmp_path):
+    """2,000 orders at times of their own in each of 300 suppliers' ranges: 600,000 pairs, of which none is made."""
+    orders = spark.range(2000).selectExpr("timestamp_ntz'2024-01-02 00:00:00' + make_dt_interval(0, 0, 0, id) AS o_orderdate", "id / 100D AS o_totalprice")
+    days = "explode(array(timestamp_ntz'2024-01-01 00:00:00', timestamp_ntz'2024-02-01 00:00:00')) AS l_shipdate"
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(300).selectExpr("id AS l_suppkey", "45D AS l_quantity", days).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = queries()["orders_in_shipping_ranges"](spark, str(tmp_path))
+    assert rows_of(got) == sorted(((i, 2024 * 4 + 1, 2000, 1_999_000) for i in range(300)), key=str)
+    made = rows_made(got)
+    assert made and max(made) <= 2000
+
+
+def rows_made(df):
+    """Rows that come out of each join of the executed plan."""
+    df.collect()
+    out = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name.endswith("Join"):
+            out.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
 def test_overlaps_of_a_table_with_itself(spark):
     spans = ranges(random.Random(3), 100)
     df = spark.createDataFrame(spans, "i int, k int, s int, e int")
