@@ -5,10 +5,14 @@ Nearly full bins leave as finished sequences; underfull bins go up a tree as
 items themselves, ``fan_in`` groups at a time, for further best-fit rounds.
 
 Within a group best-fit leaves at most one bin filled to half or less (two of
-them would have shared a bin), and two fuller bins never merge. So later rounds
-can save at most one sequence per group, and a group sends up only its emptiest
-bins (``forward_bins``); the others are finished as they are. Nothing is
-dropped by that, and a node's input stays bounded.
+them would have shared a bin), and two fuller bins never merge. So a node has at
+most one such small bin from each of its ``fan_in`` children, and each takes up
+at most one fuller bin, for which no bin serves better than the emptiest. A group
+that sends up its ``fan_in`` emptiest bins for each round still to come, and one
+more, nearly full or not, holds back none that a best merging of whole bins
+needs: ``sent_at_least`` sets that floor, and ``nearly_full`` and
+``forward_bins`` only choose what goes up beyond it. The other bins are finished
+as they are, no item is dropped, and a node's input stays bounded.
 """
 
 from __future__ import annotations
@@ -94,7 +98,15 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return where, offset, np.array(fills, np.int64)
 
 
-def _pack_group(level: int, capacity: int, nearly_full: int, forward: int, last: bool):
+def sent_at_least(nodes: int, fan_in: int) -> int:
+    """How many of its emptiest bins each of a round's ``nodes`` must send up so that later rounds can merge all they could."""
+    rounds = 0
+    while nodes > 1:
+        rounds, nodes = rounds + 1, -(-nodes // fan_in)
+    return fan_in * rounds + 1
+
+
+def _pack_group(level: int, capacity: int, nearly_full: int, forward: int, least: int, last: bool):
     """Grouped-map function: pack one node's items; ``up`` says whether an item's bin goes up the tree."""
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -103,8 +115,11 @@ def _pack_group(level: int, capacity: int, nearly_full: int, forward: int, last:
         where, offset, fills = best_fit(rows["size"].to_numpy(), capacity)
         up = np.zeros(len(fills), bool)
         if not last:
-            under = np.flatnonzero(fills < capacity - nearly_full)
-            up[under[np.argsort(fills[under], kind="stable")][:forward]] = True
+            emptiest = np.argsort(fills, kind="stable")
+            under = fills[emptiest] < capacity - nearly_full
+            under[forward:] = False
+            under[:least] = fills[emptiest[:least]] < capacity
+            up[emptiest[under]] = True
         node = int(rows["node"].iloc[0])
         bins = (np.int64(level) << 56) + (np.int64(node) << 24) + where
         return pd.DataFrame({"item": rows["item"], "bin": bins, "at": offset, "fill": fills[where], "up": up[where], "node": node})
@@ -125,7 +140,7 @@ def best_fit_pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, group_item
     nodes = max(1, -(-numbered.count() // group_items))
     items = numbered.select(column(own).alias("item"), F.col("length").alias("size"), F.pmod(F.xxhash64(column(own)), F.lit(nodes)).alias("node"))
     level = 0
-    local = Stored(items.groupBy("node").applyInPandas(_pack_group(0, capacity, nearly_full, forward_bins, nodes == 1), ddl), "bins-0").df
+    local = Stored(items.groupBy("node").applyInPandas(_pack_group(0, capacity, nearly_full, forward_bins, sent_at_least(nodes, fan_in), nodes == 1), ddl), "bins-0").df
     finished = local.filter("NOT up").select("item", F.col("bin").alias("sequence_id"), F.col("at").alias("offset"))
     # What goes up: each first-round bin, the bin that holds it now and its place there.
     carried = local.filter("up").select("bin", "fill", "node").distinct().select(F.col("bin").alias("first"), "bin", F.lit(0).cast("long").alias("at"), "fill", "node")
@@ -134,7 +149,7 @@ def best_fit_pack(pieces: DataFrame, capacity: int = SEQUENCE_TOKENS, group_item
         level, nodes = level + 1, -(-nodes // fan_in)
         held = Stored(carried.withColumn("node", F.floor(F.col("node") / fan_in)), f"carried-{level}").df
         whole = held.select(F.col("bin").alias("item"), F.col("fill").alias("size"), "node").distinct()
-        moves = Stored(whole.groupBy("node").applyInPandas(_pack_group(level, capacity, nearly_full, forward_bins, nodes == 1), ddl), f"bins-{level}").df
+        moves = Stored(whole.groupBy("node").applyInPandas(_pack_group(level, capacity, nearly_full, forward_bins, sent_at_least(nodes, fan_in), nodes == 1), ddl), f"bins-{level}").df
         moves = moves.select(F.col("item").alias("bin"), F.col("bin").alias("into"), F.col("at").alias("shift"), F.col("fill").alias("filled"), "up")
         moved = held.select("first", "bin", "at", "node").join(moves, "bin").select("first", F.col("into").alias("bin"), (F.col("at") + F.col("shift")).alias("at"), F.col("filled").alias("fill"), "node", "up")
         moved = Stored(moved, f"moved-{level}").df

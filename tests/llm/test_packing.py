@@ -60,6 +60,21 @@ def test_tree_of_rounds_keeps_every_item(spark):
         assert len(sequences) <= whole * 1.08 + 3  # groups of 40 items only
 
 
+def test_no_bin_that_could_merge_is_held_back(spark):
+    """However few bins may go up, and however full one must be to leave, the sequences are as few as if all went up."""
+    # Groups end with one small bin each beside bins of 60, or of 95 and a rest of 5 or less.
+    for seed, lengths in enumerate(([60] * 400 + [39] * 380, [95] * 300 + [5, 4] * 160, [55] * 300 + [7] * 700)):
+        random.Random(seed).shuffle(lengths)
+        df = spark.createDataFrame(list(enumerate(lengths)), "id bigint, length bigint").coalesce(1)
+
+        def sequences(**limits):
+            got = best_fit_pack(df, capacity=100, group_items=40, fan_in=4, **limits).collect()
+            assert sorted((r.id, r.length) for r in got) == list(enumerate(lengths))
+            return len(assert_packed(got, 100))
+
+        assert sequences(forward_bins=1, nearly_full=50) == sequences(forward_bins=10**6, nearly_full=0)
+
+
 def test_columns_of_any_name_stay(spark):
     df = spark.createDataFrame([(i, f"x{i}", 30, -1, "mine") for i in range(10)], "item bigint, _item string, length bigint, offset int, sequence_id string")
     got = best_fit_pack(df, capacity=100)
