@@ -36,7 +36,7 @@ from meterline.plans.common import rounded, ts_text
 from meterline.plans.train import run_train
 from meterline.schemas import CLEAN_COLUMNS, FEATURE_COLUMNS, FUNNEL_SCHEMA, IMPORTANCE_SCHEMA, RAW_COLUMNS, RAW_TRIP_SCHEMA, SAMPLE_COLUMNS
 from meterline.session import scratch_path
-from meterline.sources.fixtures import read_raw_trips
+from meterline.sources.fixtures import raw_trips_from_events, read_raw_trips
 from meterline.sources.readers import read_clean_parquet, read_raw_csv, read_result_csv
 from meterline.sources.sinks import load_pipeline_model, save_pipeline_model, write_parquet, write_single_csv
 
@@ -314,21 +314,43 @@ def best_model_q(spark, sf_dir):
 # ---------------------------------------------------- pyspark.ml models
 
 
-def _stored_split(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """(train, test) of the model frame, written once: every pass of a fit reads the narrow table, not ``events``."""
+# Events that are worth a task of their own in a fit's passes, and the most that one task takes.
+MIN_TASK_EVENTS, MAX_TASK_EVENTS = 100_000, 2_000_000
+
+
+def _spread_raw(spark, sf_dir) -> DataFrame:
+    """Raw trips dealt evenly over the cluster's cores, by a hash of the whole row.
+
+    A fit passes over its rows some 200 times in the tasks that they were
+    written by. A Parquet row group is never divided, so without this the
+    layout of ``events`` sets how many cores work, and how evenly.
+    """
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "value")
+    n = events.count()
+    tasks = min(max(spark.sparkContext.defaultParallelism, n // MAX_TASK_EVENTS), n // MIN_TASK_EVENTS)
+    return raw_trips_from_events(events.repartition(tasks, "event_id", "ts", "value") if tasks > 1 else events)
+
+
+def _stored_split(spark, sf_dir, assembled: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of the model frame, written once: every pass of a fit reads the narrow table, not ``events``.
+
+    With ``assembled`` it is key, label and the feature vector, for fits that
+    take the vector as it is instead of building it again in each pass.
+    """
     path = scratch_path(spark, "model-frame")
-    write_parquet(with_split_flag(M.model_input(_clean(spark, sf_dir))), path)
+    frame = M.model_input(C.clean_trips(_spread_raw(spark, sf_dir)))
+    write_parquet(with_split_flag(M.assembled(frame, keep=["key", "label"]) if assembled else frame), path)
     frame = spark.read.parquet(path).drop("split_bucket")
     return frame.filter("is_train").drop("is_train"), frame.filter("NOT is_train").drop("is_train")
 
 
 def _fit(train, test, profile, name):
     spec = next(s for s in M.model_specs(profile) if s.name == name)
-    return M.train_one(spec, 0, train, test, isolate=False)
+    return M.train_one(spec, 0, train, test, isolate=False, pre_assembled="features" in train.columns)
 
 
 def _predictions(spark, sf_dir, profile, name) -> DataFrame:
-    result = _fit(*_stored_split(spark, sf_dir), profile, name)
+    result = _fit(*_stored_split(spark, sf_dir, assembled=True), profile, name)
     return rounded(result.predictions.select("key", "label", "prediction"))
 
 
@@ -357,8 +379,8 @@ def rf_full_predictions(spark, sf_dir):
 
 
 def _evaluation(spark, sf_dir, profile):
-    train, test = _stored_split(spark, sf_dir)
-    results = M.train_all(M.model_specs(profile), train, test, parallelism=2)
+    train, test = _stored_split(spark, sf_dir, assembled=True)
+    results = M.train_all(M.model_specs(profile), train, test, parallelism=2, pre_assembled=True)
     return M.results_table(spark, results).drop("position")
 
 
@@ -412,7 +434,7 @@ def ml_scaled_centered_features(spark, sf_dir):
 
 def mean_training_prediction(spark, sf_dir):
     """Full-profile linear, tree and boosted fits predict the mean training label on average."""
-    train, _ = _stored_split(spark, sf_dir)
+    train, _ = _stored_split(spark, sf_dir, assembled=True)
     out = None
     for name in (M.LINEAR, M.TREE, M.BOOSTED):
         scored = _fit(train, train, "full", name).predictions

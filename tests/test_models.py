@@ -214,3 +214,20 @@ def test_pre_assembled_training_equals_pipeline_training(frames, tmp_out):
     again = fast[0].model.transform(test).select("key", "prediction").orderBy("key").collect()
     first = fast[0].predictions.select("key", "prediction").orderBy("key").collect()
     assert again == first
+
+
+def test_fits_share_out_one_row_group(spark, tmp_path):
+    """Events in one file of one row group: training rows lie evenly in several tasks, with the vector the assembler builds, none lost."""
+    from meterline.plans import catalog
+
+    n = 2 * catalog.MIN_TASK_EVENTS
+    events = spark.range(n).selectExpr("id AS event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id) AS ts", "1 + id % 40 / 10D AS value")
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    assert spark.sparkContext.defaultParallelism > 1
+    train, test = catalog._stored_split(spark, str(tmp_path), assembled=True)
+    sizes = [r["count"] for r in train.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 2 and max(sizes) < 1.1 * min(sizes)
+    whole = M.assembled(M.model_input(clean_trips(read_raw_trips(spark, str(tmp_path)))), keep=["key", "label"])
+    want_train, want_test = hash_split(whole)
+    for got, want in ((train, want_train), (test, want_test)):
+        assert got.columns == want.columns and got.count() == want.count() and got.exceptAll(want).isEmpty()
